@@ -1,9 +1,12 @@
 """One build of the whole model graph over a set of input tables.
 
-Each layer is a lazily built DataFrame shared by the layers above it, so a
-caller asking for several marts defines each upstream model once.  Keys that
-need a materialised input (row-numbered dimensions) are checkpointed to the
-shared checkpoint folder when first requested.
+Each layer is built once and shared by the layers above it.  Like the
+warehouse it replaces, the RAW feeds and the warehouse tables (dimensions,
+fact, bridges) are materialised as parquet in the shared checkpoint folder
+when first requested: later stages read files with known sizes (so the
+planner broadcasts a dimension only when its files are small and keeps a
+shuffle join otherwise), lineage is cut at each layer, and a lost executor
+recomputes from the last written table.  Marts stay lazy DataFrames.
 """
 
 from __future__ import annotations
@@ -12,61 +15,79 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shared_path
 from ..sources import fixtures, raw
 from . import features, marts, ml, templates, warehouse
 
 
 class Build:
-    def __init__(self, spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        sources: dict[str, DataFrame] | None = None,
+        materialize: bool = True,
+    ):
         self.spark = spark
         self.sf_dir = sf_dir
         self._sources = sources
+        self.materialize = materialize
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as a parquet table in the shared folder and read it back."""
+        if not self.materialize:
+            return df
+        path = shared_path(self.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # -- staging ---------------------------------------------------------
-    @cached_property
-    def sources(self) -> dict[str, DataFrame]:
-        return self._sources or fixtures.load_sources(self.spark, self.sf_dir)
+    def _feed(self, name: str) -> DataFrame:
+        if self._sources is not None:
+            return self.table(self._sources[name], f"feed_{name}")
+        make = {
+            "news": fixtures.news_api,
+            "stocks": fixtures.stock_api,
+            "weather": fixtures.weather_api,
+        }[name]
+        return self.table(make(self.spark, self.sf_dir), f"feed_{name}")
 
     @cached_property
-    def staged(self) -> dict[str, DataFrame]:
-        return raw.staged(self.sources)
-
-    @property
     def raw_news(self) -> DataFrame:
-        return self.staged["news"]
+        return raw.raw_news(self._feed("news"))
 
-    @property
+    @cached_property
     def raw_stocks(self) -> DataFrame:
-        return self.staged["stocks"]
+        return raw.raw_stocks(self._feed("stocks"))
 
-    @property
+    @cached_property
     def raw_weather(self) -> DataFrame:
-        return self.staged["weather"]
+        return raw.raw_weather(self._feed("weather"))
 
     # -- warehouse -------------------------------------------------------
     @cached_property
     def dim_stock(self) -> DataFrame:
-        return warehouse.dim_stock(self.raw_stocks)
+        return self.table(warehouse.dim_stock(self.raw_stocks), "dim_stock")
 
     @cached_property
     def dim_news(self) -> DataFrame:
-        return warehouse.dim_news(self.raw_news)
+        return self.table(warehouse.dim_news(self.raw_news), "dim_news")
 
     @cached_property
     def dim_weather(self) -> DataFrame:
-        return warehouse.dim_weather(self.raw_weather)
+        return self.table(warehouse.dim_weather(self.raw_weather), "dim_weather")
 
     @cached_property
     def fact_stock(self) -> DataFrame:
-        return warehouse.fact_stock(self.raw_stocks, self.dim_stock)
+        return self.table(warehouse.fact_stock(self.raw_stocks, self.dim_stock), "fact_stock")
 
     @cached_property
     def bridge_daily_news(self) -> DataFrame:
-        return warehouse.bridge_daily_news(self.raw_news, self.dim_news)
+        return self.table(warehouse.bridge_daily_news(self.raw_news, self.dim_news), "bridge_daily_news")
 
     @cached_property
     def bridge_daily_weather(self) -> DataFrame:
-        return warehouse.bridge_daily_weather(self.raw_weather, self.dim_weather)
+        return self.table(warehouse.bridge_daily_weather(self.raw_weather, self.dim_weather), "bridge_daily_weather")
 
     # -- feature marts ---------------------------------------------------
     @cached_property
@@ -75,7 +96,13 @@ class Build:
 
     @cached_property
     def index_series(self) -> DataFrame:
-        return features.index_series(self.stock_base)
+        # One row per benchmark day; stored so its file size decides whether
+        # the per-day join is a broadcast.
+        return self.table(features.index_series(self.stock_base), "index_series")
+
+    @cached_property
+    def news_feature_table(self) -> DataFrame:
+        return self.table(features.news_features(self.dim_news, self.stock_base), "news_features")
 
     def stock_technical(self) -> DataFrame:
         return features.stock_technical(self.stock_base, self.index_series)
@@ -87,16 +114,16 @@ class Build:
         return features.stock_performance(self.stock_base, self.index_series, breakout_exclude_current)
 
     def news_features(self) -> DataFrame:
-        return features.news_features(self.dim_news, self.stock_base)
+        return self.news_feature_table
 
     def daily_stock_analysis(self, breakout_exclude_current: bool = False) -> DataFrame:
         return marts.daily_stock_analysis(
-            self.fact_stock, self.dim_stock, self.dim_news, breakout_exclude_current
+            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current
         )
 
     def daily_stock_analysis_wide(self, breakout_exclude_current: bool = False) -> DataFrame:
         return marts.daily_stock_analysis_wide(
-            self.fact_stock, self.dim_stock, self.dim_news, breakout_exclude_current
+            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current
         )
 
     def ml_features(self) -> DataFrame:

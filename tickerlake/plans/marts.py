@@ -52,19 +52,21 @@ def recommendation(s: Column) -> Column:
     return F.when(s >= 70, "BUY").when(s >= 40, "HOLD").otherwise("SELL")
 
 
-def _scored(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame, part: str,
+def _scored(base: DataFrame, index: DataFrame, news: DataFrame, part: str,
             breakout_exclude_current: bool) -> DataFrame:
-    base = stock_base(fact, dim_stock)
-    feats = price_features(
-        base, index_series(base), part=part, breakout_exclude_current=breakout_exclude_current
-    )
-    news = news_features(dim_news, base).drop("volume")
+    feats = price_features(base, index, part=part, breakout_exclude_current=breakout_exclude_current)
     merged = feats.join(news, ["symbol", "date_key"], "left")
     with_score = merged.withColumn("score", score())
     return with_score.withColumn("recommendation", recommendation(F.col("score")))
 
 
-def daily_stock_analysis(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame,
+def inputs(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame):
+    """(stock base, benchmark series, news features) from warehouse tables."""
+    base = stock_base(fact, dim_stock)
+    return base, index_series(base), news_features(dim_news, base)
+
+
+def daily_stock_analysis(base: DataFrame, index: DataFrame, news: DataFrame,
                          breakout_exclude_current: bool = False) -> DataFrame:
     """Technical, risk, performance and news features with score and label.
 
@@ -72,14 +74,14 @@ def daily_stock_analysis(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFr
     (symbol, day), so they are computed in the same pass instead of being
     joined back; only the news features are joined.
     """
-    return _scored(fact, dim_stock, dim_news, "symbol", breakout_exclude_current).select(
+    return _scored(base, index, news, "symbol", breakout_exclude_current).select(
         *ANALYSIS_COLS
     )
 
 
-def daily_stock_analysis_wide(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame,
+def daily_stock_analysis_wide(base: DataFrame, index: DataFrame, news: DataFrame,
                               breakout_exclude_current: bool = False) -> DataFrame:
     """Same scoring with every intermediate column and the stock key."""
-    return _scored(fact, dim_stock, dim_news, "stock_key", breakout_exclude_current).select(
+    return _scored(base, index, news, "stock_key", breakout_exclude_current).select(
         *WIDE_COLS
     )
