@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -69,3 +71,24 @@ def test_analysis_properties(spark):
         | ~F.col("recommendation").isin("BUY", "HOLD", "SELL")
     )
     assert bad.count() == 0
+
+
+@pytest.mark.parametrize("chunk", [7, 30])
+def test_chunked_series_equal_plain(spark, chunk):
+    """Forcing tiny chunks (hot-key path) gives exactly the plain windows' rows."""
+    from tickerlake.plans import features, ml
+    from tickerlake.plans.build import Build
+
+    b = Build(spark, SF_SMALL)
+    base, idx = b.stock_base, b.index_series
+    plain = features.price_features(base, idx, chunk_rows=None)
+    chunked = features.price_features(base, idx, chunk_rows=chunk)
+    cols = plain.columns
+    assert chunked.count() == plain.count()
+    assert chunked.select(*cols).exceptAll(plain.select(*cols)).count() == 0
+    n_plain = features.news_features(b.dim_news, base, chunk_rows=None)
+    n_chunk = features.news_features(b.dim_news, base, chunk_rows=chunk)
+    assert n_chunk.exceptAll(n_plain).count() == 0 and n_chunk.count() == n_plain.count()
+    m_plain = ml.stock_ml(b.fact_stock, b.dim_stock, chunk_rows=None)
+    m_chunk = ml.stock_ml(b.fact_stock, b.dim_stock, chunk_rows=chunk)
+    assert m_chunk.exceptAll(m_plain).count() == 0 and m_chunk.count() == m_plain.count()

@@ -127,3 +127,27 @@ def relationship_failures(child: DataFrame, child_col: str, parent: DataFrame, p
     return child.filter(F.col(child_col).isNotNull()).join(
         keys, F.col(child_col) == F.col("__k"), "left_anti"
     )
+
+
+def relationship_report(links: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """(table_name, column_name, check_name, failures) for foreign-key links.
+
+    ``links`` holds (child name, child frame, child column, parent frame,
+    parent column); each link is one anti join against the parent's distinct
+    keys.
+    """
+    parts = [
+        relationship_failures(child, col, parent, pcol)
+        .agg(F.count(F.lit(1)).cast("long").alias("failures"))
+        .select(
+            F.lit(name).alias("table_name"),
+            F.lit(col).alias("column_name"),
+            F.lit("relationships").alias("check_name"),
+            "failures",
+        )
+        for name, child, col, parent, pcol in links
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import running, safe_div, trailing
+from ..functions import safe_div, trailing
 from ..functions.windows import ordered, rolling_corr
+from ..operators import series
 from ..sources.fixtures import BENCHMARK_SYMBOL
 
 TECHNICAL_COLS = [
@@ -79,22 +80,26 @@ def price_features(
     index: DataFrame,
     part: str = "symbol",
     breakout_exclude_current: bool = False,
+    chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
 ) -> DataFrame:
     """Technical, risk and performance columns for every stock row.
 
     ``breakout_exclude_current`` compares the close with the highest high of
     the 20 rows *before* the current one; the default compares with a frame
-    that includes the current row, as the original model does.
+    that includes the current row, as the original model does.  A key with
+    more than ``chunk_rows`` rows is processed in chunks (``operators.series``).
     """
-    w5, w12, w14, w20, w26, w50 = (trailing(part, n) for n in (4, 11, 13, 19, 25, 49))
-    w0 = ordered(part)
-    close = F.col("close_price")
     joined = base.join(
         index.select("date_key", "index_return", "index_var_20", "index_rolling_return_20"),
         "date_key",
         "left",
     )
-    s1 = joined.select(
+    sr = series.prepare(joined, part, "date_key", back=49, chunk_rows=chunk_rows)
+    P, O = sr.part, sr.order
+    w5, w12, w14, w20, w26, w50 = (trailing(P, n, O) for n in (4, 11, 13, 19, 25, 49))
+    w0 = ordered(P, O)
+    close = F.col("close_price")
+    s1 = sr.df.select(
         "*",
         F.avg(close).over(w5).alias("ma_5"),
         F.avg(close).over(w20).alias("ma_20"),
@@ -104,14 +109,14 @@ def price_features(
         F.avg(close).over(w26).alias("ema_26"),
         F.lag(close, 1).over(w0).alias("prev_close"),
         F.lag(close, 20).over(w0).alias("close_lag_20"),
-        F.first(close).over(running(part)).alias("first_close"),
-        F.max(close).over(running(part)).alias("running_max_close"),
         F.covar_samp("daily_return", "index_return").over(w20).alias("covar_20"),
         F.avg("daily_return").over(w20).alias("avg_return_20"),
         F.max("high_price").over(w20).alias("resistance_level"),
         F.min("low_price").over(w20).alias("support_level"),
-        F.max("high_price").over(ordered(part).rowsBetween(-20, -1)).alias("prior_high_20"),
+        F.max("high_price").over(ordered(P, O).rowsBetween(-20, -1)).alias("prior_high_20"),
     )
+    s1 = sr.with_first(s1, "close_price", "first_close")
+    s1 = sr.with_running_max(s1, "close_price", "running_max_close")
     prev = F.col("prev_close")
     s2 = s1.select(
         "*",
@@ -125,7 +130,7 @@ def price_features(
         F.avg("loss").over(w14).alias("avg_loss"),
     )
     breakout_ref = F.col("prior_high_20") if breakout_exclude_current else F.col("resistance_level")
-    return s3.select(
+    out = s3.select(
         "*",
         F.when(F.col("avg_loss") == 0, F.lit(100.0))
         .otherwise(100 - 100 / (1 + safe_div("avg_gain", "avg_loss")))
@@ -141,6 +146,7 @@ def price_features(
         (safe_div(close, "close_lag_20") - 1).alias("rolling_return_20"),
         (safe_div(close, "first_close") - 1).alias("cumulative_return"),
     )
+    return sr.own(out)
 
 
 def stock_technical(base: DataFrame, index: DataFrame) -> DataFrame:
@@ -166,36 +172,42 @@ def news_counts(dim_news: DataFrame) -> DataFrame:
     )
 
 
-def volume_zscores(base: DataFrame) -> DataFrame:
-    w = trailing("symbol", 20)
+def volume_zscores(base: DataFrame, chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
+    sr = series.prepare(base.select("date_key", "symbol", "volume"), "symbol", back=20,
+                        chunk_rows=chunk_rows)
+    w = trailing(sr.part, 20, sr.order)
     v = F.col("volume")
-    return base.select(
-        "date_key",
-        "symbol",
-        "volume",
+    out = sr.df.select(
+        "*",
         safe_div(v - F.avg(v).over(w), F.stddev_samp(v).over(w)).alias("volume_zscore_20"),
     )
+    return sr.own(out).select("date_key", "symbol", "volume", "volume_zscore_20")
 
 
-def news_features(dim_news: DataFrame, base: DataFrame) -> DataFrame:
+def news_features(dim_news: DataFrame, base: DataFrame,
+                  chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """News-count z-score (21 news days), volume z-score (21 bars), their
     difference and their rolling correlation over the news days."""
     counts = news_counts(dim_news)
-    w = trailing("symbol", 20)
+    nz = series.prepare(counts, "symbol", back=20, chunk_rows=chunk_rows)
+    wn = trailing(nz.part, 20, nz.order)
     n = F.col("news_count")
-    news_z = counts.select(
-        "date_key",
-        "symbol",
-        "news_count",
-        safe_div(n - F.avg(n).over(w), F.stddev_samp(n).over(w)).alias("news_zscore_20"),
+    news_z = nz.own(
+        nz.df.select(
+            "*",
+            safe_div(n - F.avg(n).over(wn), F.stddev_samp(n).over(wn)).alias("news_zscore_20"),
+        )
     )
-    joined = news_z.join(volume_zscores(base), ["date_key", "symbol"], "left")
-    return joined.select(
+    joined = news_z.join(volume_zscores(base, chunk_rows), ["date_key", "symbol"], "left")
+    sr = series.prepare(joined, "symbol", back=20, chunk_rows=chunk_rows)
+    w = trailing(sr.part, 20, sr.order)
+    out = sr.df.select("*", rolling_corr("news_count", "volume", w).alias("vol_news_corr_20"))
+    return sr.own(out).select(
         "date_key",
         "symbol",
         "news_count",
         "news_zscore_20",
         "volume_zscore_20",
         (F.col("news_zscore_20") - F.col("volume_zscore_20")).alias("news_vs_volume_zscore"),
-        rolling_corr("news_count", "volume", w).alias("vol_news_corr_20"),
+        "vol_news_corr_20",
     )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import full_rolling, ordered, safe_div, trailing
+from ..operators import series
 
 ML_COLS = [
     "date_key", "stock_key", "symbol", "city", "next_day_return", "daily_return",
@@ -22,7 +23,8 @@ ML_COLS = [
 ]
 
 
-def stock_ml(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
+def stock_ml(fact: DataFrame, dim_stock: DataFrame,
+             chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
     s = fact.join(dim_stock.select("stock_key", "symbol"), "stock_key", "left").select(
         "date_key",
         "stock_key",
@@ -30,21 +32,24 @@ def stock_ml(fact: DataFrame, dim_stock: DataFrame) -> DataFrame:
         "close_price",
         safe_div(F.col("close_price") - F.col("open_price"), "open_price").alias("daily_return"),
     )
-    w = ordered("stock_key")
+    sr = series.prepare(s, "stock_key", back=19, forward=1, chunk_rows=chunk_rows)
+    P, O = sr.part, sr.order
+    w = ordered(P, O)
     close = F.col("close_price")
-    return s.select(
-        "date_key",
-        "stock_key",
-        "symbol",
-        "daily_return",
+    out = sr.df.select(
+        "*",
         F.lag("daily_return", 1).over(w).alias("return_lag_1"),
         F.lag("daily_return", 3).over(w).alias("return_lag_3"),
         F.lag("daily_return", 5).over(w).alias("return_lag_5"),
-        full_rolling(F.avg(close), close, trailing("stock_key", 4), 5).alias("ma_5"),
-        full_rolling(F.avg(close), close, trailing("stock_key", 19), 20).alias("ma_20"),
-        full_rolling(F.stddev_samp(close), close, trailing("stock_key", 19), 20).alias("vol_20"),
+        full_rolling(F.avg(close), close, trailing(P, 4, O), 5).alias("ma_5"),
+        full_rolling(F.avg(close), close, trailing(P, 19, O), 20).alias("ma_20"),
+        full_rolling(F.stddev_samp(close), close, trailing(P, 19, O), 20).alias("vol_20"),
         F.lead("daily_return", 1).over(w).alias("next_day_return"),
     )
+    return sr.own(out).select(
+        "date_key", "stock_key", "symbol", "daily_return", "return_lag_1", "return_lag_3",
+        "return_lag_5", "ma_5", "ma_20", "vol_20", "next_day_return",
+    )
 
 
 def weather_ml(bridge_weather: DataFrame, dim_weather: DataFrame) -> DataFrame:

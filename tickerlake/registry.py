@@ -270,6 +270,24 @@ QUERIES: list[Query] = [
         "table_name:s column_name:s check_name:s failures:l",
         oracle.quality_sql(quality.SOURCE_CHECKS),
     ),
+    Query(
+        "quality_relationships",
+        lambda b: quality.relationship_report([
+            ("fact_stock", b.fact_stock, "stock_key", b.dim_stock, "stock_key"),
+            ("bridge_daily_news", b.bridge_daily_news, "news_key", b.dim_news, "news_key"),
+            ("bridge_daily_weather", b.bridge_daily_weather, "weather_key", b.dim_weather,
+             "weather_key"),
+        ]),
+        "table_name:s column_name:s check_name:s failures:l",
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS table_name, '{k}' AS column_name, 'relationships' AS check_name, "
+            f"CAST(count(*) AS BIGINT) AS failures FROM {c} x WHERE x.{k} IS NOT NULL AND NOT "
+            f"EXISTS (SELECT 1 FROM {p} y WHERE y.{k} = x.{k})"
+            for c, k, p in [("fact_stock", "stock_key", "dim_stock"),
+                            ("bridge_daily_news", "news_key", "dim_news"),
+                            ("bridge_daily_weather", "weather_key", "dim_weather")]
+        ),
+    ),
     # incremental loads: two loads (to the cut-off day, then all) == full build
     Query("incremental_fact", lambda b: incremental_fact(b), FACT, "SELECT * FROM fact_stock"),
     Query(
