@@ -52,7 +52,7 @@ def main() -> None:
     total = round(time.perf_counter() - t_all, 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
-        "metric": "pipeline_total",
+        "metric": "model_graph_total",
         "value": total,
         "unit": "sec",
         "queries": times,

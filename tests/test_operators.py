@@ -92,3 +92,16 @@ def test_chunked_series_equal_plain(spark, chunk):
     m_plain = ml.stock_ml(b.fact_stock, b.dim_stock, chunk_rows=None)
     m_chunk = ml.stock_ml(b.fact_stock, b.dim_stock, chunk_rows=chunk)
     assert m_chunk.exceptAll(m_plain).count() == 0 and m_chunk.count() == m_plain.count()
+
+
+def test_write_models_roundtrip(spark, tmp_dir):
+    from tickerlake.plans.build import Build
+    from tickerlake.plans.materialize import write_models
+
+    b = Build(spark, SF_SMALL)
+    out = write_models(b, f"{tmp_dir}/wh", names=["fact_stock", "dim_symbols", "daily_stock_analysis"])
+    fact = spark.read.parquet(out["fact_stock"])
+    assert "month_key" in fact.columns
+    assert fact.drop("month_key").exceptAll(b.fact_stock).count() == 0
+    assert spark.read.parquet(out["dim_symbols"]).count() == b.symbol_profile.count()
+    assert spark.read.parquet(out["daily_stock_analysis"]).count() == b.fact_stock.count()

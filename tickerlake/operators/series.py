@@ -115,11 +115,22 @@ def prepare(
     forward: int = 0,
     chunk_rows: int | None = DEFAULT_CHUNK_ROWS,
     force: bool = False,
+    largest: int | None = None,
 ) -> Series:
     """Plain per-key windows when every key fits ``chunk_rows``; chunked
-    series with ``back``/``forward`` halo rows otherwise."""
-    if chunk_rows is None or (not force and largest_key(df, key) <= chunk_rows):
+    series with ``back``/``forward`` halo rows otherwise.
+
+    ``largest`` is the size of the largest key when the caller knows it (for
+    instance from the table the frame derives from); the choice only sizes
+    tasks, results are the same either way.
+    """
+    if chunk_rows is None:
         return Series(df, key, [key], order, False)
+    if not force:
+        if largest is None:
+            largest = largest_key(df, key)
+        if largest <= chunk_rows:
+            return Series(df, key, [key], order, False)
     pos = positions(df, key, [order])
     p = F.col("__pos")
     k = ((p - 1) / chunk_rows).cast("long")

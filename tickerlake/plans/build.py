@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import series
 from ..session import shared_path
 from ..sources import fixtures, raw
 from . import features, marts, ml, templates, warehouse
@@ -94,6 +95,16 @@ class Build:
     def stock_base(self) -> DataFrame:
         return features.stock_base(self.fact_stock, self.dim_stock)
 
+    @cached_property
+    def largest_stock_series(self) -> int:
+        """Rows of the longest stock series (one aggregate row); sizes the
+        window tasks of every per-symbol feature."""
+        return series.largest_key(self.fact_stock, "stock_key")
+
+    @cached_property
+    def largest_news_series(self) -> int:
+        return series.largest_key(features.news_counts(self.dim_news), "symbol")
+
     @cached_property
     def index_series(self) -> DataFrame:
         # One row per benchmark day; stored so its file size decides whether
@@ -102,34 +113,44 @@ class Build:
 
     @cached_property
     def news_feature_table(self) -> DataFrame:
-        return self.table(features.news_features(self.dim_news, self.stock_base), "news_features")
+        return self.table(
+            features.news_features(
+                self.dim_news, self.stock_base,
+                largest_stock=self.largest_stock_series, largest_news=self.largest_news_series,
+            ),
+            "news_features",
+        )
 
     def stock_technical(self) -> DataFrame:
-        return features.stock_technical(self.stock_base, self.index_series)
+        return features.stock_technical(self.stock_base, self.index_series, self.largest_stock_series)
 
     def stock_risk(self) -> DataFrame:
-        return features.stock_risk(self.stock_base, self.index_series)
+        return features.stock_risk(self.stock_base, self.index_series, self.largest_stock_series)
 
     def stock_performance(self, breakout_exclude_current: bool = False) -> DataFrame:
-        return features.stock_performance(self.stock_base, self.index_series, breakout_exclude_current)
+        return features.stock_performance(
+            self.stock_base, self.index_series, breakout_exclude_current, self.largest_stock_series
+        )
 
     def news_features(self) -> DataFrame:
         return self.news_feature_table
 
     def daily_stock_analysis(self, breakout_exclude_current: bool = False) -> DataFrame:
         return marts.daily_stock_analysis(
-            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current
+            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current,
+            self.largest_stock_series,
         )
 
     def daily_stock_analysis_wide(self, breakout_exclude_current: bool = False) -> DataFrame:
         return marts.daily_stock_analysis_wide(
-            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current
+            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current,
+            self.largest_stock_series,
         )
 
     def ml_features(self) -> DataFrame:
         return ml.ml_features(
             self.fact_stock, self.dim_stock, self.bridge_daily_weather, self.dim_weather,
-            self.bridge_daily_news,
+            self.bridge_daily_news, largest=self.largest_stock_series,
         )
 
     # -- template marts --------------------------------------------------

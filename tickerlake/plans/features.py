@@ -81,6 +81,7 @@ def price_features(
     part: str = "symbol",
     breakout_exclude_current: bool = False,
     chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
+    largest: int | None = None,
 ) -> DataFrame:
     """Technical, risk and performance columns for every stock row.
 
@@ -94,7 +95,7 @@ def price_features(
         "date_key",
         "left",
     )
-    sr = series.prepare(joined, part, "date_key", back=49, chunk_rows=chunk_rows)
+    sr = series.prepare(joined, part, "date_key", back=49, chunk_rows=chunk_rows, largest=largest)
     P, O = sr.part, sr.order
     w5, w12, w14, w20, w26, w50 = (trailing(P, n, O) for n in (4, 11, 13, 19, 25, 49))
     w0 = ordered(P, O)
@@ -149,18 +150,19 @@ def price_features(
     return sr.own(out)
 
 
-def stock_technical(base: DataFrame, index: DataFrame) -> DataFrame:
-    return price_features(base, index).select(*TECHNICAL_COLS)
+def stock_technical(base: DataFrame, index: DataFrame, largest: int | None = None) -> DataFrame:
+    return price_features(base, index, largest=largest).select(*TECHNICAL_COLS)
 
 
-def stock_risk(base: DataFrame, index: DataFrame) -> DataFrame:
-    return price_features(base, index).select(*RISK_COLS)
+def stock_risk(base: DataFrame, index: DataFrame, largest: int | None = None) -> DataFrame:
+    return price_features(base, index, largest=largest).select(*RISK_COLS)
 
 
-def stock_performance(base: DataFrame, index: DataFrame, breakout_exclude_current: bool = False) -> DataFrame:
-    return price_features(base, index, breakout_exclude_current=breakout_exclude_current).select(
-        *PERFORMANCE_COLS
-    )
+def stock_performance(base: DataFrame, index: DataFrame, breakout_exclude_current: bool = False,
+                      largest: int | None = None) -> DataFrame:
+    return price_features(
+        base, index, breakout_exclude_current=breakout_exclude_current, largest=largest
+    ).select(*PERFORMANCE_COLS)
 
 
 def news_counts(dim_news: DataFrame) -> DataFrame:
@@ -172,9 +174,10 @@ def news_counts(dim_news: DataFrame) -> DataFrame:
     )
 
 
-def volume_zscores(base: DataFrame, chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
+def volume_zscores(base: DataFrame, chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
+                   largest: int | None = None) -> DataFrame:
     sr = series.prepare(base.select("date_key", "symbol", "volume"), "symbol", back=20,
-                        chunk_rows=chunk_rows)
+                        chunk_rows=chunk_rows, largest=largest)
     w = trailing(sr.part, 20, sr.order)
     v = F.col("volume")
     out = sr.df.select(
@@ -185,11 +188,15 @@ def volume_zscores(base: DataFrame, chunk_rows: int | None = series.DEFAULT_CHUN
 
 
 def news_features(dim_news: DataFrame, base: DataFrame,
-                  chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
+                  chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
+                  largest_stock: int | None = None,
+                  largest_news: int | None = None) -> DataFrame:
     """News-count z-score (21 news days), volume z-score (21 bars), their
     difference and their rolling correlation over the news days."""
     counts = news_counts(dim_news)
-    nz = series.prepare(counts, "symbol", back=20, chunk_rows=chunk_rows)
+    if chunk_rows is not None and largest_news is None:
+        largest_news = series.largest_key(counts, "symbol")
+    nz = series.prepare(counts, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)
     wn = trailing(nz.part, 20, nz.order)
     n = F.col("news_count")
     news_z = nz.own(
@@ -198,8 +205,10 @@ def news_features(dim_news: DataFrame, base: DataFrame,
             safe_div(n - F.avg(n).over(wn), F.stddev_samp(n).over(wn)).alias("news_zscore_20"),
         )
     )
-    joined = news_z.join(volume_zscores(base, chunk_rows), ["date_key", "symbol"], "left")
-    sr = series.prepare(joined, "symbol", back=20, chunk_rows=chunk_rows)
+    joined = news_z.join(volume_zscores(base, chunk_rows, largest_stock), ["date_key", "symbol"],
+                         "left")
+    # one row per news day when the bars keep their grain: size as the news series
+    sr = series.prepare(joined, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)
     w = trailing(sr.part, 20, sr.order)
     out = sr.df.select("*", rolling_corr("news_count", "volume", w).alias("vol_news_corr_20"))
     return sr.own(out).select(

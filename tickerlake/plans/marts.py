@@ -53,8 +53,9 @@ def recommendation(s: Column) -> Column:
 
 
 def _scored(base: DataFrame, index: DataFrame, news: DataFrame, part: str,
-            breakout_exclude_current: bool) -> DataFrame:
-    feats = price_features(base, index, part=part, breakout_exclude_current=breakout_exclude_current)
+            breakout_exclude_current: bool, largest: int | None) -> DataFrame:
+    feats = price_features(base, index, part=part, breakout_exclude_current=breakout_exclude_current,
+                           largest=largest)
     merged = feats.join(news, ["symbol", "date_key"], "left")
     with_score = merged.withColumn("score", score())
     return with_score.withColumn("recommendation", recommendation(F.col("score")))
@@ -67,21 +68,23 @@ def inputs(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame):
 
 
 def daily_stock_analysis(base: DataFrame, index: DataFrame, news: DataFrame,
-                         breakout_exclude_current: bool = False) -> DataFrame:
+                         breakout_exclude_current: bool = False,
+                         largest: int | None = None) -> DataFrame:
     """Technical, risk, performance and news features with score and label.
 
     Risk and performance are derived from the technical rows of the same
     (symbol, day), so they are computed in the same pass instead of being
     joined back; only the news features are joined.
     """
-    return _scored(base, index, news, "symbol", breakout_exclude_current).select(
+    return _scored(base, index, news, "symbol", breakout_exclude_current, largest).select(
         *ANALYSIS_COLS
     )
 
 
 def daily_stock_analysis_wide(base: DataFrame, index: DataFrame, news: DataFrame,
-                              breakout_exclude_current: bool = False) -> DataFrame:
+                              breakout_exclude_current: bool = False,
+                              largest: int | None = None) -> DataFrame:
     """Same scoring with every intermediate column and the stock key."""
-    return _scored(base, index, news, "stock_key", breakout_exclude_current).select(
+    return _scored(base, index, news, "stock_key", breakout_exclude_current, largest).select(
         *WIDE_COLS
     )

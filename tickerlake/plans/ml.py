@@ -24,7 +24,8 @@ ML_COLS = [
 
 
 def stock_ml(fact: DataFrame, dim_stock: DataFrame,
-             chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
+             chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
+             largest: int | None = None) -> DataFrame:
     s = fact.join(dim_stock.select("stock_key", "symbol"), "stock_key", "left").select(
         "date_key",
         "stock_key",
@@ -32,7 +33,8 @@ def stock_ml(fact: DataFrame, dim_stock: DataFrame,
         "close_price",
         safe_div(F.col("close_price") - F.col("open_price"), "open_price").alias("daily_return"),
     )
-    sr = series.prepare(s, "stock_key", back=19, forward=1, chunk_rows=chunk_rows)
+    sr = series.prepare(s, "stock_key", back=19, forward=1, chunk_rows=chunk_rows,
+                        largest=largest)
     P, O = sr.part, sr.order
     w = ordered(P, O)
     close = F.col("close_price")
@@ -99,8 +101,9 @@ def ml_features(
     bridge_weather: DataFrame,
     dim_weather: DataFrame,
     bridge_news: DataFrame,
+    largest: int | None = None,
 ) -> DataFrame:
-    stock = stock_ml(fact, dim_stock)
+    stock = stock_ml(fact, dim_stock, largest=largest)
     weather = weather_ml(bridge_weather, dim_weather)
     news = news_ml(bridge_news)
     j = stock.join(weather, "date_key", "left").join(news, "date_key", "left")
