@@ -1,6 +1,8 @@
 """Benchmark: the whole model graph on one input scale, one JSON line out.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_REPLICATE (default 1: replicate every symbol and its news N times, to
+measure how the per-symbol work scales with the number of series).
 Phases run in pipeline order on one build: feeds (RAW tables), warehouse
 tables, then every registered query, each forced with a no-op write so all
 of its work runs without collecting rows to the driver.
@@ -18,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tickerlake.plans.build import Build  # noqa: E402
 from tickerlake.registry import QUERIES  # noqa: E402
 from tickerlake.session import get_spark  # noqa: E402
+from tickerlake.sources import fixtures  # noqa: E402
 
 
 def run(df) -> None:
@@ -30,7 +33,11 @@ def main() -> None:
     spark = get_spark(
         app="tickerlake-bench", cores=cpus, shuffle_partitions=max(8, 2 * cpus), driver_memory="16g"
     )
-    b = Build(spark, sf_dir)
+    copies = int(os.environ.get("BENCH_REPLICATE", "1"))
+    feeds = None
+    if copies > 1:
+        feeds = fixtures.replicate_symbols(fixtures.load_sources(spark, sf_dir), copies)
+    b = Build(spark, sf_dir, sources=feeds)
     times: dict[str, float] = {}
 
     def timed(name, fn):
@@ -44,7 +51,7 @@ def main() -> None:
     timed("feed_news", lambda: b.raw_news)
     timed("feed_weather", lambda: b.raw_weather)
     for name in ("dim_stock", "dim_news", "dim_weather", "fact_stock", "bridge_daily_news",
-                 "bridge_daily_weather", "index_series", "news_feature_table"):
+                 "bridge_daily_weather", "index_series", "price_feature_table", "news_feature_table"):
         timed(f"build_{name}", lambda n=name: getattr(b, n))
     # Every registered query, reading the stored tables.
     for q in QUERIES:
@@ -58,6 +65,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
+        "replicate": copies,
     }))
     spark.stop()
 

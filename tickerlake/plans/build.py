@@ -121,30 +121,37 @@ class Build:
             "news_features",
         )
 
+    @cached_property
+    def price_feature_table(self) -> DataFrame:
+        """All per-symbol price columns, computed in one window pass and
+        stored; the technical, risk, performance and analysis marts read it."""
+        return self.table(
+            features.price_features(
+                self.stock_base, self.index_series, largest=self.largest_stock_series
+            ),
+            "price_features",
+        )
+
     def stock_technical(self) -> DataFrame:
-        return features.stock_technical(self.stock_base, self.index_series, self.largest_stock_series)
+        return features.stock_technical(self.price_feature_table)
 
     def stock_risk(self) -> DataFrame:
-        return features.stock_risk(self.stock_base, self.index_series, self.largest_stock_series)
+        return features.stock_risk(self.price_feature_table)
 
     def stock_performance(self, breakout_exclude_current: bool = False) -> DataFrame:
-        return features.stock_performance(
-            self.stock_base, self.index_series, breakout_exclude_current, self.largest_stock_series
-        )
+        return features.stock_performance(self.price_feature_table, breakout_exclude_current)
 
     def news_features(self) -> DataFrame:
         return self.news_feature_table
 
     def daily_stock_analysis(self, breakout_exclude_current: bool = False) -> DataFrame:
         return marts.daily_stock_analysis(
-            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current,
-            self.largest_stock_series,
+            self.price_feature_table, self.news_feature_table, breakout_exclude_current
         )
 
     def daily_stock_analysis_wide(self, breakout_exclude_current: bool = False) -> DataFrame:
         return marts.daily_stock_analysis_wide(
-            self.stock_base, self.index_series, self.news_feature_table, breakout_exclude_current,
-            self.largest_stock_series,
+            self.price_feature_table, self.news_feature_table, breakout_exclude_current
         )
 
     def ml_features(self) -> DataFrame:

@@ -79,16 +79,17 @@ def price_features(
     base: DataFrame,
     index: DataFrame,
     part: str = "symbol",
-    breakout_exclude_current: bool = False,
     chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
     largest: int | None = None,
 ) -> DataFrame:
     """Technical, risk and performance columns for every stock row.
 
-    ``breakout_exclude_current`` compares the close with the highest high of
-    the 20 rows *before* the current one; the default compares with a frame
-    that includes the current row, as the original model does.  A key with
-    more than ``chunk_rows`` rows is processed in chunks (``operators.series``).
+    ``breakout_signal`` compares the close with the highest high of a frame
+    that includes the current row, as the original model does;
+    ``breakout_signal_prior`` compares it with the 20 rows *before* the
+    current one.  A key with more than ``chunk_rows`` rows is processed in
+    chunks (``operators.series``).  Partitioning by ``symbol`` or by
+    ``stock_key`` gives the same rows (the dimension maps them one to one).
     """
     joined = base.join(
         index.select("date_key", "index_return", "index_var_20", "index_rolling_return_20"),
@@ -130,7 +131,6 @@ def price_features(
         F.avg("gain").over(w14).alias("avg_gain"),
         F.avg("loss").over(w14).alias("avg_loss"),
     )
-    breakout_ref = F.col("prior_high_20") if breakout_exclude_current else F.col("resistance_level")
     out = s3.select(
         "*",
         F.when(F.col("avg_loss") == 0, F.lit(100.0))
@@ -139,7 +139,8 @@ def price_features(
         safe_div("covar_20", "index_var_20").alias("beta_20"),
         safe_div("avg_return_20", "vol_20").alias("sharpe_20"),
         (safe_div(close, "running_max_close") - 1).alias("drawdown"),
-        F.coalesce(close > breakout_ref, F.lit(False)).alias("breakout_signal"),
+        F.coalesce(close > F.col("resistance_level"), F.lit(False)).alias("breakout_signal"),
+        F.coalesce(close > F.col("prior_high_20"), F.lit(False)).alias("breakout_signal_prior"),
         F.when(F.col("ma_5") > F.col("ma_20"), "Uptrend")
         .when(F.col("ma_5") < F.col("ma_20"), "Downtrend")
         .otherwise("Sideways")
@@ -150,19 +151,23 @@ def price_features(
     return sr.own(out)
 
 
-def stock_technical(base: DataFrame, index: DataFrame, largest: int | None = None) -> DataFrame:
-    return price_features(base, index, largest=largest).select(*TECHNICAL_COLS)
+def with_breakout(feats: DataFrame, exclude_current: bool = False) -> DataFrame:
+    """Pick the breakout definition (see :func:`price_features`)."""
+    if exclude_current:
+        return feats.withColumn("breakout_signal", F.col("breakout_signal_prior"))
+    return feats
 
 
-def stock_risk(base: DataFrame, index: DataFrame, largest: int | None = None) -> DataFrame:
-    return price_features(base, index, largest=largest).select(*RISK_COLS)
+def stock_technical(feats: DataFrame) -> DataFrame:
+    return feats.select(*TECHNICAL_COLS)
 
 
-def stock_performance(base: DataFrame, index: DataFrame, breakout_exclude_current: bool = False,
-                      largest: int | None = None) -> DataFrame:
-    return price_features(
-        base, index, breakout_exclude_current=breakout_exclude_current, largest=largest
-    ).select(*PERFORMANCE_COLS)
+def stock_risk(feats: DataFrame) -> DataFrame:
+    return feats.select(*RISK_COLS)
+
+
+def stock_performance(feats: DataFrame, breakout_exclude_current: bool = False) -> DataFrame:
+    return with_breakout(feats, breakout_exclude_current).select(*PERFORMANCE_COLS)
 
 
 def news_counts(dim_news: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flag_points
-from .features import index_series, news_features, price_features, stock_base
+from .features import index_series, news_features, price_features, stock_base, with_breakout
 
 ANALYSIS_COLS = [
     "date_key", "symbol", "open_price", "close_price", "high_price", "low_price", "volume",
@@ -52,39 +52,35 @@ def recommendation(s: Column) -> Column:
     return F.when(s >= 70, "BUY").when(s >= 40, "HOLD").otherwise("SELL")
 
 
-def _scored(base: DataFrame, index: DataFrame, news: DataFrame, part: str,
-            breakout_exclude_current: bool, largest: int | None) -> DataFrame:
-    feats = price_features(base, index, part=part, breakout_exclude_current=breakout_exclude_current,
-                           largest=largest)
+def _scored(feats: DataFrame, news: DataFrame, breakout_exclude_current: bool) -> DataFrame:
+    feats = with_breakout(feats, breakout_exclude_current)
     merged = feats.join(news, ["symbol", "date_key"], "left")
     with_score = merged.withColumn("score", score())
     return with_score.withColumn("recommendation", recommendation(F.col("score")))
 
 
 def inputs(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame):
-    """(stock base, benchmark series, news features) from warehouse tables."""
+    """(price features, news features) from warehouse tables."""
     base = stock_base(fact, dim_stock)
-    return base, index_series(base), news_features(dim_news, base)
+    return price_features(base, index_series(base)), news_features(dim_news, base)
 
 
-def daily_stock_analysis(base: DataFrame, index: DataFrame, news: DataFrame,
-                         breakout_exclude_current: bool = False,
-                         largest: int | None = None) -> DataFrame:
+def daily_stock_analysis(feats: DataFrame, news: DataFrame,
+                         breakout_exclude_current: bool = False) -> DataFrame:
     """Technical, risk, performance and news features with score and label.
 
     Risk and performance are derived from the technical rows of the same
-    (symbol, day), so they are computed in the same pass instead of being
+    (symbol, day), so they come from the same feature pass instead of being
     joined back; only the news features are joined.
     """
-    return _scored(base, index, news, "symbol", breakout_exclude_current, largest).select(
+    return _scored(feats, news, breakout_exclude_current).select(
         *ANALYSIS_COLS
     )
 
 
-def daily_stock_analysis_wide(base: DataFrame, index: DataFrame, news: DataFrame,
-                              breakout_exclude_current: bool = False,
-                              largest: int | None = None) -> DataFrame:
+def daily_stock_analysis_wide(feats: DataFrame, news: DataFrame,
+                              breakout_exclude_current: bool = False) -> DataFrame:
     """Same scoring with every intermediate column and the stock key."""
-    return _scored(base, index, news, "stock_key", breakout_exclude_current, largest).select(
+    return _scored(feats, news, breakout_exclude_current).select(
         *WIDE_COLS
     )

@@ -174,3 +174,25 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "stocks": stock_api(spark, sf_dir),
         "weather": weather_api(spark, sf_dir),
     }
+
+
+def replicate_symbols(feeds: dict[str, DataFrame], copies: int) -> dict[str, DataFrame]:
+    """Scale-out copies of the stock and news feeds for benchmarks: every
+    symbol ``s`` is kept and gets copies ``s~1 .. s~{copies-1}`` with the same
+    bars, and every article is repeated once per copy with a distinct id and
+    the copy's symbol (the benchmark symbol itself stays).  Weather is
+    unchanged."""
+    if copies <= 1:
+        return feeds
+    k = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("__copy")
+    c = F.col("__copy")
+
+    def renamed(col):
+        return F.when(c == 0, F.col(col)).otherwise(F.concat(F.col(col), F.lit("~"), c.cast("string")))
+
+    stocks = feeds["stocks"].select("*", k).withColumn("symbol", renamed("symbol")).drop("__copy")
+    news = feeds["news"].select("*", k)
+    news = news.withColumn("id", F.col("id") * copies + c).withColumn(
+        "related", renamed("related")
+    ).drop("__copy")
+    return {"stocks": stocks, "news": news, "weather": feeds["weather"]}
