@@ -258,3 +258,12 @@ def test_f13_weather_day_without_market(spark):
     assert empty["stocks_tracked"] == 0
     assert empty["stocks_up"] == empty["stocks_down"] == empty["stocks_flat"] == 0
     assert empty["avg_pct_change"] is None and empty["total_market_volume"] is None
+
+
+def test_f11b_identical_bars_count_every_copy(spark):
+    bar = ("AAA", 0, 1.0, 2.0, 0.5, 1.5, 10)
+    b = build(spark, stocks=[bar, bar], news_rows=[(1, "a", 0, "x", "AAA"), (2, "b", 0, "x", "AAA")])
+    (r,) = collect(b.daily_stocks, order=("symbol",))
+    assert r["news_article_count"] == 4
+    assert r["headlines"] == ["a", "a", "b", "b"]
+    assert r["news_categories"] == ["x"]

@@ -171,7 +171,8 @@ class Build:
 
     @cached_property
     def daily_stocks(self) -> DataFrame:
-        return templates.daily_stocks(self.raw_stocks, self.raw_news)
+        # warehouse fact read by the stock-news and weather-market marts
+        return self.table(templates.daily_stocks(self.raw_stocks, self.raw_news), "daily_stocks")
 
     @cached_property
     def daily_weather(self) -> DataFrame:
@@ -179,12 +180,18 @@ class Build:
 
     @cached_property
     def stock_news_daily(self) -> DataFrame:
-        return templates.stock_news_daily(self.daily_stocks, self.symbol_profile)
+        # mart read by two reports
+        return self.table(
+            templates.stock_news_daily(self.daily_stocks, self.symbol_profile), "stock_news_daily"
+        )
 
     @cached_property
     def weather_market_conditions(self) -> DataFrame:
-        return templates.weather_market_conditions(
-            self.daily_weather, self.city_climate, self.daily_stocks
+        return self.table(
+            templates.weather_market_conditions(
+                self.daily_weather, self.city_climate, self.daily_stocks
+            ),
+            "weather_market_conditions",
         )
 
     @cached_property

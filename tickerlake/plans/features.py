@@ -29,6 +29,11 @@ PERFORMANCE_COLS = TECHNICAL_COLS + [
     "resistance_level", "support_level", "breakout_signal", "trend_direction",
     "rolling_return_20", "cumulative_return", "index_rolling_return_20",
 ]
+# Everything the marts read from the price pass (helper columns stay behind).
+PRICE_FEATURE_COLS = (
+    ["stock_key"] + TECHNICAL_COLS + ["index_return", "beta_20", "sharpe_20", "drawdown"]
+    + PERFORMANCE_COLS[len(TECHNICAL_COLS):] + ["breakout_signal_prior"]
+)
 NEWS_FEATURE_COLS = [
     "date_key", "symbol", "news_count", "news_zscore_20", "volume_zscore_20",
     "news_vs_volume_zscore", "vol_news_corr_20",
@@ -148,7 +153,7 @@ def price_features(
         (safe_div(close, "close_lag_20") - 1).alias("rolling_return_20"),
         (safe_div(close, "first_close") - 1).alias("cumulative_return"),
     )
-    return sr.own(out)
+    return sr.own(out).select(*PRICE_FEATURE_COLS)
 
 
 def with_breakout(feats: DataFrame, exclude_current: bool = False) -> DataFrame:

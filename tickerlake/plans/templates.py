@@ -75,32 +75,39 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
     """One row per bar (symbol, day, OHLCV) with range, change, direction and
     the day's news for the symbol.
 
-    Identical bars are one group whose article count and headline list count
-    every copy, as a GROUP BY over the bar-article join would.  The join is
-    hash-partitioned on (symbol, trade_date), which already clusters the
-    grouping keys, so the grouping adds no second shuffle.
+    Identical bars form one group whose article count and headline list count
+    every copy, as a GROUP BY over the bar-article join would.  The copies are
+    counted on the bars alone (no arrays involved), then each distinct bar
+    meets its day's news aggregate once.  Both sides are hash-partitioned on
+    (symbol, trade_date), which also clusters the bar grouping, so the bars
+    cross the network once.
     """
-    bars = with_trade_date(raw_stocks)
+    bars = with_trade_date(raw_stocks).repartition("symbol", "trade_date")
+    distinct_bars = bars.groupBy(*DAILY_STOCK_KEYS).agg(F.count(F.lit(1)).alias("copies"))
     news = news_by_symbol_day(raw_news)
-    j = bars.join(news, ["symbol", "trade_date"], "left")
-    g = j.groupBy(*DAILY_STOCK_KEYS).agg(
-        F.coalesce(F.sum("n_articles"), F.lit(0)).cast("long").alias("news_article_count"),
-        F.flatten(F.collect_list("n_headlines")).alias("h"),
-        F.flatten(F.collect_list("n_categories")).alias("c"),
-    )
+    j = distinct_bars.join(news, ["symbol", "trade_date"], "left")
+    m = F.col("copies")
     o, c = F.col("open"), F.col("close")
-    return g.select(
+    return j.select(
         *DAILY_STOCK_KEYS,
         (F.col("high") - F.col("low")).alias("daily_range"),
         (c - o).alias("daily_change"),
         round_half_up(pct(c - o, o), 4).alias("pct_change"),
         direction(o, c).alias("direction"),
-        "news_article_count",
-        F.sort_array(F.array_distinct("c")).alias("news_categories"),
-        F.sort_array("h").alias("headlines"),
+        (F.coalesce(F.col("n_articles"), F.lit(0)) * m).cast("long").alias("news_article_count"),
+        F.coalesce(F.sort_array("n_categories"), F.array().cast("array<string>")).alias(
+            "news_categories"
+        ),
+        F.coalesce(F.sort_array(_repeat(F.col("n_headlines"), m)), F.array().cast("array<string>"))
+        .alias("headlines"),
     )
 
 
+def _repeat(arr, copies):
+    """Each element ``copies`` times (identical bars each meet every article)."""
+    return F.when(copies == 1, arr).otherwise(F.flatten(F.array_repeat(arr, copies.cast("int"))))
+
+
 def stock_news_daily(daily: DataFrame, profile: DataFrame) -> DataFrame:
     """Daily bars with news plus the symbol's all-time context."""
     p = profile.select("symbol", "all_time_high", "all_time_low", "avg_close_price")
