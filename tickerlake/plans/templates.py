@@ -75,12 +75,13 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
     """One row per bar (symbol, day, OHLCV) with range, change, direction and
     the day's news for the symbol.
 
-    Identical bars form one group whose article count and headline list count
-    every copy, as a GROUP BY over the bar-article join would.  The copies are
-    counted on the bars alone (no arrays involved), then each distinct bar
-    meets its day's news aggregate once.  Both sides are hash-partitioned on
-    (symbol, trade_date), which also clusters the bar grouping, so the bars
-    cross the network once.
+    Identical bars form one group whose article count counts every copy, as a
+    GROUP BY over the bar-article join would (copies x articles, computed as a
+    product).  The headline list holds each article once: repeating it per
+    copy would materialise every (copy, article) pair.  The copies are counted
+    on the bars alone, then each distinct bar meets its day's news aggregate
+    once.  Both sides are hash-partitioned on (symbol, trade_date), which also
+    clusters the bar grouping, so the bars cross the network once.
     """
     bars = with_trade_date(raw_stocks).repartition("symbol", "trade_date")
     distinct_bars = bars.groupBy(*DAILY_STOCK_KEYS).agg(F.count(F.lit(1)).alias("copies"))
@@ -98,16 +99,10 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
         F.coalesce(F.sort_array("n_categories"), F.array().cast("array<string>")).alias(
             "news_categories"
         ),
-        F.coalesce(F.sort_array(_repeat(F.col("n_headlines"), m)), F.array().cast("array<string>"))
-        .alias("headlines"),
+        F.coalesce(F.sort_array("n_headlines"), F.array().cast("array<string>")).alias("headlines"),
     )
 
 
-def _repeat(arr, copies):
-    """Each element ``copies`` times (identical bars each meet every article)."""
-    return F.when(copies == 1, arr).otherwise(F.flatten(F.array_repeat(arr, copies.cast("int"))))
-
-
 def stock_news_daily(daily: DataFrame, profile: DataFrame) -> DataFrame:
     """Daily bars with news plus the symbol's all-time context."""
     p = profile.select("symbol", "all_time_high", "all_time_low", "avg_close_price")
