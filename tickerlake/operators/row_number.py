@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
+# Target rows per range partition when the partition count is derived from the input.
+ROWS_PER_PARTITION = 2_000_000
 
 
 def _sort_cols(df: DataFrame, order: list[str | Column], tiebreak: bool) -> list[Column]:
@@ -33,16 +35,24 @@ def global_row_number(
     out_col: str = "row_number",
     num_partitions: int | None = None,
     tiebreak: bool = True,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Append ``out_col`` (long, 1-based) numbering the rows by ``order``.
 
     Ties in ``order`` are broken by the remaining columns (``tiebreak``), so
-    the numbering is deterministic.  NULL keys sort last.
+    the numbering is deterministic and rows sharing a hot key value can still
+    land in different range partitions.  NULL keys sort last.  Without
+    ``num_partitions`` the partition count grows with the input: at least the
+    session's shuffle partitions, and enough for ``rows_per_partition`` rows
+    each (range partitions are not split later by adaptive execution).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     sort_cols = _sort_cols(df, order, tiebreak)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions
+    if n is None:
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                -(-df.count() // rows_per_partition))
     tagged = (
         df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
