@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tickerlake.plans.build import Build
 from tickerlake.sources.raw import NEWS_SCHEMA, STOCK_SCHEMA, WEATHER_FEED_SCHEMA

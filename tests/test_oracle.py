@@ -1,7 +1,6 @@
 """Every registered query against its SQL oracle on the smallest driver tables."""
 
 import hashlib
-import os
 
 import duckdb
 import pytest
