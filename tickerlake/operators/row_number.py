@@ -4,9 +4,10 @@
 row into one task.  Instead the rows are range-partitioned on the order key
 (equal keys share a partition and partition i holds smaller keys than i+1),
 sorted inside each partition, and tagged with (partition, position).  The
-tagged rows are checkpointed to the shared checkpoint folder so a lost
-executor cannot re-draw the range bounds, then a per-partition row count --
-one row per partition -- gives each partition its starting offset.
+tagged rows are written as a parquet table in the shared checkpoint folder
+(cheaper than an RDD checkpoint of wide rows) so a lost executor cannot
+re-draw the range bounds, then a per-partition row count -- one row per
+partition -- gives each partition its starting offset.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 # Target rows per range partition when the partition count is derived from the input.
@@ -47,18 +48,22 @@ def global_row_number(
     each (range partitions are not split later by adaptive execution).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     sort_cols = _sort_cols(df, order, tiebreak)
     n = num_partitions
     if n is None:
         n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                 -(-df.count() // rows_per_partition))
-    tagged = (
+    # The tagged rows are written once (parquet in the shared folder) and
+    # read back, so the offsets and the numbering see the same partitions.
+    path = shared_path(spark, "row_number")
+    (
         df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("__rid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .write.mode("overwrite")
+        .parquet(path)
     )
+    tagged = spark.read.parquet(path)
     part = F.shiftright(F.col("__rid"), _POS_BITS)
     pos = F.col("__rid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     tagged = tagged.withColumn("__part", part).withColumn("__pos", pos)

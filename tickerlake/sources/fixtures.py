@@ -191,8 +191,12 @@ def replicate_symbols(feeds: dict[str, DataFrame], copies: int) -> dict[str, Dat
     def renamed(col):
         return F.when(c == 0, F.col(col)).otherwise(F.concat(F.col(col), F.lit("~"), c.cast("string")))
 
-    stocks = feeds["stocks"].select("*", k).withColumn("symbol", renamed("symbol")).drop("__copy")
-    news = feeds["news"].select("*", k)
+    # copies are generated inside each input partition: spread the (small)
+    # input first so the copies are produced in parallel
+    n = int(feeds["stocks"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stocks = feeds["stocks"].repartition(n).select("*", k)
+    stocks = stocks.withColumn("symbol", renamed("symbol")).drop("__copy")
+    news = feeds["news"].repartition(n).select("*", k)
     news = news.withColumn("id", F.col("id") * copies + c).withColumn(
         "related", renamed("related")
     ).drop("__copy")
