@@ -123,6 +123,7 @@ class Build:
             features.news_features(
                 self.dim_news, self.stock_base,
                 largest_stock=self.largest_stock_series, largest_news=self.largest_news_series,
+                volume_z=self.price_feature_table,
             ),
             "news_features",
         )

@@ -32,7 +32,7 @@ PERFORMANCE_COLS = TECHNICAL_COLS + [
 # Everything the marts read from the price pass (helper columns stay behind).
 PRICE_FEATURE_COLS = (
     ["stock_key"] + TECHNICAL_COLS + ["index_return", "beta_20", "sharpe_20", "drawdown"]
-    + PERFORMANCE_COLS[len(TECHNICAL_COLS):] + ["breakout_signal_prior"]
+    + PERFORMANCE_COLS[len(TECHNICAL_COLS):] + ["breakout_signal_prior", "volume_zscore_20"]
 )
 NEWS_FEATURE_COLS = [
     "date_key", "symbol", "news_count", "news_zscore_20", "volume_zscore_20",
@@ -103,7 +103,7 @@ def price_features(
     )
     sr = series.prepare(joined, part, "date_key", back=49, chunk_rows=chunk_rows, largest=largest)
     P, O = sr.part, sr.order
-    w5, w12, w14, w20, w26, w50 = (trailing(P, n, O) for n in (4, 11, 13, 19, 25, 49))
+    w5, w12, w14, w20, w21, w26, w50 = (trailing(P, n, O) for n in (4, 11, 13, 19, 20, 25, 49))
     w0 = ordered(P, O)
     close = F.col("close_price")
     s1 = sr.df.select(
@@ -121,6 +121,10 @@ def price_features(
         F.max("high_price").over(w20).alias("resistance_level"),
         F.min("low_price").over(w20).alias("support_level"),
         F.max("high_price").over(ordered(P, O).rowsBetween(-20, -1)).alias("prior_high_20"),
+        # volume statistics of the news mart span 21 bars
+        safe_div(
+            F.col("volume") - F.avg("volume").over(w21), F.stddev_samp("volume").over(w21)
+        ).alias("volume_zscore_20"),
     )
     s1 = sr.with_first(s1, "close_price", "first_close")
     s1 = sr.with_running_max(s1, "close_price", "running_max_close")
@@ -200,9 +204,14 @@ def volume_zscores(base: DataFrame, chunk_rows: int | None = series.DEFAULT_CHUN
 def news_features(dim_news: DataFrame, base: DataFrame,
                   chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
                   largest_stock: int | None = None,
-                  largest_news: int | None = None) -> DataFrame:
+                  largest_news: int | None = None,
+                  volume_z: DataFrame | None = None) -> DataFrame:
     """News-count z-score (21 news days), volume z-score (21 bars), their
-    difference and their rolling correlation over the news days."""
+    difference and their rolling correlation over the news days.
+
+    ``volume_z`` (date_key, symbol, volume, volume_zscore_20) may come from
+    the stored price features, which compute it in their own window pass.
+    """
     counts = news_counts(dim_news)
     if chunk_rows is not None and largest_news is None:
         largest_news = series.largest_key(counts, "symbol")
@@ -215,8 +224,10 @@ def news_features(dim_news: DataFrame, base: DataFrame,
             safe_div(n - F.avg(n).over(wn), F.stddev_samp(n).over(wn)).alias("news_zscore_20"),
         )
     )
-    joined = news_z.join(volume_zscores(base, chunk_rows, largest_stock), ["date_key", "symbol"],
-                         "left")
+    if volume_z is None:
+        volume_z = volume_zscores(base, chunk_rows, largest_stock)
+    volume_z = volume_z.select("date_key", "symbol", "volume", "volume_zscore_20")
+    joined = news_z.join(volume_z, ["date_key", "symbol"], "left")
     # one row per news day when the bars keep their grain: size as the news series
     sr = series.prepare(joined, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)
     w = trailing(sr.part, 20, sr.order)

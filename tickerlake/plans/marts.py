@@ -53,7 +53,8 @@ def recommendation(s: Column) -> Column:
 
 
 def _scored(feats: DataFrame, news: DataFrame, breakout_exclude_current: bool) -> DataFrame:
-    feats = with_breakout(feats, breakout_exclude_current)
+    # the volume z-score comes with the news row (NULL on days without news)
+    feats = with_breakout(feats, breakout_exclude_current).drop("volume_zscore_20")
     merged = feats.join(news, ["symbol", "date_key"], "left")
     with_score = merged.withColumn("score", score())
     return with_score.withColumn("recommendation", recommendation(F.col("score")))
