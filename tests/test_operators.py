@@ -122,3 +122,19 @@ def test_bridges_semi_join_equals_fast_path(spark):
     late = b.raw_news.filter("id % 2 = 0")
     assert warehouse.bridge_daily_news(late, b.dim_news).count() == late.filter(
         "datetime is not null").count()
+
+
+def test_weather_stream_equals_batch(spark, tmp_dir):
+    from tickerlake.plans.build import Build
+    from tickerlake.sources import fixtures
+    from tickerlake.streaming.daily_upsert import weather_dim_stream
+
+    feed = fixtures.weather_api(spark, SF_SMALL)
+    cut = dt.date(1998, 6, 1)
+    feed.filter(F.col("date") <= F.lit(cut)).write.parquet(f"{tmp_dir}/feed/part=1")
+    weather_dim_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/dim", f"{tmp_dir}/ckpt").awaitTermination()
+    feed.filter(F.col("date") > F.lit(cut)).write.parquet(f"{tmp_dir}/feed/part=2")
+    weather_dim_stream(spark, f"{tmp_dir}/feed", f"{tmp_dir}/dim", f"{tmp_dir}/ckpt").awaitTermination()
+    full = Build(spark, SF_SMALL, warehouse_dir=f"{tmp_dir}/wh").dim_weather
+    streamed = spark.read.parquet(f"{tmp_dir}/dim").select(*full.columns)
+    assert streamed.count() == full.count() and streamed.exceptAll(full).count() == 0

@@ -28,17 +28,25 @@ class Build:
         sf_dir: str,
         sources: dict[str, DataFrame] | None = None,
         materialize: bool = True,
+        warehouse_dir: str | None = None,
     ):
+        """``warehouse_dir``: stable folder for the stored tables (one folder
+        per model, overwritten by each build); by default each build writes
+        fresh folders under the shared checkpoint folder."""
         self.spark = spark
         self.sf_dir = sf_dir
         self._sources = sources
         self.materialize = materialize
+        self.warehouse_dir = warehouse_dir
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a parquet table in the shared folder and read it back."""
+        """Write ``df`` as a parquet table and read it back."""
         if not self.materialize:
             return df
-        path = shared_path(self.spark, name)
+        if self.warehouse_dir:
+            path = f"{self.warehouse_dir.rstrip('/')}/{name}"
+        else:
+            path = shared_path(self.spark, name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
