@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 
 # Fixed value: symbol of the market benchmark series.
 BENCHMARK_SYMBOL = "SPY"
@@ -51,14 +51,13 @@ def _bars(lines: DataFrame, keys: list[str]) -> DataFrame:
 def stock_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: symbol, datetime (date), open, high, low, close, volume.
 
-    Per-brand bars are aggregated from the line items once and checkpointed
-    (one row per brand and day); the benchmark's bars are re-aggregated from
-    those partials (min/max/sum are associative), so the line items are
-    scanned and shuffled once.  Without the checkpoint the optimizer plans
-    the two union branches with differently ordered aggregates and cannot
-    reuse the shared exchange.
+    Per-brand bars are aggregated from the line items once and staged as a
+    parquet table in the shared folder (one row per brand and day); the
+    benchmark's bars are re-aggregated from those partials (min/max/sum are
+    associative), so the line items are scanned and shuffled once.  Without
+    the staged table the optimizer plans the two union branches with
+    differently ordered aggregates and cannot reuse the shared exchange.
     """
-    ensure_checkpoint_dir(spark)
     lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_shipdate", *[c for c in BAR_LINE_ORDER if c != "l_partkey"], "l_quantity"
     )
@@ -69,7 +68,9 @@ def stock_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         *BAR_LINE_ORDER,
         "l_quantity",
     )
-    per_brand = _bars(lines, ["symbol", "datetime"]).checkpoint(eager=True)
+    stage = shared_path(spark, "brand_bars")
+    _bars(lines, ["symbol", "datetime"]).write.mode("overwrite").parquet(stage)
+    per_brand = spark.read.parquet(stage)
     benchmark = per_brand.groupBy("datetime").agg(
         F.min("first_line").alias("first_line"),
         F.max("last_line").alias("last_line"),
