@@ -38,7 +38,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def high_water_mark(target: DataFrame, col: str = "date_key"):
-    """``select max(col) from target`` as a Python scalar (one aggregate row)."""
+    """``select max(col) from target`` as a Python scalar (one aggregate row).
+
+    On a month-partitioned table the newest month comes from the partition
+    values first, so only that month's files are read for the maximum day.
+    """
+    if col == "date_key" and PART_COL in target.columns:
+        month = target.agg(F.max(PART_COL).alias("m")).first()["m"]
+        if month is None:
+            return None
+        target = target.filter(F.col(PART_COL) == F.lit(month))
     return target.agg(F.max(col).alias("hwm")).first()["hwm"]
 
 
@@ -86,8 +95,12 @@ def upsert(
         _write_partitioned(incoming, target_path, "overwrite")
         return read_table(spark, target_path).select(*cols)
     incoming = incoming.withColumn(PART_COL, (F.col("date_key") / 100).cast("int"))
-    touched = incoming.select(PART_COL).distinct()
-    old = target.join(touched, PART_COL, "left_semi")
+    # the months a load touches are few (bounded by the calendar): list them
+    # so the target read is pruned to those partitions
+    months = [r[PART_COL] for r in incoming.select(PART_COL).distinct().collect()]
+    if not months:
+        return target.select(*cols)
+    old = target.filter(F.col(PART_COL).isin(months))
     kept = old.join(incoming.select(*unique_key).distinct(), unique_key, "left_anti")
     merged = kept.select(*cols).unionByName(incoming.select(*cols))
     stage = shared_path(spark, "stage")
