@@ -266,3 +266,13 @@ def test_f11b_identical_bars_count_every_copy(spark):
     assert r["news_article_count"] == 4  # copies x articles, as the grouped join counts
     assert r["headlines"] == ["a", "b"]  # each article once, no (copy, article) pairs
     assert r["news_categories"] == ["x"]
+
+
+def test_f9b_grain_check(spark):
+    from tickerlake.operators import quality
+
+    stocks = bars(spark, [("AAA", 0, 1.0, 1.0, 1.0, 1.0, 1), ("AAA", 0, 2.0, 2.0, 2.0, 2.0, 1),
+                          ("AAA", 1, 1.0, 1.0, 1.0, 1.0, 1), (None, 2, 1.0, 1.0, 1.0, 1.0, 1),
+                          (None, 2, 1.0, 1.0, 1.0, 1.0, 1)])
+    rep = quality.grain_report([("raw_stocks", stocks, ["symbol", "datetime"])]).first()
+    assert rep.failures == 2  # (AAA, day 0) and (NULL, day 2)

@@ -151,3 +151,33 @@ def relationship_report(links: list[tuple[str, DataFrame, str, DataFrame, str]])
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def duplicate_keys(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Key combinations that occur more than once (NULL counts as a value):
+    the failing rows of a composite uniqueness (grain) check."""
+    return (
+        df.groupBy(*columns)
+        .agg(F.count(F.lit(1)).alias("n_records"))
+        .filter(F.col("n_records") > 1)
+    )
+
+
+def grain_report(grains: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
+    """(table_name, column_name, check_name, failures) for composite keys that
+    should identify one row each; one grouped count per table."""
+    parts = [
+        duplicate_keys(df, cols)
+        .agg(F.count(F.lit(1)).cast("long").alias("failures"))
+        .select(
+            F.lit(name).alias("table_name"),
+            F.lit(",".join(cols)).alias("column_name"),
+            F.lit("unique_combination").alias("check_name"),
+            "failures",
+        )
+        for name, df, cols in grains
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -288,6 +288,23 @@ QUERIES: list[Query] = [
                             ("bridge_daily_weather", "weather_key", "dim_weather")]
         ),
     ),
+    Query(
+        "quality_grain",
+        lambda b: quality.grain_report([
+            ("raw_stocks", b.raw_stocks, ["symbol", "datetime"]),
+            ("raw_weather", b.raw_weather, ["city", "raw_date"]),
+            ("fact_stock", b.fact_stock, ["stock_key", "date_key"]),
+            ("dim_weather", b.dim_weather, ["city", "date_key"]),
+        ]),
+        "table_name:s column_name:s check_name:s failures:l",
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, '{cols}' AS column_name, "
+            f"'unique_combination' AS check_name, CAST(count(*) AS BIGINT) AS failures "
+            f"FROM (SELECT {cols} FROM {t} GROUP BY {cols} HAVING count(*) > 1) AS d"
+            for t, cols in [("raw_stocks", "symbol,datetime"), ("raw_weather", "city,raw_date"),
+                            ("fact_stock", "stock_key,date_key"), ("dim_weather", "city,date_key")]
+        ),
+    ),
     # incremental loads: two loads (to the cut-off day, then all) == full build
     Query("incremental_fact", lambda b: incremental_fact(b), FACT, "SELECT * FROM fact_stock"),
     Query(
