@@ -1,8 +1,9 @@
 """Per-symbol feature marts: technical, risk, performance and news.
 
-All price statistics are ROWS frames over ``partitionBy(symbol).orderBy(date_key)``
-and are computed in one pass, so the whole stock series crosses the network
-once (one hash exchange on the symbol) however many indicators there are.
+All price statistics are ROWS frames over one stock's series ordered by
+``date_key`` and are computed in one pass, so the whole stock series crosses
+the network once (one hash exchange on the stock key) however many
+indicators there are.
 
 Benchmark statistics (index variance, index 20-day return) are computed on the
 benchmark's own series -- one row per trading day -- and joined by date, rather
@@ -83,7 +84,7 @@ def index_series(base: DataFrame, benchmark: str = BENCHMARK_SYMBOL) -> DataFram
 def price_features(
     base: DataFrame,
     index: DataFrame,
-    part: str = "symbol",
+    part: str = "stock_key",
     chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
     largest: int | None = None,
 ) -> DataFrame:
@@ -93,8 +94,9 @@ def price_features(
     that includes the current row, as the original model does;
     ``breakout_signal_prior`` compares it with the 20 rows *before* the
     current one.  A key with more than ``chunk_rows`` rows is processed in
-    chunks (``operators.series``).  Partitioning by ``symbol`` or by
-    ``stock_key`` gives the same rows (the dimension maps them one to one).
+    chunks (``operators.series``).  Partitioning by ``stock_key`` (default,
+    a long: cheaper to hash and sort) or by ``symbol`` gives the same rows
+    (the dimension maps them one to one).
     """
     joined = base.join(
         index.select("date_key", "index_return", "index_var_20", "index_rolling_return_20"),
