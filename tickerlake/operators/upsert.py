@@ -71,8 +71,11 @@ def incoming_rows(
 
 
 def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
+    # range-partition on (month, day) first: each month lands in one or a few
+    # files (not one per writing task), while a large month is still split
     (
         df.withColumn(PART_COL, (F.col("date_key") / 100).cast("int"))
+        .repartitionByRange(PART_COL, "date_key")
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PART_COL)
