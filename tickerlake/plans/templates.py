@@ -79,11 +79,11 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
     GROUP BY over the bar-article join would (copies x articles, computed as a
     product).  The headline list holds each article once: repeating it per
     copy would materialise every (copy, article) pair.  The copies are counted
-    on the bars alone, then each distinct bar meets its day's news aggregate
-    once.  Both sides are hash-partitioned on (symbol, trade_date), which also
-    clusters the bar grouping, so the bars cross the network once.
+    on the bars alone -- partially aggregated before the shuffle, so many
+    copies of one bar never travel to one task -- then each distinct bar
+    meets its day's news aggregate once.
     """
-    bars = with_trade_date(raw_stocks).repartition("symbol", "trade_date")
+    bars = with_trade_date(raw_stocks)
     distinct_bars = bars.groupBy(*DAILY_STOCK_KEYS).agg(F.count(F.lit(1)).alias("copies"))
     news = news_by_symbol_day(raw_news)
     j = distinct_bars.join(news, ["symbol", "trade_date"], "left")
