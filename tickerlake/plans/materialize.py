@@ -58,6 +58,7 @@ def write_model(df: DataFrame, sort_cols: list[str], path: str | None = None,
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")  # a full rebuild replaces every month
         .partitionBy(*partition)
         .format("parquet")
     )
