@@ -24,6 +24,15 @@ from ..session import shared_path
 # Fixed value: symbol of the market benchmark series.
 BENCHMARK_SYMBOL = "SPY"
 
+# Fixed values (feed definitions in FIXTURES.md): article text prefixes, every
+# tenth order without a headline, weather scalings (price / 10000 as
+# temperature, 2.5 mm per finished order, 10 km/h per order), 12 h daylight,
+# sunrise 06:00 and sunset 18:00 UTC.
+HEADLINE_PREFIX, SUMMARY_PREFIX, URL_PREFIX = "Order ", "Summary ", "https://example.org/"
+NO_HEADLINE_EVERY = 10
+TEMP_DIVISOR, PRECIP_PER_FINISHED, WIND_PER_ORDER = 10000, 2.5, 10.0
+DAYLIGHT_SECONDS, SUNRISE_SECONDS, SUNSET_SECONDS = 43200.0, 21600, 64800
+
 # Ordering of line items inside a bar (first line = open,
 # last line = close) and inside an order (first line = related brand).
 BAR_LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -115,15 +124,15 @@ def news_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         with_brand.join(customer, with_brand.o_custkey == customer.c_custkey, "left")
         .select(
             key.alias("id"),
-            F.when(key % 10 == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("Order "), key_txt))
+            F.when(key % NO_HEADLINE_EVERY == 0, F.lit(None).cast("string"))
+            .otherwise(F.concat(F.lit(HEADLINE_PREFIX), key_txt))
             .alias("headline"),
             F.col("o_orderdate").cast("timestamp").alias("datetime"),
             F.col("o_orderpriority").alias("category"),
             F.col("c_mktsegment").alias("source"),
             F.col("p_brand").alias("related"),
-            F.concat(F.lit("Summary "), key_txt).alias("summary"),
-            F.concat(F.lit("https://example.org/"), key_txt).alias("url"),
+            F.concat(F.lit(SUMMARY_PREFIX), key_txt).alias("summary"),
+            F.concat(F.lit(URL_PREFIX), key_txt).alias("url"),
             F.lit(None).cast("string").alias("image"),
         )
     )
@@ -147,10 +156,10 @@ def weather_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = located.groupBy(
         F.col("r_name").alias("city"), F.to_date("o_orderdate").alias("date")
     ).agg(
-        (F.max("o_totalprice") / 10000).alias("max_temp"),
-        (F.min("o_totalprice") / 10000).alias("min_temp"),
-        (F.count_if(F.col("o_orderstatus") == "F") * 2.5).cast("double").alias("precip"),
-        (F.count(F.lit(1)) * 10.0).cast("double").alias("max_wind"),
+        (F.max("o_totalprice") / TEMP_DIVISOR).alias("max_temp"),
+        (F.min("o_totalprice") / TEMP_DIVISOR).alias("min_temp"),
+        (F.count_if(F.col("o_orderstatus") == "F") * PRECIP_PER_FINISHED).cast("double").alias("precip"),
+        (F.count(F.lit(1)) * WIND_PER_ORDER).cast("double").alias("max_wind"),
     )
     unix_day = F.unix_date("date").cast("long")
     return day.select(
@@ -164,9 +173,9 @@ def weather_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("min_temp") - 2).alias("appt_min"),
         ((F.col("max_temp") - 1) - (F.col("min_temp") - 2)).alias("appt_temp_range"),
         (F.col("max_temp") - F.col("min_temp")).alias("temp_range_c"),
-        F.lit(43200.0).alias("daylight_duration"),
-        (unix_day * 86400 + 21600).alias("sunrise"),
-        (unix_day * 86400 + 64800).alias("sunset"),
+        F.lit(DAYLIGHT_SECONDS).alias("daylight_duration"),
+        (unix_day * 86400 + SUNRISE_SECONDS).alias("sunrise"),
+        (unix_day * 86400 + SUNSET_SECONDS).alias("sunset"),
     )
 
 
