@@ -81,6 +81,9 @@ def test_chunked_series_equal_plain(spark, chunk):
 
     b = Build(spark, SF_SMALL)
     base, idx = b.stock_base, b.index_series
+    i_plain = features.index_series(base, chunk_rows=None)
+    i_chunk = features.index_series(base, chunk_rows=chunk)
+    assert i_chunk.exceptAll(i_plain).count() == 0 and i_chunk.count() == i_plain.count()
     plain = features.price_features(base, idx, chunk_rows=None)
     chunked = features.price_features(base, idx, chunk_rows=chunk)
     cols = plain.columns

@@ -123,7 +123,10 @@ class Build:
     def index_series(self) -> DataFrame:
         # One row per benchmark day; stored so its file size decides whether
         # the per-day join is a broadcast.
-        return self.table(features.index_series(self.stock_base), "index_series")
+        return self.table(
+            features.index_series(self.stock_base, largest=self.largest_stock_series),
+            "index_series",
+        )
 
     @cached_property
     def news_feature_table(self) -> DataFrame:

@@ -58,11 +58,14 @@ def stock_base(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def index_series(base: DataFrame, benchmark: str = BENCHMARK_SYMBOL) -> DataFrame:
+def index_series(base: DataFrame, benchmark: str = BENCHMARK_SYMBOL,
+                 chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
+                 largest: int | None = None) -> DataFrame:
     """The benchmark's own series with its 20-row statistics.
 
     One row per benchmark trading day, so the window partition is bounded by
-    the calendar, not by the number of symbols.
+    the calendar, not by the number of symbols (and chunked like any other
+    series if it is not).
     """
     idx = base.filter(F.col("symbol") == benchmark).select(
         "symbol",
@@ -70,15 +73,17 @@ def index_series(base: DataFrame, benchmark: str = BENCHMARK_SYMBOL) -> DataFram
         F.col("close_price").alias("index_close"),
         F.col("daily_return").alias("index_return"),
     )
-    return idx.select(
-        "date_key",
-        "index_close",
-        "index_return",
-        F.var_samp("index_return").over(trailing("symbol", 19)).alias("index_var_20"),
+    sr = series.prepare(idx, "symbol", back=20, chunk_rows=chunk_rows, largest=largest)
+    out = sr.df.select(
+        "*",
+        F.var_samp("index_return").over(trailing(sr.part, 19, sr.order)).alias("index_var_20"),
         (
-            safe_div("index_close", F.lag("index_close", 20).over(ordered("symbol"))) - 1
+            safe_div("index_close", F.lag("index_close", 20).over(ordered(sr.part, sr.order))) - 1
         ).alias("index_rolling_return_20"),
     )
+    return sr.own(out).select(
+        "date_key", "index_close", "index_return", "index_var_20", "index_rolling_return_20"
+    )
 
 
 def price_features(
