@@ -127,6 +127,8 @@ def stable_stock_keys(spark: SparkSession, raw_stocks: DataFrame, dim_path: str)
     symbols = raw_stocks.select("symbol").distinct()
     # NULL-safe: a NULL symbol already in the dimension is not new again.
     new = symbols.join(seen, symbols.symbol.eqNullSafe(seen.known), "left_anti")
+    if not new.take(1):  # usual case: no new symbol, the stored dimension stands
+        return current
     numbered = global_row_number(new, ["symbol"], out_col="rank", tiebreak=False)
     added = numbered.select((F.col("rank") + F.lit(base)).cast("long").alias("stock_key"), "symbol")
     stage = shared_path(spark, "dim_stock")
