@@ -70,3 +70,17 @@ def test_every_query_has_oracle():
     import __spark_entry__ as E
 
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_entry_schema_is_the_contract(spark):
+    """The smoke-checked flagship has exactly the declared names and types."""
+    import __spark_entry__ as E
+    from tickerlake import contract
+    from tickerlake.registry import BY_NAME
+
+    df = E.entry(spark)
+    spec = contract.parse_spec(BY_NAME["daily_stock_analysis"].spec)
+    assert [f.name for f in df.schema.fields] == [n for n, _ in spec]
+    assert [f.dataType.simpleString() for f in df.schema.fields] == [
+        contract.SPARK_TYPES[c] for _, c in spec
+    ]
