@@ -115,9 +115,15 @@ class Build:
         window tasks of every per-symbol feature."""
         return series.largest_key(self.fact_stock, "stock_key")
 
+    @cached_property
+    def news_count_table(self) -> DataFrame:
+        """Articles per (day, symbol): one aggregation of the article table,
+        stored; sizes the news series and feeds the news features."""
+        return self.table(features.news_counts(self.dim_news), "news_counts")
+
     @cached_property
     def largest_news_series(self) -> int:
-        return series.largest_key(features.news_counts(self.dim_news), "symbol")
+        return series.largest_key(self.news_count_table, "symbol")
 
     @cached_property
     def index_series(self) -> DataFrame:
@@ -134,7 +140,7 @@ class Build:
             features.news_features(
                 self.dim_news, self.stock_base,
                 largest_stock=self.largest_stock_series, largest_news=self.largest_news_series,
-                volume_z=self.price_feature_table,
+                volume_z=self.price_feature_table, counts=self.news_count_table,
             ),
             "news_features",
         )

@@ -212,14 +212,18 @@ def news_features(dim_news: DataFrame, base: DataFrame,
                   chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
                   largest_stock: int | None = None,
                   largest_news: int | None = None,
-                  volume_z: DataFrame | None = None) -> DataFrame:
+                  volume_z: DataFrame | None = None,
+                  counts: DataFrame | None = None) -> DataFrame:
     """News-count z-score (21 news days), volume z-score (21 bars), their
     difference and their rolling correlation over the news days.
 
     ``volume_z`` (date_key, symbol, volume, volume_zscore_20) may come from
-    the stored price features, which compute it in their own window pass.
+    the stored price features, which compute it in their own window pass;
+    ``counts`` may be the stored :func:`news_counts` (one row per symbol and
+    news day), so the article table is aggregated once.
     """
-    counts = news_counts(dim_news)
+    if counts is None:
+        counts = news_counts(dim_news)
     if chunk_rows is not None and largest_news is None:
         largest_news = series.largest_key(counts, "symbol")
     nz = series.prepare(counts, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)

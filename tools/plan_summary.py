@@ -67,7 +67,8 @@ def main() -> None:
             b.stock_base, b.index_series, largest=b.largest_stock_series)),
         ("build news_features", lambda: features.news_features(
             b.dim_news, b.stock_base, largest_stock=b.largest_stock_series,
-            largest_news=b.largest_news_series, volume_z=b.price_feature_table)),
+            largest_news=b.largest_news_series, volume_z=b.price_feature_table,
+            counts=b.news_count_table)),
         ("build daily_stocks", lambda: templates.daily_stocks(b.raw_stocks, b.raw_news)),
         ("build stock_news_daily", lambda: templates.stock_news_daily(b.daily_stocks, b.symbol_profile)),
         ("build weather_market_conditions", lambda: templates.weather_market_conditions(
