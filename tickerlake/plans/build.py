@@ -29,15 +29,18 @@ class Build:
         sources: dict[str, DataFrame] | None = None,
         materialize: bool = True,
         warehouse_dir: str | None = None,
+        chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
     ):
         """``warehouse_dir``: stable folder for the stored tables (one folder
         per model, overwritten by each build); by default each build writes
-        fresh folders under the shared checkpoint folder."""
+        fresh folders under the shared checkpoint folder.  ``chunk_rows``:
+        rows of one key a window task takes before its series is chunked."""
         self.spark = spark
         self.sf_dir = sf_dir
         self._sources = sources
         self.materialize = materialize
         self.warehouse_dir = warehouse_dir
+        self.chunk_rows = chunk_rows
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` as a parquet table and read it back."""
@@ -130,7 +133,9 @@ class Build:
         # One row per benchmark day; stored so its file size decides whether
         # the per-day join is a broadcast.
         return self.table(
-            features.index_series(self.stock_base, largest=self.largest_stock_series),
+            features.index_series(
+                self.stock_base, chunk_rows=self.chunk_rows, largest=self.largest_stock_series
+            ),
             "index_series",
         )
 
@@ -139,6 +144,7 @@ class Build:
         return self.table(
             features.news_features(
                 self.dim_news, self.stock_base,
+                chunk_rows=self.chunk_rows,
                 largest_stock=self.largest_stock_series, largest_news=self.largest_news_series,
                 volume_z=self.price_feature_table, counts=self.news_count_table,
             ),
@@ -151,7 +157,8 @@ class Build:
         stored; the technical, risk, performance and analysis marts read it."""
         return self.table(
             features.price_features(
-                self.stock_base, self.index_series, largest=self.largest_stock_series
+                self.stock_base, self.index_series, chunk_rows=self.chunk_rows,
+                largest=self.largest_stock_series,
             ),
             "price_features",
         )
@@ -181,7 +188,7 @@ class Build:
     def ml_features(self) -> DataFrame:
         return ml.ml_features(
             self.fact_stock, self.dim_stock, self.bridge_daily_weather, self.dim_weather,
-            self.bridge_daily_news, largest=self.largest_stock_series,
+            self.bridge_daily_news, chunk_rows=self.chunk_rows, largest=self.largest_stock_series,
         )
 
     # -- template marts --------------------------------------------------

@@ -101,9 +101,10 @@ def ml_features(
     bridge_weather: DataFrame,
     dim_weather: DataFrame,
     bridge_news: DataFrame,
+    chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS,
     largest: int | None = None,
 ) -> DataFrame:
-    stock = stock_ml(fact, dim_stock, largest=largest)
+    stock = stock_ml(fact, dim_stock, chunk_rows=chunk_rows, largest=largest)
     weather = weather_ml(bridge_weather, dim_weather)
     news = news_ml(bridge_news)
     j = stock.join(weather, "date_key", "left").join(news, "date_key", "left")
