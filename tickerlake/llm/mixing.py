@@ -8,8 +8,8 @@ words a source gives stay at its target instead of scattering around it:
   has an integral number.  Which way the mass moves is drawn with the
   probabilities that leave each document's expected copies unchanged; the sum
   of words never changes.  The one that stays fractional meets the next.
-* The exchange runs in leaves of a fixed number of rows each, sorted by id and
-  holding one fractional document at a time.  Each leaf hands at most one
+* The exchange runs in leaves of a fixed number of rows each, largest documents
+  first so that what stays fractional is small, holding one at a time.  Each leaf hands at most one
   document per source to the next level of a reduction tree, until one is left
   per source, which is rounded at random.  A source ends within one document
   of its target.
@@ -118,7 +118,7 @@ _OUT_DDL = "id long, source string, size long, leaf long, base long, x double, c
 
 
 def _round(seed: int, last: bool):
-    """Task side: rows sorted by (leaf, source, id); holds one fractional row."""
+    """Task side: rows sorted by (leaf, source, size down, id); holds one fractional row."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -174,7 +174,7 @@ def mix(
     size``.  A null source is a source of its own, ranked last.  Documents
     without words are rounded on their own: they move no target.  Rows that
     repeat an id are rounded like any others; equal rows are interchangeable.
-    Null ids sort first within a leaf.  A corpus without words takes no words
+    Of equal sizes, null ids come first.  A corpus without words takes no words
     (copies 0); an empty table gives no rows.
     """
     spark = df.sparkSession
@@ -204,7 +204,7 @@ def mix(
         out = stage(
             todo.repartition(max(1, min(leaves, 20_000)) if leaves > 1 else
                              min(shuffle_partitions(spark), 64), "leaf", "source")
-            .sortWithinPartitions("leaf", "source", "id", "size", "x")
+            .sortWithinPartitions("leaf", "source", F.desc("size"), "id", "x")
             .mapInArrow(_round(seed, last), _OUT_DDL),
             "mix_level",
         )
