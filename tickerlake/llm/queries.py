@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, sentencepiece_bpe
+from . import chat_format, exact_dedup, mixing, sentencepiece_bpe, simhash
 from .common import read_table
 from .vocabulary import piece_model
 
@@ -29,6 +29,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_dedup(read_table(spark, sf_dir, "documents")).withColumnRenamed(
+        "id", "doc_id")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(
         read_table(spark, sf_dir, "documents"), piece_model()).withColumnRenamed("id", "doc_id")
@@ -41,7 +46,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op2_exact_dedup, op7_sentencepiece, op8_mixing)
+    for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op7_sentencepiece, op8_mixing)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
