@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, sentencepiece_bpe, simhash
+from . import chat_format, exact_dedup, mixing, sentencepiece_bpe, simhash, toxicity
 from .common import read_table
 from .vocabulary import piece_model
 
@@ -44,9 +44,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", (toxicity.fold(F.col("doc_id")) == toxicity.HELD_OUT_FOLD).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op7_sentencepiece, op8_mixing)
+    for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op7_sentencepiece, op8_mixing,
+              op9_toxicity)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
