@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, sentencepiece_bpe, simhash, toxicity
+from . import chat_format, exact_dedup, mixing, quality, sentencepiece_bpe, simhash, toxicity
 from .common import read_table
 from .vocabulary import piece_model
 
@@ -53,10 +53,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents")).withColumnRenamed(
+        "id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op7_sentencepiece, op8_mixing,
-              op9_toxicity)
+              op9_toxicity, op10_quality)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
