@@ -63,14 +63,14 @@ def measures(text: str) -> dict[str, float | None]:
 
 #: name: (good from, good to, junk below, junk above); between them no answer.
 LABELLERS: dict[str, tuple[float, float, float, float]] = {
-    "upper": (0.0, 0.15, -1.0, 0.4),
-    "doubled": (0.0, 0.03, -1.0, 0.15),
-    "bare": (0.0, 0.03, -1.0, 0.2),
-    "repeat": (0.0, 0.05, -1.0, 0.25),
-    "marks": (0.0, 0.08, -1.0, 0.2),
-    "variety": (0.6, 1.0, 0.4, 2.0),
-    "letters": (0.85, 1.0, 0.7, 2.0),
-    "same_lines": (0.0, 0.2, -1.0, 0.6),
+    "upper": (0.0, 0.15, -1.0, 0.3),
+    "doubled": (0.0, 0.03, -1.0, 0.1),
+    "bare": (0.0, 0.05, -1.0, 0.15),
+    "repeat": (0.0, 0.05, -1.0, 0.15),
+    "marks": (0.0, 0.06, -1.0, 0.1),
+    "variety": (0.75, 1.0, 0.65, 2.0),
+    "letters": (0.93, 1.0, 0.88, 2.0),
+    "same_lines": (0.0, 0.2, -1.0, 0.5),
     "word_length": (3.0, 9.0, 1.5, 25.0),
     "words": (50.0, float("inf"), 1.0, float("inf")),
 }
