@@ -54,7 +54,7 @@ def measures(text: str) -> dict[str, float | None]:
         "repeat": sum(map(eq, own, own[1:])) / n if n >= 5 else None,
         "marks": marks / solid if n >= 5 else None,
         "variety": sum(len(set(b)) / len(b) for b in full) / len(full) if full else None,
-        "letters": letters / solid if n >= 3 else None,
+        "letters": letters / solid if n >= 5 else None,
         "same_lines": 1 - len(set(lines)) / len(lines) if len(lines) >= 4 else None,
         "word_length": sum(map(len, own)) / n if n >= 5 else None,
         "words": float(n),
@@ -91,14 +91,15 @@ def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> tup
     """EM over answer patterns and their counts.
 
     Gives each pattern's probability of being good, and the table of answer
-    probabilities (class, labeller, answer); class 0 is junk, 1 good.
+    probabilities (class, labeller, good or junk); class 0 is junk, 1 good.  A
+    heuristic that abstains tells nothing either way.
     """
     if not len(patterns):
-        return np.zeros(0), np.zeros((2, patterns.shape[1], 3))
+        return np.zeros(0), np.zeros((2, patterns.shape[1], 2))
     # start: every heuristic is mostly right, and a junk answer weighs more than a good one
     junk, good = (patterns == JUNK).sum(1), (patterns == GOOD).sum(1)
     post = 1 / (1 + np.exp(2.0 * junk - 0.5 * good))
-    onehot = np.eye(3)[patterns]
+    onehot = np.eye(3)[patterns][:, :, [GOOD, JUNK]]
     for _ in range(rounds):
         weight = np.stack([(1 - post) * n, post * n])
         says = np.einsum("cp,pla->cla", weight, onehot) + 0.5
