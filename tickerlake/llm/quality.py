@@ -91,15 +91,18 @@ def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> tup
     """EM over answer patterns and their counts.
 
     Gives each pattern's probability of being good, and the table of answer
-    probabilities (class, labeller, good or junk); class 0 is junk, 1 good.  A
-    heuristic that abstains tells nothing either way.
+    probabilities (class, labeller, answer); class 0 is junk, 1 good.  To
+    abstain is an answer too, but where all do nothing is known: such a text
+    gives no evidence and has the prior.
     """
-    if not len(patterns):
-        return np.zeros(0), np.zeros((2, patterns.shape[1], 2))
+    silent = (patterns == ABSTAIN).all(axis=1)
+    n = np.where(silent, 0.0, n)
+    if not n.sum():
+        return np.ones(len(patterns)), np.zeros((2, patterns.shape[1], 3))
     # start: every heuristic is mostly right, and a junk answer weighs more than a good one
     junk, good = (patterns == JUNK).sum(1), (patterns == GOOD).sum(1)
     post = 1 / (1 + np.exp(2.0 * junk - 0.5 * good))
-    onehot = np.eye(3)[patterns][:, :, [GOOD, JUNK]]
+    onehot = np.eye(3)[patterns]
     for _ in range(rounds):
         weight = np.stack([(1 - post) * n, post * n])
         says = np.einsum("cp,pla->cla", weight, onehot) + 0.5
@@ -111,7 +114,7 @@ def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> tup
         post = new
         if moved < 1e-9:
             break
-    return post, says
+    return np.where(silent, prior[1], post), says
 
 
 def shape(word: str) -> str:
