@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, quality, sentencepiece_bpe, simhash, toxicity
+from . import chat_format, exact_dedup, mixing, quality, secrets, sentencepiece_bpe, simhash, toxicity
 from .common import read_table
 from .vocabulary import piece_model
 
@@ -34,6 +34,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+    return secrets.report(found).withColumnRenamed("id", "doc_id")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode_decode(
         read_table(spark, sf_dir, "documents"), piece_model()).withColumnRenamed("id", "doc_id")
@@ -60,7 +65,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op7_sentencepiece, op8_mixing,
+    for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op6_secrets, op7_sentencepiece, op8_mixing,
               op9_toxicity, op10_quality)
 }
 
@@ -78,4 +83,5 @@ SQL: dict[str, str] = {
                row_number() OVER (PARTITION BY content ORDER BY doc_id NULLS LAST) = 1 AS kept,
                sha256(content) AS text_sha256
         FROM t""",
+    "op6_secrets": secrets.report_sql(),
 }
