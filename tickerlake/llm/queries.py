@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, quality, secrets, sentencepiece_bpe, simhash, toxicity
+from . import (
+    chat_format,
+    exact_dedup,
+    mixing,
+    quality,
+    secrets,
+    sentencepiece_bpe,
+    simhash,
+    toxicity,
+    winnowing,
+)
 from .common import read_table
 from .vocabulary import piece_model
 
@@ -29,6 +39,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprint_documents(
+        read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(read_table(spark, sf_dir, "documents")).withColumnRenamed(
         "id", "doc_id")
@@ -65,7 +80,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op2_exact_dedup, op4_simhash, op6_secrets, op7_sentencepiece, op8_mixing,
+    for f in (op1_chat_format, op2_exact_dedup, op3_winnowing, op4_simhash, op6_secrets, op7_sentencepiece, op8_mixing,
               op9_toxicity, op10_quality)
 }
 
