@@ -15,6 +15,7 @@ from . import (
     secrets,
     sentencepiece_bpe,
     simhash,
+    substring_dedup,
     toxicity,
     winnowing,
 )
@@ -49,6 +50,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(
+        read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
     return secrets.report(found).withColumnRenamed("id", "doc_id")
@@ -80,7 +86,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_chat_format, op2_exact_dedup, op3_winnowing, op4_simhash, op6_secrets, op7_sentencepiece, op8_mixing,
+    for f in (op1_chat_format, op2_exact_dedup, op3_winnowing, op4_simhash,
+              op5_substring_dedup, op6_secrets, op7_sentencepiece, op8_mixing,
               op9_toxicity, op10_quality)
 }
 

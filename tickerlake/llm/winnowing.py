@@ -32,22 +32,22 @@ _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
-    """Mixed polynomial hash of every k-gram of code points."""
+def gram_hashes(codes: np.ndarray, k: int, base: int = _BASE) -> np.ndarray:
+    """Mixed polynomial hash of every k-gram of codes (characters, word hashes)."""
     codes = codes.astype(np.uint64) + np.uint64(1)
     h, size = codes, 1
     for bit in bin(k)[3:]:  # double the length, then add one where the bit says so
-        h = h[:len(h) - size] * np.uint64(pow(_BASE, size, 1 << 64)) + h[size:]
+        h = h[:len(h) - size] * np.uint64(pow(base, size, 1 << 64)) + h[size:]
         size *= 2
         if bit == "1":
-            h = h[:len(h) - 1] * np.uint64(_BASE) + codes[size:]
+            h = h[:len(h) - 1] * np.uint64(base) + codes[size:]
             size += 1
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(29))
 
 
 def window_minima(h: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the smallest hash of every window, rightmost of equals."""
+    """For every window the position of its smallest hash, rightmost of equals."""
     at, least, size = np.arange(len(h)), h, 1
     while size < window:
         step = min(size, window - size)
@@ -55,7 +55,7 @@ def window_minima(h: np.ndarray, window: int) -> np.ndarray:
         at = np.where(right, at[step:], at[:-step])
         least = np.minimum(least[step:], least[:-step])
         size += step
-    return at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
+    return at
 
 
 def winnow(text: str, k: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +73,7 @@ def winnow(text: str, k: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray,
     for a in range(0, grams - window + 1, BLOCK):
         b = min(a + BLOCK, grams - window + 1)  # windows a..b
         h = gram_hashes(codes[a:b + window + k - 2], k)
-        at = window_minima(h, window)
+        at = np.unique(window_minima(h, window))
         hashes.append(h[at])
         places.append(at + a)
     where, first = np.unique(np.concatenate(places), return_index=True)
