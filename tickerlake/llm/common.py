@@ -28,7 +28,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "llm", name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -70,7 +70,8 @@ def batches(
     size = 0
     for row in rows:
         held.append(row)
-        size += sum(len(v) for v in row if isinstance(v, (bytes, str, list)))
+        size += sum(len(v) * (8 if isinstance(v, list) else 1)
+                    for v in row if isinstance(v, (bytes, str, list)))
         if len(held) >= most_rows or size >= most_bytes:
             yield _batch(held, schema)
             held, size = [], 0

@@ -111,10 +111,10 @@ def exchange(held: tuple, came: tuple, draw: float) -> tuple[list[tuple], tuple
 
 
 _OUT = pa.schema([
-    ("id", pa.int64()), ("source", pa.string()), ("size", pa.int64()), ("leaf", pa.int64()),
+    ("row", pa.int64()), ("id", pa.int64()), ("source", pa.string()), ("size", pa.int64()), ("leaf", pa.int64()),
     ("base", pa.int64()), ("x", pa.float64()), ("copies", pa.int64()),
 ])
-_OUT_DDL = "id long, source string, size long, leaf long, base long, x double, copies long"
+_OUT_DDL = "row long, id long, source string, size long, leaf long, base long, x double, copies long"
 
 
 def _round(seed: int, last: bool):
@@ -125,31 +125,31 @@ def _round(seed: int, last: bool):
             group, held = None, None  # held: (row, size, x)
             for batch in parts:
                 for row in zip(*(values(batch, c) for c in
-                                 ("id", "source", "size", "leaf", "base", "x"))):
-                    doc_id, source, size, leaf, base, x = row
+                                 ("row", "id", "source", "size", "leaf", "base", "x"))):
+                    _, doc_id, source, size, leaf, base, x = row
                     if (leaf, source) != group:
                         if held:
                             yield finish(held)
                         group, held = (leaf, source), None
                     if x <= _EPS or x >= 1 - _EPS:
-                        yield *row[:5], None, base + round(x)
+                        yield *row[:6], None, base + round(x)
                     elif not size:  # has no words to exchange
-                        yield *row[:5], None, base + (_uniform(seed, doc_id, source) < x)
+                        yield *row[:6], None, base + (_uniform(seed, doc_id, source) < x)
                     elif held is None:
                         held = (row, size, x)
                     else:
                         done, held = exchange(
-                            held, (row, size, x), _uniform(seed, held[0][0], doc_id))
+                            held, (row, size, x), _uniform(seed, held[0][1], doc_id))
                         for r, one in done:
-                            yield *r[:5], None, r[4] + one
+                            yield *r[:6], None, r[5] + one
             if held:
                 yield finish(held)
 
         def finish(held: tuple) -> tuple:
             row, _, x = held
             if last:
-                return *row[:5], None, row[4] + (_uniform(seed, row[0], row[1]) < x)
-            return *row[:5], x, None
+                return *row[:6], None, row[5] + (_uniform(seed, row[1], row[2]) < x)
+            return *row[:6], x, None
 
         yield from batches(rows(), _OUT)
 
@@ -167,8 +167,12 @@ def mix(
     seed: int = SEED,
     rows_per_leaf: int = ROWS_PER_LEAF,
     fan_in: int = FAN_IN,
+    row_col: str | None = None,
 ) -> DataFrame:
-    """One row per input row: id, source, size, source_size, target, copies, taken.
+    """One row per input row: row, id, source, size, source_size, target, copies, taken.
+
+    ``row`` hands on a long column of the input (``row_col``) that tells rows
+    of one id apart; it is null without.
 
     ``size`` is the number of words (0 for null), ``taken`` is ``copies *
     size``.  A null source is a source of its own, ranked last.  Documents
@@ -179,7 +183,8 @@ def mix(
     """
     spark = df.sparkSession
     sized = stage(
-        df.select(df[id_col].cast("long").alias("id"),
+        df.select((df[row_col] if row_col else F.lit(None)).cast("long").alias("row"),
+                  df[id_col].cast("long").alias("id"),
                   df[source_col].cast("string").alias("source"),
                   n_words(df[text_col].cast("string")).alias("size")),
         "mix_sizes",
@@ -194,7 +199,7 @@ def mix(
     todo = (
         sized.join(targets.withColumnRenamed("source", "of"),
                    F.col("source").eqNullSafe(F.col("of")))
-        .select("id", "source", "size",
+        .select("row", "id", "source", "size",
                 F.pmod(F.xxhash64(F.col("id"), F.lit(seed)), F.lit(leaves)).alias("leaf"),
                 base.alias("base"), F.greatest(wish - base, F.lit(0.0)).alias("x"))
     )
@@ -204,21 +209,21 @@ def mix(
         out = stage(
             todo.repartition(max(1, min(leaves, 20_000)) if leaves > 1 else
                              min(shuffle_partitions(spark), 64), "leaf", "source")
-            .sortWithinPartitions("leaf", "source", F.desc("size"), "id", "x")
+            .sortWithinPartitions("leaf", "source", F.desc("size"), "id", "x", "row")
             .mapInArrow(_round(seed, last), _OUT_DDL),
             "mix_level",
         )
-        parts.append(out.filter("copies is not null").select("id", "source", "size", "copies"))
+        parts.append(out.filter("copies is not null").select("row", "id", "source", "size", "copies"))
         if last:
             break
         leaves = math.ceil(leaves / fan_in)
         todo = out.filter("copies is null").select(
-            "id", "source", "size", F.floor(F.col("leaf") / fan_in).alias("leaf"), "base", "x")
+            "row", "id", "source", "size", F.floor(F.col("leaf") / fan_in).alias("leaf"), "base", "x")
     rows = parts[0]
     for more in parts[1:]:
         rows = rows.unionByName(more)
     return rows.join(
         targets.select(F.col("source").alias("of"), "source_size", "target"),
         F.col("source").eqNullSafe(F.col("of")),
-    ).select("id", "source", "size", "source_size", "target", "copies",
+    ).select("row", "id", "source", "size", "source_size", "target", "copies",
              (F.col("copies") * F.col("size")).alias("taken"))
