@@ -1,9 +1,9 @@
 """Quality classifier from weak labels.
 
-A dozen heuristics look at every whole text; each says junk, good, or nothing.
+Ten heuristics look at every whole text; each says junk, good, or nothing.
 They overlap and none is right alone.  Expectation-maximisation estimates, for
-good and for junk texts, how often each heuristic gives each answer, from the
-numbers of texts with each pattern of answers (an aggregate of at most
+good texts and for kinds of junk, how often each heuristic gives each answer,
+from the numbers of texts with each pattern of answers (an aggregate of at most
 ``3 ** len(LABELLERS)`` rows, so it is small for any corpus and covers all of
 it).  The posterior of a text's pattern is its label, and a linear scorer over
 hashed word shapes and pairs of shapes learns these labels, so it also ranks
@@ -91,30 +91,34 @@ def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> tup
     """EM over answer patterns and their counts.
 
     Gives each pattern's probability of being good, and the table of answer
-    probabilities (class, labeller, answer); class 0 is junk, 1 good.  To
-    abstain is an answer too, but where all do nothing is known: such a text
-    gives no evidence and has the prior.
+    probabilities (class, labeller, good or junk).  Class 0 is good text; junk
+    has one class for each heuristic, begun with the texts that it calls junk,
+    because one kind of junk escapes the heuristics for another and they would
+    outvote its own.  A heuristic that abstains tells nothing, so a text on
+    which all do has the prior.
     """
-    silent = (patterns == ABSTAIN).all(axis=1)
-    n = np.where(silent, 0.0, n)
+    junk = (patterns == JUNK).astype(float)
+    said = junk.sum(axis=1, keepdims=True)
     if not n.sum():
-        return np.ones(len(patterns)), np.zeros((2, patterns.shape[1], 3))
-    # start: every heuristic is mostly right, and a junk answer weighs more than a good one
-    junk, good = (patterns == JUNK).sum(1), (patterns == GOOD).sum(1)
-    post = 1 / (1 + np.exp(2.0 * junk - 0.5 * good))
-    onehot = np.eye(3)[patterns]
+        return np.ones(len(patterns)), np.zeros((junk.shape[1] + 1, junk.shape[1], 2))
+    # start: heuristics are mostly right, and a junk answer weighs more than a good one
+    good = 1 / (1 + np.exp(2.0 * said[:, 0] - 0.5 * (patterns == GOOD).sum(axis=1)))
+    kinds = np.where(said > 0, junk / np.maximum(1, said), 1 / junk.shape[1])
+    post = np.concatenate([good[:, None], (1 - good)[:, None] * kinds], axis=1)
+    answers = np.eye(3)[patterns][:, :, [GOOD, JUNK]]
     for _ in range(rounds):
-        weight = np.stack([(1 - post) * n, post * n])
-        says = np.einsum("cp,pla->cla", weight, onehot) + 0.5
+        weight = (post * n[:, None]).T
+        says = np.einsum("cp,pla->cla", weight, answers) + 0.5
         says /= says.sum(axis=2, keepdims=True)
-        prior = (weight.sum(axis=1) + 1) / (weight.sum() + 2)
-        logs = np.log(prior)[:, None] + np.einsum("pla,cla->cp", onehot, np.log(says))
-        new = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
+        prior = (weight.sum(axis=1) + 0.5) / (weight.sum() + 0.5 * len(weight))
+        logs = np.log(prior) + np.einsum("pla,cla->pc", answers, np.log(says))
+        new = np.exp(logs - logs.max(axis=1, keepdims=True))
+        new /= new.sum(axis=1, keepdims=True)
         moved = np.abs(new - post).max()
         post = new
         if moved < 1e-9:
             break
-    return np.where(silent, prior[1], post), says
+    return post[:, 0], says
 
 
 def shape(word: str) -> str:
