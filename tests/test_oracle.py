@@ -7,7 +7,10 @@ import pytest
 
 from conftest import SF_SMALL
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 def _rows(cols, rows):

@@ -41,8 +41,15 @@ def parse_spec(spec: str) -> list[tuple[str, str]]:
     return out
 
 
+# From here on a double has no digits behind the fifth decimal to speak of, and
+# the scaled value would leave the integers.
+LARGE = 1e12
+
+
 def contract_round(c: Column) -> Column:
-    return F.floor(c * F.lit(1e5) + F.lit(0.5001)) / F.lit(1e5)
+    """NaN, infinities and values of ``LARGE`` or more pass as they are."""
+    plain = F.isnan(c) | (F.abs(c) >= F.lit(LARGE))
+    return F.when(plain, c).otherwise(F.floor(c * F.lit(1e5) + F.lit(0.5001)) / F.lit(1e5))
 
 
 def apply_spark(df: DataFrame, spec: str) -> DataFrame:
@@ -60,6 +67,7 @@ def apply_sql(sql: str, spec: str) -> str:
     for name, code in parse_spec(spec):
         c = f'CAST("{name}" AS {SQL_TYPES[code]})'
         if code == "d":
-            c = f"floor({c} * 1e5 + CAST(0.5001 AS DOUBLE)) / 1e5"
+            c = (f"CASE WHEN isnan({c}) OR abs({c}) >= {LARGE:.0f} THEN {c} "
+                 f"ELSE floor({c} * 1e5 + CAST(0.5001 AS DOUBLE)) / 1e5 END")
         cols.append(f'{c} AS "{name}"')
     return f"SELECT {', '.join(cols)}\nFROM (\n{sql}\n) AS q"

@@ -32,12 +32,8 @@ def pct(num: str | Column, den: str | Column) -> Column:
 
 
 def round_half_up(c: str | Column, scale: int) -> Column:
-    """Decimal rounding of a double, half away from zero.
-
-    The value is first snapped to 9 decimals, so binary noise such as
-    ``0.12354999999999998`` for the decimal ``0.12355`` does not decide a tie.
-    """
-    return F.round(F.round(col_(c), 9), scale)
+    """Rounding of a double's decimal digits, half away from zero."""
+    return F.round(col_(c), scale)
 
 
 def weather_key(city: str | Column, dkey: str | Column) -> Column:

@@ -1,7 +1,7 @@
 """Window specs and rolling statistics over (series key, date_key).
 
 Every per-symbol statistic is a ROWS frame over one partition key ordered by
-``date_key``.  Specs built here share partition and order, so Spark plans all
+``date_key`` and, where a day repeats, by the row's remaining columns.  Specs built here share partition and order, so Spark plans all
 of them after a single hash exchange + sort.
 """
 
@@ -13,17 +13,20 @@ from pyspark.sql import functions as F
 from .scalar import col_, safe_div
 
 
-def ordered(part: str | list[str], order: str = "date_key") -> WindowSpec:
+def ordered(part: str | list[str], order: str | list[str] = "date_key") -> WindowSpec:
     parts = [part] if isinstance(part, str) else list(part)
-    return Window.partitionBy(*parts).orderBy(F.col(order).asc_nulls_last())
+    by = [order] if isinstance(order, str) else list(order)
+    return Window.partitionBy(*parts).orderBy(*[F.col(c).asc_nulls_last() for c in by])
 
 
-def trailing(part: str | list[str], n_preceding: int, order: str = "date_key") -> WindowSpec:
+def trailing(
+    part: str | list[str], n_preceding: int, order: str | list[str] = "date_key"
+) -> WindowSpec:
     """``rows between n preceding and current row``."""
     return ordered(part, order).rowsBetween(-n_preceding, Window.currentRow)
 
 
-def running(part: str | list[str], order: str = "date_key") -> WindowSpec:
+def running(part: str | list[str], order: str | list[str] = "date_key") -> WindowSpec:
     """``rows between unbounded preceding and current row``."""
     return ordered(part, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 

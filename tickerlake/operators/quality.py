@@ -123,7 +123,7 @@ def quality_report(tables: dict[str, DataFrame], checks: list[Check] = SOURCE_CH
 
 def relationship_failures(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row (a relationships test)."""
-    keys = parent.select(F.col(parent_col).alias("__k")).distinct()
+    keys = parent.select(F.col(parent_col).alias("__k"))
     return child.filter(F.col(child_col).isNotNull()).join(
         keys, F.col(child_col) == F.col("__k"), "left_anti"
     )
@@ -133,8 +133,7 @@ def relationship_report(links: list[tuple[str, DataFrame, str, DataFrame, str]])
     """(table_name, column_name, check_name, failures) for foreign-key links.
 
     ``links`` holds (child name, child frame, child column, parent frame,
-    parent column); each link is one anti join against the parent's distinct
-    keys.
+    parent column); each link is one anti join against the parent's keys.
     """
     parts = [
         relationship_failures(child, col, parent, pcol)

@@ -3,7 +3,9 @@
 ``row_number() over (order by k)`` with no PARTITION BY makes Spark move every
 row into one task.  Instead the rows are range-partitioned on the order key
 (equal keys share a partition and partition i holds smaller keys than i+1),
-sorted inside each partition, and tagged with (partition, position).  The
+sorted inside each partition by the key and the tie-break columns, and tagged
+with (partition, position).  Only the order key is sampled for the range
+bounds, so no wide rows reach the driver.  The
 tagged rows are written as a parquet table in the shared checkpoint folder
 (cheaper than an RDD checkpoint of wide rows) so a lost executor cannot
 re-draw the range bounds, then a per-partition row count -- one row per
@@ -18,8 +20,18 @@ from pyspark.sql import functions as F
 from ..session import shared_path
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
-# Target rows per range partition when the partition count is derived from the input.
-ROWS_PER_PARTITION = 2_000_000
+# Target bytes per range partition (the planner's estimate of the input).
+BYTES_PER_PARTITION = 256 << 20
+
+
+def _partitions(df: DataFrame) -> int:
+    """At least the session's shuffle partitions, more for a large input: its
+    size is that of the stored tables it reads, so nothing is counted."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+    known = sum(s for s in sizes if s < 1 << 62)  # frames without a size have the largest
+    n = -(-known // BYTES_PER_PARTITION)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
 
 
 def _sort_cols(df: DataFrame, order: list[str | Column], tiebreak: bool) -> list[Column]:
@@ -36,28 +48,25 @@ def global_row_number(
     out_col: str = "row_number",
     num_partitions: int | None = None,
     tiebreak: bool = True,
-    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Append ``out_col`` (long, 1-based) numbering the rows by ``order``.
 
     Ties in ``order`` are broken by the remaining columns (``tiebreak``), so
-    the numbering is deterministic and rows sharing a hot key value can still
-    land in different range partitions.  NULL keys sort last.  Without
-    ``num_partitions`` the partition count grows with the input: at least the
-    session's shuffle partitions, and enough for ``rows_per_partition`` rows
-    each (range partitions are not split later by adaptive execution).
+    the numbering is deterministic; rows of one key share a range partition, so
+    a caller whose leading key is hot passes the columns that split it in
+    ``order``.  NULL keys sort last.  Without ``num_partitions`` the partition
+    count grows with the input (range partitions are not split later by
+    adaptive execution).
     """
     spark = df.sparkSession
     sort_cols = _sort_cols(df, order, tiebreak)
-    n = num_partitions
-    if n is None:
-        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                -(-df.count() // rows_per_partition))
+    n = num_partitions or _partitions(df)
+    range_cols = _sort_cols(df, order, False)
     # The tagged rows are written once (parquet in the shared folder) and
     # read back, so the offsets and the numbering see the same partitions.
     path = shared_path(spark, "row_number")
     (
-        df.repartitionByRange(n, *sort_cols)
+        df.repartitionByRange(n, *range_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("__rid", F.monotonically_increasing_id())
         .write.mode("overwrite")

@@ -18,7 +18,9 @@ trading day) that is what runs.  When a key holds more rows than
   combine a per-chunk aggregate, prefix-combined over the chunks of a key
   (one row per chunk), with the running value inside the chunk.
 
-Results are identical to the unchunked windows.
+Both ways order a series by one total order: the order column, then the
+frame's remaining columns, nulls last.  So results don't depend on the chunk
+size even where a key has several rows for one day.
 """
 
 from __future__ import annotations
@@ -43,9 +45,9 @@ def largest_key(df: DataFrame, key: str) -> int:
 
 
 def positions(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """``__pos``: 1-based position of each row in its key's series by ``order``
-    (ties broken by the remaining columns), without one task per key."""
-    numbered = global_row_number(df, [key, *order], out_col="__g")
+    """``__pos``: 1-based position of each row in its key's series by ``order``,
+    without one task per key."""
+    numbered = global_row_number(df, [key, *order], out_col="__g", tiebreak=False)
     starts = numbered.groupBy(key).agg(F.min("__g").alias("__start"))
     starts = starts.withColumnRenamed(key, "__key")
     j = numbered.join(starts, numbered[key].eqNullSafe(starts["__key"]))
@@ -60,7 +62,7 @@ class Series:
     df: DataFrame
     key: str
     part: list[str]
-    order: str
+    order: list[str]
     chunked: bool
 
     def with_first(self, df: DataFrame, value: str, out: str) -> DataFrame:
@@ -124,14 +126,15 @@ def prepare(
     instance from the table the frame derives from); the choice only sizes
     tasks, results are the same either way.
     """
+    total = [order, *[c for c in df.columns if c not in (key, order)]]
     if chunk_rows is None:
-        return Series(df, key, [key], order, False)
+        return Series(df, key, [key], total, False)
     if not force:
         if largest is None:
             largest = largest_key(df, key)
         if largest <= chunk_rows:
-            return Series(df, key, [key], order, False)
-    pos = positions(df, key, [order])
+            return Series(df, key, [key], total, False)
+    pos = positions(df, key, total)
     p = F.col("__pos")
     k = ((p - 1) / chunk_rows).cast("long")
     own = pos.withColumn("__chunk", k).withColumn("__halo", F.lit(False))
@@ -157,4 +160,4 @@ def prepare(
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return Series(out, key, [key, "__chunk"], "__pos", True)
+    return Series(out, key, [key, "__chunk"], ["__pos"], True)

@@ -3,17 +3,19 @@
 A stored table is parquet partitioned by month of ``date_key``.  A load
 
 1. reads the target's high-water mark (one aggregate row),
-2. keeps the incoming rows past it (``date_key > max``; with
-   ``lookback_days`` the last days are re-read so late rows and corrections
+2. keeps the feed's rows past it, compared on the feed's own date column so
+   that the scan skips older files and row groups (``newer_rows``; with
+   ``lookback_days`` the last days are read again so late rows and corrections
    are merged too; an empty or missing target loads everything),
-3. replaces target rows that share the unique key with an incoming row and
-   inserts the rest -- only inside the months the incoming rows touch,
-4. stages the merged months in the shared folder and overwrites just those
+3. reduces them to one row per unique key and stages them once,
+4. replaces target rows that share the key with a staged row and inserts the
+   rest -- only inside the months that the staged rows touch,
+5. stages the merged months in the shared folder and overwrites just those
    partitions of the target (dynamic partition overwrite), so no job reads
    and overwrites the same files.
 
 Stable surrogate keys: symbols already in a stored dimension keep their key;
-new symbols are numbered after the current maximum.
+new symbols are numbered after the current maximum and appended.
 """
 
 from __future__ import annotations
@@ -31,10 +33,14 @@ PART_COL = "month_key"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table, None where its path doesn't exist.  Anything else that
+    can't be read (an empty folder, say, after a load that broke off) raises."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def high_water_mark(target: DataFrame, col: str = "date_key"):
@@ -56,10 +62,23 @@ def _shift_key(key: int, days: int) -> int:
     return d.year * 10000 + d.month * 100 + d.day
 
 
+def newer_rows(
+    feed: DataFrame, date_col: str, target: DataFrame | None, lookback_days: int | None = None
+) -> DataFrame:
+    """Rows of a feed past the target's high-water mark, by the feed's date or
+    timestamp column: a plain comparison with a literal, which reaches the scan."""
+    hwm = None if target is None else high_water_mark(target)
+    if hwm is None:
+        return feed
+    from_key = _shift_key(int(hwm), lookback_days or -1)
+    day = dt.date(from_key // 10000, from_key // 100 % 100, from_key % 100)
+    return feed.filter(F.col(date_col) >= F.lit(day))
+
+
 def incoming_rows(
     source: DataFrame, target: DataFrame | None, col: str = "date_key", lookback_days: int | None = None
 ) -> DataFrame:
-    """Rows of ``source`` past the target's high-water mark."""
+    """Rows of ``source`` past the target's high-water mark, by the key itself."""
     if target is None:
         return source
     hwm = high_water_mark(target, col)
@@ -70,6 +89,19 @@ def incoming_rows(
     return source.filter(F.col(col) > F.lit(hwm))
 
 
+def one_per_key(rows: DataFrame, unique_key: list[str], load_order: list[str] | None = None) -> DataFrame:
+    """One row per key: the largest by ``load_order``, then by the remaining
+    columns in their order (nulls smallest).  A partial aggregate, so a key
+    with very many rows is reduced before the shuffle."""
+    first = load_order or []
+    rest = [c for c in rows.columns if c not in unique_key and c not in first]
+    value = F.struct(*first, *rest)
+    return (
+        rows.groupBy(*unique_key).agg(F.max(value).alias("__row"))
+        .select(*[F.col(c) if c in unique_key else F.col(f"__row.{c}").alias(c) for c in rows.columns])
+    )
+
+
 def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
     # range-partition on (month, day) first: each month lands in one or a few
     # files (not one per writing task), while a large month is still split
@@ -89,23 +121,34 @@ def upsert(
     target_path: str,
     unique_key: list[str],
     lookback_days: int | None = None,
+    high_water: bool = True,
+    load_order: list[str] | None = None,
 ) -> DataFrame:
-    """Load ``source`` into the table at ``target_path``; return the table."""
+    """Load ``source`` into the table at ``target_path``; return the table.
+
+    ``high_water=False`` merges every row of ``source`` on the unique key,
+    whatever the table's last day (micro-batches, feeds filtered before).  Of
+    several rows with one key the largest by ``load_order`` is loaded.
+    """
     cols = source.columns
     target = read_table(spark, target_path)
-    incoming = incoming_rows(source, target, lookback_days=lookback_days)
+    if high_water:
+        source = incoming_rows(source, target, lookback_days=lookback_days)
+    incoming = one_per_key(source, unique_key, load_order)
     if target is None:
         _write_partitioned(incoming, target_path, "overwrite")
         return read_table(spark, target_path).select(*cols)
-    incoming = incoming.withColumn(PART_COL, (F.col("date_key") / 100).cast("int"))
+    batch_path = shared_path(spark, "batch")
+    incoming.withColumn(PART_COL, (F.col("date_key") / 100).cast("int")).write.parquet(batch_path)
+    batch = spark.read.parquet(batch_path)
     # the months a load touches are few (bounded by the calendar): list them
     # so the target read is pruned to those partitions
-    months = [r[PART_COL] for r in incoming.select(PART_COL).distinct().collect()]
+    months = [r[PART_COL] for r in batch.select(PART_COL).distinct().collect()]
     if not months:
         return target.select(*cols)
     old = target.filter(F.col(PART_COL).isin(months))
-    kept = old.join(incoming.select(*unique_key).distinct(), unique_key, "left_anti")
-    merged = kept.select(*cols).unionByName(incoming.select(*cols))
+    kept = old.join(batch.select(*unique_key), unique_key, "left_anti")
+    merged = kept.select(*cols).unionByName(batch.select(*cols))
     stage = shared_path(spark, "stage")
     merged.write.mode("overwrite").parquet(stage)
     _write_partitioned(spark.read.parquet(stage), target_path, "overwrite")
@@ -131,7 +174,6 @@ def stable_stock_keys(spark: SparkSession, raw_stocks: DataFrame, dim_path: str)
         return current
     numbered = global_row_number(new, ["symbol"], out_col="rank", tiebreak=False)
     added = numbered.select((F.col("rank") + F.lit(base)).cast("long").alias("stock_key"), "symbol")
-    stage = shared_path(spark, "dim_stock")
-    current.select("stock_key", "symbol").unionByName(added).write.mode("overwrite").parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(dim_path)
+    # appended, never rewritten: a load that breaks off leaves the stored keys as they were
+    added.write.mode("append").parquet(dim_path)
     return spark.read.parquet(dim_path)

@@ -96,14 +96,13 @@ class Build:
     @cached_property
     def bridge_daily_news(self) -> DataFrame:
         return self.table(
-            warehouse.bridge_daily_news(self.raw_news, self.dim_news, dim_from_feed=True),
-            "bridge_daily_news",
+            warehouse.bridge_daily_news(self.raw_news, self.dim_news), "bridge_daily_news"
         )
 
     @cached_property
     def bridge_daily_weather(self) -> DataFrame:
         return self.table(
-            warehouse.bridge_daily_weather(self.raw_weather, self.dim_weather, dim_from_feed=True),
+            warehouse.bridge_daily_weather(self.raw_weather, self.dim_weather),
             "bridge_daily_weather",
         )
 

@@ -20,6 +20,7 @@ from ..functions.windows import ordered, rolling_corr
 from ..operators import series
 from ..sources.fixtures import BENCHMARK_SYMBOL
 
+# Output columns of the feature tables, in order.
 TECHNICAL_COLS = [
     "date_key", "symbol", "open_price", "close_price", "high_price", "low_price", "volume",
     "daily_return", "price_range", "ma_5", "ma_20", "ma_50", "vol_20", "ema_12", "ema_26",

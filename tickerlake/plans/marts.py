@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flag_points
-from .features import index_series, news_features, price_features, stock_base, with_breakout
+from .features import with_breakout
 
+# Output columns of the analysis tables, in order.
 ANALYSIS_COLS = [
     "date_key", "symbol", "open_price", "close_price", "high_price", "low_price", "volume",
     "daily_return", "price_range", "ma_5", "ma_20", "ma_50", "macd_line", "rsi_14", "vol_20",
@@ -60,12 +61,6 @@ def _scored(feats: DataFrame, news: DataFrame, breakout_exclude_current: bool) -
     return with_score.withColumn("recommendation", recommendation(F.col("score")))
 
 
-def inputs(fact: DataFrame, dim_stock: DataFrame, dim_news: DataFrame):
-    """(price features, news features) from warehouse tables."""
-    base = stock_base(fact, dim_stock)
-    return price_features(base, index_series(base)), news_features(dim_news, base)
-
-
 def daily_stock_analysis(feats: DataFrame, news: DataFrame,
                          breakout_exclude_current: bool = False) -> DataFrame:
     """Technical, risk, performance and news features with score and label.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import full_rolling, ordered, safe_div, trailing
 from ..operators import series
 
+# Output columns of the training table, in order.
 ML_COLS = [
     "date_key", "stock_key", "symbol", "city", "next_day_return", "daily_return",
     "return_lag_1", "return_lag_3", "return_lag_5", "ma_5", "ma_20", "vol_20",
@@ -54,18 +55,21 @@ def stock_ml(fact: DataFrame, dim_stock: DataFrame,
     )
 
 
-def weather_ml(bridge_weather: DataFrame, dim_weather: DataFrame) -> DataFrame:
+def weather_ml(bridge_weather: DataFrame, dim_weather: DataFrame,
+               chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Weather features by (city, day).  Humidity, cloud cover and condition
     are not in the weather feed and stay typed NULL columns."""
     d = dim_weather.drop("date_key")
     j = bridge_weather.join(d, "weather_key", "left")
     avg_temp = (F.col("max_temp") + F.col("min_temp")) / 2
     base = j.select("date_key", "city", avg_temp.alias("avg_temp"), "max_wind", "precip")
-    return base.select(
+    sr = series.prepare(base, "city", back=1, chunk_rows=chunk_rows)
+    before = F.lag("avg_temp", 1).over(ordered(sr.part, sr.order))
+    return sr.own(sr.df.withColumn("temp_change", F.col("avg_temp") - before)).select(
         "date_key",
         "city",
         "avg_temp",
-        (F.col("avg_temp") - F.lag("avg_temp", 1).over(ordered("city"))).alias("temp_change"),
+        "temp_change",
         F.lit(None).cast("double").alias("humidity"),
         F.lit(None).cast("double").alias("humidity_change"),
         F.col("max_wind").alias("wind_speed"),
@@ -105,7 +109,7 @@ def ml_features(
     largest: int | None = None,
 ) -> DataFrame:
     stock = stock_ml(fact, dim_stock, chunk_rows=chunk_rows, largest=largest)
-    weather = weather_ml(bridge_weather, dim_weather)
+    weather = weather_ml(bridge_weather, dim_weather, chunk_rows)
     news = news_ml(bridge_news)
     j = stock.join(weather, "date_key", "left").join(news, "date_key", "left")
     return j.select(

@@ -75,13 +75,11 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
     """One row per bar (symbol, day, OHLCV) with range, change, direction and
     the day's news for the symbol.
 
-    Identical bars form one group whose article count counts every copy, as a
-    GROUP BY over the bar-article join would (copies x articles, computed as a
-    product).  The headline list holds each article once: repeating it per
-    copy would materialise every (copy, article) pair.  The copies are counted
-    on the bars alone -- partially aggregated before the shuffle, so many
-    copies of one bar never travel to one task -- then each distinct bar
-    meets its day's news aggregate once.
+    Identical bars form one group whose count and headline list hold every
+    article once per copy, as a GROUP BY over the bar-article join would.  The
+    copies are counted on the bars alone -- partially aggregated before the
+    shuffle, so many copies of one bar never travel to one task -- then each
+    distinct bar meets its day's news aggregate once.
     """
     bars = with_trade_date(raw_stocks)
     distinct_bars = bars.groupBy(*DAILY_STOCK_KEYS).agg(F.count(F.lit(1)).alias("copies"))
@@ -99,7 +97,11 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
         F.coalesce(F.sort_array("n_categories"), F.array().cast("array<string>")).alias(
             "news_categories"
         ),
-        F.coalesce(F.sort_array("n_headlines"), F.array().cast("array<string>")).alias("headlines"),
+        F.coalesce(
+            F.when(m > 1, F.sort_array(F.flatten(F.array_repeat("n_headlines", m.cast("int")))))
+            .otherwise(F.sort_array("n_headlines")),
+            F.array().cast("array<string>"),
+        ).alias("headlines"),
     )
 
 

@@ -100,26 +100,20 @@ def fact_stock(raw_stocks: DataFrame, dim: DataFrame) -> DataFrame:
     return src.join(dim.select("stock_key", "symbol"), "symbol").select(*FACT_COLS)
 
 
-def bridge_daily_news(raw_news: DataFrame, dim: DataFrame, dim_from_feed: bool = False) -> DataFrame:
-    """(date_key, news_key) for every article of the feed found in DIM_NEWS.
-
-    The source joins the feed to the dimension on the article id; both come
-    from the same rows, so with unique ids (a tested source contract) that is
-    one row per dimension row.  A semi join keeps it linear when ids repeat
-    instead of emitting every pair of copies.  ``dim_from_feed``: the
-    dimension was just built from this feed, so every row has its article in
-    the feed and the semi join is skipped.
+def bridge_daily_news(raw_news: DataFrame, dim: DataFrame) -> DataFrame:
+    """(date_key, news_key) for every article of DIM_NEWS that the feed has.
+
+    The join is on the article id, so articles without an id have no row.  It
+    is a semi join: with unique ids (a tested source contract) that is the
+    inner join, and where ids repeat it stays at one row per dimension row
+    instead of one per pair of copies.
     """
-    if dim_from_feed:
-        return dim.select("date_key", "news_key")
-    ids = raw_news.filter(F.col("datetime").isNotNull()).select(F.col("id").alias("news_id")).distinct()
+    ids = raw_news.filter(F.col("datetime").isNotNull()).select(F.col("id").alias("news_id"))
     return dim.join(ids, "news_id", "left_semi").select("date_key", "news_key")
 
 
-def bridge_daily_weather(raw_weather: DataFrame, dim: DataFrame, dim_from_feed: bool = False) -> DataFrame:
-    """(date_key, weather_key) for every dimension row observed in the feed
-    (all of them when the dimension was just built from this feed)."""
-    if dim_from_feed:
-        return dim.select("date_key", "weather_key")
-    seen = weather_source(raw_weather).select("city", "date_key").distinct()
+def bridge_daily_weather(raw_weather: DataFrame, dim: DataFrame) -> DataFrame:
+    """(date_key, weather_key) for every dimension row whose city and day the
+    feed has (a semi join, as above); rows without a city have none."""
+    seen = weather_source(raw_weather).select("city", "date_key")
     return dim.join(seen, ["city", "date_key"], "left_semi").select("date_key", "weather_key")

@@ -64,6 +64,17 @@ ML = (
 TECH_COLS = ", ".join(n for n, _ in contract.parse_spec(TECH))
 
 
+_BUILDS: dict[tuple[str, str], Build] = {}
+
+
+def shared_build(spark: SparkSession, sf_dir: str) -> Build:
+    """One build per application and input, so its queries share feeds and tables."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _BUILDS:
+        _BUILDS[key] = Build(spark, sf_dir)
+    return _BUILDS[key]
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -72,7 +83,7 @@ class Query:
     sql: str | None  # final SELECT over oracle.MODELS; None = no SQL oracle
 
     def spark(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return contract.apply_spark(self.build(Build(spark, sf_dir)), self.spec)
+        return contract.apply_spark(self.build(shared_build(spark, sf_dir)), self.spec)
 
     def oracle(self) -> str | None:
         if self.sql is None:
@@ -84,6 +95,8 @@ def _cols(spec: str, prefix: str = "") -> str:
     return ", ".join(f"{prefix}{n}" for n, _ in contract.parse_spec(spec))
 
 
+# Fixed value: days before the stored maximum that an overlapping load reads again.
+LOOKBACK_DAYS = 45
 D = reports.REPORT_DAY
 C = reports.REPORT_CITY
 K = reports.TOP_K
@@ -252,6 +265,12 @@ QUERIES: list[Query] = [
         "appt_temp_range:d temp_range_c:d daylight_duration:d sunrise:l sunset:l",
         """SELECT * FROM raw_weather ORDER BY city NULLS LAST, raw_date NULLS LAST LIMIT 10""",
     ),
+    Query(
+        "report_preview_news",
+        lambda b: reports.preview(b.raw_news, ["id", "datetime"]),
+        "id:l headline:s category:s source:s related:s summary:s url:s image:s",
+        """SELECT * FROM raw_news ORDER BY id NULLS LAST, datetime NULLS LAST LIMIT 10""",
+    ),
     Query(
         "load_counts",
         lambda b: reports.load_counts(
@@ -273,6 +292,8 @@ QUERIES: list[Query] = [
     Query(
         "quality_relationships",
         lambda b: quality.relationship_report([
+            ("raw_stocks", b.raw_stocks, "symbol", b.dim_stock, "symbol"),
+            ("raw_news", b.raw_news, "related", b.dim_stock, "symbol"),
             ("fact_stock", b.fact_stock, "stock_key", b.dim_stock, "stock_key"),
             ("bridge_daily_news", b.bridge_daily_news, "news_key", b.dim_news, "news_key"),
             ("bridge_daily_weather", b.bridge_daily_weather, "weather_key", b.dim_weather,
@@ -282,10 +303,12 @@ QUERIES: list[Query] = [
         "\nUNION ALL\n".join(
             f"SELECT '{c}' AS table_name, '{k}' AS column_name, 'relationships' AS check_name, "
             f"CAST(count(*) AS BIGINT) AS failures FROM {c} x WHERE x.{k} IS NOT NULL AND NOT "
-            f"EXISTS (SELECT 1 FROM {p} y WHERE y.{k} = x.{k})"
-            for c, k, p in [("fact_stock", "stock_key", "dim_stock"),
-                            ("bridge_daily_news", "news_key", "dim_news"),
-                            ("bridge_daily_weather", "weather_key", "dim_weather")]
+            f"EXISTS (SELECT 1 FROM {p} y WHERE y.{q} = x.{k})"
+            for c, k, p, q in [("raw_stocks", "symbol", "dim_stock", "symbol"),
+                               ("raw_news", "related", "dim_stock", "symbol"),
+                               ("fact_stock", "stock_key", "dim_stock", "stock_key"),
+                               ("bridge_daily_news", "news_key", "dim_news", "news_key"),
+                               ("bridge_daily_weather", "weather_key", "dim_weather", "weather_key")]
         ),
     ),
     Query(
@@ -313,6 +336,19 @@ QUERIES: list[Query] = [
         WEATHER_DIM,
         "SELECT * FROM dim_weather",
     ),
+    # the same with a second load that overlaps stored days and replaces their rows
+    Query(
+        "incremental_fact_overlap",
+        lambda b: incremental_fact(b, lookback_days=LOOKBACK_DAYS),
+        FACT,
+        "SELECT * FROM fact_stock",
+    ),
+    Query(
+        "incremental_weather_overlap",
+        lambda b: incremental_dim_weather(b, lookback_days=LOOKBACK_DAYS),
+        WEATHER_DIM,
+        "SELECT * FROM dim_weather",
+    ),
 ]
 
 BY_NAME = {q.name: q for q in QUERIES}

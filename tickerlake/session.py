@@ -49,8 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     The folder comes from the session (``spark.checkpoint.dir`` or an already
-    set checkpoint directory).  Only when neither is set -- local runs and
-    tests -- a fresh folder is created and registered.
+    set checkpoint directory).  Only when neither is set and the session runs
+    in one process (``local[...]``) a fresh folder is created and registered;
+    on a cluster a machine-local folder would be another one on each executor,
+    so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -60,6 +62,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a folder that the driver and all executors share"
+        )
     local = tempfile.mkdtemp(prefix="tickerlake-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -2,12 +2,15 @@
 
 The original pipeline receives stock bars, news articles and city weather
 from upstream loaders.  Here the same shapes are derived with Spark from the
-TPC-H style tables so that every model's work grows with the input:
+TPC-H style tables:
 
-* stock bars: one bar per (brand, ship day) over line items, plus a
-  benchmark symbol over all lines;
-* news: one article per order, related to the brand of its first line;
-* weather: one observation per (region, order day).
+* stock bars: one bar per (supplier, ship day) over line items, plus a
+  benchmark symbol over all lines; suppliers grow with the input, and so do
+  the number of series and of bars;
+* news: one article per order, related to the supplier of its first line, so
+  a bar's articles stay few at every size;
+* weather: one observation per (region, order day); its rows are bounded by
+  the calendar, its work grows with the orders.
 
 All three are single aggregations with map-side partial aggregation, so a hot
 group (say, the benchmark, which covers every line) never lands whole in one
@@ -16,7 +19,7 @@ task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
@@ -33,8 +36,11 @@ NO_HEADLINE_EVERY = 10
 TEMP_DIVISOR, PRECIP_PER_FINISHED, WIND_PER_ORDER = 10000, 2.5, 10.0
 DAYLIGHT_SECONDS, SUNRISE_SECONDS, SUNSET_SECONDS = 43200.0, 21600, 64800
 
+# Fixed value: a supplier's symbol is this letter and its key.
+SYMBOL_PREFIX = "S"
+
 # Ordering of line items inside a bar (first line = open,
-# last line = close) and inside an order (first line = related brand).
+# last line = close) and inside an order (first line = related supplier).
 BAR_LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 ORDER_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
@@ -57,30 +63,30 @@ def _bars(lines: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def supplier_symbol(key: str) -> Column:
+    return F.concat(F.lit(SYMBOL_PREFIX), F.col(key).cast("string"))
+
+
 def stock_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: symbol, datetime (date), open, high, low, close, volume.
 
-    Per-brand bars are aggregated from the line items once and staged as a
-    parquet table in the shared folder (one row per brand and day); the
+    Supplier bars are aggregated from the line items once and staged as a
+    parquet table in the shared folder (one row per supplier and day); the
     benchmark's bars are re-aggregated from those partials (min/max/sum are
     associative), so the line items are scanned and shuffled once.  Without
     the staged table the optimizer plans the two union branches with
     differently ordered aggregates and cannot reuse the shared exchange.
     """
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_shipdate", *[c for c in BAR_LINE_ORDER if c != "l_partkey"], "l_quantity"
-    )
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select(
-        F.col("p_brand").alias("symbol"),
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        supplier_symbol("l_suppkey").alias("symbol"),
         F.to_date("l_shipdate").alias("datetime"),
         *BAR_LINE_ORDER,
         "l_quantity",
     )
-    stage = shared_path(spark, "brand_bars")
+    stage = shared_path(spark, "supplier_bars")
     _bars(lines, ["symbol", "datetime"]).write.mode("overwrite").parquet(stage)
-    per_brand = spark.read.parquet(stage)
-    benchmark = per_brand.groupBy("datetime").agg(
+    per_supplier = spark.read.parquet(stage)
+    benchmark = per_supplier.groupBy("datetime").agg(
         F.min("first_line").alias("first_line"),
         F.max("last_line").alias("last_line"),
         F.max("high").alias("high"),
@@ -88,7 +94,7 @@ def stock_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("qty").alias("qty"),
     ).select(F.lit(BENCHMARK_SYMBOL).alias("symbol"), "*")
     cols = ["symbol", "datetime", "first_line", "last_line", "high", "low", "qty"]
-    bars = per_brand.select(*cols).unionByName(benchmark.select(*cols))
+    bars = per_supplier.select(*cols).unionByName(benchmark.select(*cols))
     return bars.select(
         "symbol",
         "datetime",
@@ -106,22 +112,20 @@ def news_api(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"
     )
     lineitem = read_table(spark, sf_dir, "lineitem").select(*ORDER_LINE_ORDER, "l_orderkey")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
 
     # First line of each order: an aggregate keyed (and so partitioned) by the
     # order key, which the orders join below reuses without a second shuffle.
-    # Outer joins run in the written order: order key, then part, then customer.
+    # Outer joins run in the written order: order key, then customer.
     first_line = lineitem.groupBy("l_orderkey").agg(
         F.min(F.struct(*[F.col(c) for c in ORDER_LINE_ORDER])).alias("fl")
-    ).select("l_orderkey", F.col("fl.l_partkey").alias("first_partkey"))
+    ).select("l_orderkey", F.col("fl.l_suppkey").alias("first_suppkey"))
     with_line = orders.join(first_line, orders.o_orderkey == first_line.l_orderkey, "left")
-    with_brand = with_line.join(part, with_line.first_partkey == part.p_partkey, "left")
 
     key = F.col("o_orderkey")
     key_txt = key.cast("string")
     return (
-        with_brand.join(customer, with_brand.o_custkey == customer.c_custkey, "left")
+        with_line.join(customer, with_line.o_custkey == customer.c_custkey, "left")
         .select(
             key.alias("id"),
             F.when(key % NO_HEADLINE_EVERY == 0, F.lit(None).cast("string"))
@@ -130,7 +134,7 @@ def news_api(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderdate").cast("timestamp").alias("datetime"),
             F.col("o_orderpriority").alias("category"),
             F.col("c_mktsegment").alias("source"),
-            F.col("p_brand").alias("related"),
+            supplier_symbol("first_suppkey").alias("related"),
             F.concat(F.lit(SUMMARY_PREFIX), key_txt).alias("summary"),
             F.concat(F.lit(URL_PREFIX), key_txt).alias("url"),
             F.lit(None).cast("string").alias("image"),

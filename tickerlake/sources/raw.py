@@ -90,12 +90,3 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "
     if fmt == "csv":
         reader = reader.option("header", "true")
     return reader.format(fmt).load(path)
-
-
-def staged(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Feed frames -> the three staging views."""
-    return {
-        "news": raw_news(sources["news"]),
-        "stocks": raw_stocks(sources["stocks"]),
-        "weather": raw_weather(sources["weather"]),
-    }

@@ -1,10 +1,11 @@
 """Daily feed files as a stream: each micro-batch is one incremental load.
 
 The warehouse's incremental models are re-aimed at Structured Streaming: a
-file source picks up new feed files, and ``foreachBatch`` runs the same keyed
-upsert a batch rerun uses (stable stock keys, high-water mark, merge on the
-unique key).  The upsert is idempotent, so a micro-batch replayed after a
-failure leaves the table unchanged; progress lives in the checkpoint folder.
+file source picks up new feed files, and ``foreachBatch`` merges each on the unique
+key with stable stock keys.  A micro-batch sees some files and not the whole
+feed, so no high-water mark is applied: a second file of a stored day is
+merged.  A micro-batch replayed after a failure merges the same rows again and
+so repairs what it had left; progress lives in the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ def stock_fact_stream(
     dim_path: str,
     fact_path: str,
     checkpoint: str,
-    lookback_days: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Stream stock-bar files into DIM_STOCK (stable keys) and FACT_STOCK."""
@@ -41,7 +41,7 @@ def stock_fact_stream(
         bars = raw_stocks(batch)
         dim = stable_stock_keys(spark, bars, dim_path)
         upsert(spark, warehouse.fact_stock(bars, dim), fact_path, ["stock_key", "date_key"],
-               lookback_days)
+               high_water=False)
 
     return _start(stream, handle, checkpoint, available_now)
 
@@ -51,7 +51,6 @@ def weather_dim_stream(
     feed_dir: str,
     dim_path: str,
     checkpoint: str,
-    lookback_days: int | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Stream weather files into DIM_WEATHER keyed by (city, date_key)."""
@@ -59,6 +58,6 @@ def weather_dim_stream(
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         upsert(spark, warehouse.dim_weather(raw_weather(batch)), dim_path, ["city", "date_key"],
-               lookback_days)
+               high_water=False)
 
     return _start(stream, handle, checkpoint, available_now)
