@@ -3,6 +3,7 @@
 from .scalar import (  # noqa: F401
     date_key,
     direction,
+    exact_avg,
     flag_points,
     key_to_date,
     pct,

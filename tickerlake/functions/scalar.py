@@ -36,6 +36,14 @@ def round_half_up(c: str | Column, scale: int) -> Column:
     return F.round(col_(c), scale)
 
 
+def exact_avg(c: str | Column) -> Column:
+    """Mean of doubles that hold decimals (prices, rounded percentages): summed
+    as decimals, so the order of the rows leaves no trace in the last bits, which
+    would decide how a tie is rounded."""
+    v = col_(c)
+    return safe_div(F.sum(v.cast("decimal(28,8)")).cast("double"), F.count(v))
+
+
 def weather_key(city: str | Column, dkey: str | Column) -> Column:
     """``sha2(city || '-' || date_key, 256)``; NULL when any part is NULL."""
     return F.sha2(F.concat(col_(city), F.lit("-"), col_(dkey).cast("string")), 256)

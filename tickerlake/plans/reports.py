@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import round_half_up, weather_type
+from ..functions import exact_avg, round_half_up, weather_type
 
 # Default parameters of the example reports.
 TOP_K = 20
@@ -59,9 +59,9 @@ def weather_type_summary(wmc: DataFrame, city: str = REPORT_CITY) -> DataFrame:
         .groupBy("city", "weather_type")
         .agg(
             F.count(F.lit(1)).alias("trading_days"),
-            round_half_up(F.avg("avg_pct_change"), 4).alias("avg_market_return_pct"),
-            round_half_up(F.avg("stocks_up"), 0).alias("avg_stocks_up"),
-            round_half_up(F.avg("stocks_down"), 0).alias("avg_stocks_down"),
+            round_half_up(exact_avg("avg_pct_change"), 4).alias("avg_market_return_pct"),
+            round_half_up(exact_avg("stocks_up"), 0).alias("avg_stocks_up"),
+            round_half_up(exact_avg("stocks_down"), 0).alias("avg_stocks_down"),
         )
         .orderBy("weather_type")
     )

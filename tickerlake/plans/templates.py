@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import direction, pct, round_half_up
+from ..functions import direction, exact_avg, pct, round_half_up
 
 DAILY_STOCK_KEYS = ["symbol", "trade_date", "open", "high", "low", "close", "volume"]
 
@@ -39,10 +39,10 @@ def city_climate(raw_weather: DataFrame) -> DataFrame:
         F.min("raw_date").alias("first_observation_date"),
         F.max("raw_date").alias("last_observation_date"),
         F.count(F.lit(1)).alias("total_observation_days"),
-        round_half_up(F.avg("max_temp"), 2).alias("avg_max_temp"),
-        round_half_up(F.avg("min_temp"), 2).alias("avg_min_temp"),
-        round_half_up(F.avg("precip"), 2).alias("avg_daily_precip"),
-        round_half_up(F.avg("max_wind"), 2).alias("avg_max_wind"),
+        round_half_up(exact_avg("max_temp"), 2).alias("avg_max_temp"),
+        round_half_up(exact_avg("min_temp"), 2).alias("avg_min_temp"),
+        round_half_up(exact_avg("precip"), 2).alias("avg_daily_precip"),
+        round_half_up(exact_avg("max_wind"), 2).alias("avg_max_wind"),
         F.max("max_temp").alias("hottest_day_temp"),
         F.min("min_temp").alias("coldest_day_temp"),
         F.max("precip").alias("wettest_day_precip"),
@@ -132,8 +132,8 @@ def market_by_day(daily: DataFrame) -> DataFrame:
     d = F.col("direction")
     return daily.groupBy("trade_date").agg(
         F.countDistinct("symbol").alias("stocks_tracked"),
-        F.avg("pct_change").alias("avg_pct_change_raw"),
-        F.avg("daily_range").alias("avg_daily_range_raw"),
+        exact_avg("pct_change").alias("avg_pct_change_raw"),
+        exact_avg("daily_range").alias("avg_daily_range_raw"),
         F.sum("volume").alias("volume_sum"),
         F.count_if(d == "UP").alias("up"),
         F.count_if(d == "DOWN").alias("down"),

@@ -216,9 +216,9 @@ QUERIES: list[Query] = [
                    CASE WHEN precip > 5 THEN 'Rainy (>5mm)' WHEN precip > 0 THEN 'Light Rain (0-5mm)'
                         ELSE 'Dry' END AS weather_type,
                    count(*) AS trading_days,
-                   {oracle.rhu('avg(avg_pct_change)', 4)} AS avg_market_return_pct,
-                   {oracle.rhu('avg(stocks_up)', 0)} AS avg_stocks_up,
-                   {oracle.rhu('avg(stocks_down)', 0)} AS avg_stocks_down
+                   {oracle.rhu(oracle.eavg('avg_pct_change'), 4)} AS avg_market_return_pct,
+                   {oracle.rhu(oracle.eavg('stocks_up'), 0)} AS avg_stocks_up,
+                   {oracle.rhu(oracle.eavg('stocks_down'), 0)} AS avg_stocks_down
             FROM weather_market_conditions WHERE city = '{C}'
             GROUP BY 1, 2 ORDER BY weather_type""",
     ),
