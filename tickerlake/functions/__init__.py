@@ -11,5 +11,6 @@ from .scalar import (  # noqa: F401
     safe_div,
     weather_key,
     weather_type,
+    with_month,
 )
 from .windows import full_rolling, ordered, rolling_corr, running, trailing  # noqa: F401

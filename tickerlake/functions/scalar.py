@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,14 @@ def date_key(c: str | Column) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def with_month(df: DataFrame, day: str) -> DataFrame:
+    """``month_key`` (YYYYMM) of an integer day key or a date column."""
+    c = F.col(day)
+    if dict(df.dtypes)[day] == "date":
+        c = F.year(c) * 10000 + F.month(c) * 100
+    return df.withColumn("month_key", F.floor(c / 100).cast("int"))
+
+
 def key_to_date(c: str | Column) -> Column:
     """Inverse of :func:`date_key`."""
     return F.to_date(col_(c).cast("string"), "yyyyMMdd")

@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import with_month
 from ..operators import series
 from ..session import shared_path
 from ..sources import fixtures, raw
@@ -42,15 +43,20 @@ class Build:
         self.warehouse_dir = warehouse_dir
         self.chunk_rows = chunk_rows
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a parquet table and read it back."""
+    def table(self, df: DataFrame, name: str, day: str | None = None) -> DataFrame:
+        """Write ``df`` as a parquet table and read it back; with ``day`` in
+        folders by that date column's month (``month_key``), which a filter on
+        the month skips."""
         if not self.materialize:
             return df
+        if day:
+            df = with_month(df, day).repartitionByRange("month_key", day)
         if self.warehouse_dir:
             path = f"{self.warehouse_dir.rstrip('/')}/{name}"
         else:
             path = shared_path(self.spark, name)
-        df.write.mode("overwrite").parquet(path)
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy("month_key") if day else writer).parquet(path)
         return self.spark.read.parquet(path)
 
     # -- staging ---------------------------------------------------------
@@ -199,9 +205,14 @@ class Build:
     def city_climate(self) -> DataFrame:
         return templates.city_climate(self.raw_weather)
 
+    @cached_property
+    def daily_bars(self) -> DataFrame:
+        # read by the weather-market mart and a report, which need no lists
+        return self.table(templates.daily_bars(self.raw_stocks, self.raw_news), "daily_bars")
+
     @cached_property
     def daily_stocks(self) -> DataFrame:
-        # warehouse fact read by the stock-news and weather-market marts
+        # warehouse fact read by the stock-news mart
         return self.table(templates.daily_stocks(self.raw_stocks, self.raw_news), "daily_stocks")
 
     @cached_property
@@ -212,14 +223,15 @@ class Build:
     def stock_news_daily(self) -> DataFrame:
         # mart read by two reports
         return self.table(
-            templates.stock_news_daily(self.daily_stocks, self.symbol_profile), "stock_news_daily"
+            templates.stock_news_daily(self.daily_stocks, self.symbol_profile),
+            "stock_news_daily", day="trade_date",
         )
 
     @cached_property
     def weather_market_conditions(self) -> DataFrame:
         return self.table(
             templates.weather_market_conditions(
-                self.daily_weather, self.city_climate, self.daily_stocks
+                self.daily_weather, self.city_climate, self.daily_bars
             ),
             "weather_market_conditions",
         )

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import with_month
 from .build import Build
 
 # model name -> (builder, within-partition sort columns)
@@ -48,8 +49,9 @@ MODELS = {
 def write_model(df: DataFrame, sort_cols: list[str], path: str | None = None,
                 table: str | None = None) -> None:
     partition = []
-    if "date_key" in df.columns:
-        df = df.withColumn("month_key", (F.col("date_key") / 100).cast("int"))
+    days = [c for c in ("date_key", "trade_date", "date") if c in df.columns]
+    if days:
+        df = with_month(df, days[0])
         partition = ["month_key"]
     order = [F.col(c).asc_nulls_last() for c in [*partition, *sort_cols]]
     # range partitioning on (month, sort key): balanced tasks, few files per

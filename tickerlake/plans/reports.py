@@ -23,6 +23,8 @@ REPORT_CITY = "ASIA"
 def top_news_on_day(stock_news: DataFrame, day: str = REPORT_DAY, k: int = TOP_K) -> DataFrame:
     """Symbols with the most articles on one trading day."""
     d = dt.date.fromisoformat(day)
+    if "month_key" in stock_news.columns:  # stored by month: other months' files are skipped
+        stock_news = stock_news.filter(F.col("month_key") == d.year * 100 + d.month)
     return (
         stock_news.filter(F.col("trade_date") == F.lit(d))
         .select(

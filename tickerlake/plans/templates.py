@@ -55,23 +55,28 @@ def daily_weather(raw_weather: DataFrame) -> DataFrame:
     )
 
 
-def news_by_symbol_day(raw_news: DataFrame) -> DataFrame:
+def news_by_symbol_day(raw_news: DataFrame, lists: bool = True) -> DataFrame:
     """Articles per (related symbol, publish day): count, headlines, categories.
 
     Aggregated before the join with the bars so that each bar meets one row
     per day instead of every article.
     """
     n = raw_news.filter(F.col("related").isNotNull() & F.col("datetime").isNotNull())
-    return n.groupBy(
-        F.col("related").alias("symbol"), F.to_date("datetime").alias("trade_date")
-    ).agg(
-        F.count("id").alias("n_articles"),
+    collected = [
         F.collect_list("headline").alias("n_headlines"),
         F.collect_set("category").alias("n_categories"),
-    )
+    ]
+    return n.groupBy(
+        F.col("related").alias("symbol"), F.to_date("datetime").alias("trade_date")
+    ).agg(F.count("id").alias("n_articles"), *(collected if lists else []))
+
 
+def daily_bars(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
+    """:func:`daily_stocks` without its two lists, for models that only count."""
+    return daily_stocks(raw_stocks, raw_news, lists=False)
 
-def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
+
+def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame, lists: bool = True) -> DataFrame:
     """One row per bar (symbol, day, OHLCV) with range, change, direction and
     the day's news for the symbol.
 
@@ -83,10 +88,19 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
     """
     bars = with_trade_date(raw_stocks)
     distinct_bars = bars.groupBy(*DAILY_STOCK_KEYS).agg(F.count(F.lit(1)).alias("copies"))
-    news = news_by_symbol_day(raw_news)
+    news = news_by_symbol_day(raw_news, lists)
     j = distinct_bars.join(news, ["symbol", "trade_date"], "left")
     m = F.col("copies")
     o, c = F.col("open"), F.col("close")
+    none = F.array().cast("array<string>")
+    news_lists = [
+        F.coalesce(F.sort_array("n_categories"), none).alias("news_categories"),
+        F.coalesce(
+            F.when(m > 1, F.sort_array(F.flatten(F.array_repeat("n_headlines", m.cast("int")))))
+            .otherwise(F.sort_array("n_headlines")),
+            none,
+        ).alias("headlines"),
+    ] if lists else []
     return j.select(
         *DAILY_STOCK_KEYS,
         (F.col("high") - F.col("low")).alias("daily_range"),
@@ -94,14 +108,7 @@ def daily_stocks(raw_stocks: DataFrame, raw_news: DataFrame) -> DataFrame:
         round_half_up(pct(c - o, o), 4).alias("pct_change"),
         direction(o, c).alias("direction"),
         (F.coalesce(F.col("n_articles"), F.lit(0)) * m).cast("long").alias("news_article_count"),
-        F.coalesce(F.sort_array("n_categories"), F.array().cast("array<string>")).alias(
-            "news_categories"
-        ),
-        F.coalesce(
-            F.when(m > 1, F.sort_array(F.flatten(F.array_repeat("n_headlines", m.cast("int")))))
-            .otherwise(F.sort_array("n_headlines")),
-            F.array().cast("array<string>"),
-        ).alias("headlines"),
+        *news_lists,
     )
 
 

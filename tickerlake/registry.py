@@ -237,7 +237,7 @@ QUERIES: list[Query] = [
     ),
     Query(
         "report_article_count",
-        lambda b: reports.top_article_counts(b.daily_stocks),
+        lambda b: reports.top_article_counts(b.daily_bars),
         "symbol:s trade_date:t open:d high:d low:d close:d volume:l daily_range:d pct_change:d "
         "news_article_count:l",
         f"""SELECT s.symbol, s.trade_date, s.open, s.high, s.low, s.close, s.volume,
