@@ -42,6 +42,13 @@ SLOTS = 1 << 21
 CALIBRATION_ROWS = 20_000
 #: Words and n-grams a worker holds before it hands counts on, or forgets.
 HELD = 200_000
+#: Most labels that are broadcast to the documents (about 32 MB); more are joined
+#: by a shuffle.
+BROADCAST_LABELS = 2_000_000
+#: Texts scored together, which shares the work on words not seen before.
+TOGETHER = 500
+#: Marks that are not part of a word.
+_MARKS = ".,;:!?\"()"
 FOLDS = 5
 HELD_OUT_FOLD, CALIBRATION_FOLD = 0, 4
 _FIRST, _LAST = "\x02", "\x03"
@@ -54,7 +61,11 @@ def fold(id_col: Column) -> Column:
 
 
 def words(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    text = (text or "").lower()
+    for mark in _MARKS:
+        if mark in text:
+            text = text.replace(mark, " ")
+    return text.split()
 
 
 def ngrams(word: str) -> list[str]:
@@ -197,22 +208,27 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.young, self.old = model, {}, {}
 
-    def text(self, text: str | None) -> tuple[float, float]:
-        """Most toxic word, mean of the three most toxic (0 where there are fewer)."""
-        own = words(text)
-        got = list(map(self.young.get, own))
-        if None in got:
-            missing = list({w for w, g in zip(own, got) if g is None})
-            known = {w: self.old.get(w) for w in missing}
-            new = [w for w in missing if known[w] is None]
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[float, float]]:
+        """Of each text the most toxic word and the mean of the three most toxic
+        (0 where there are fewer)."""
+        parts = [words(t) for t in texts]
+        known: dict[str, float] = {}
+        missing = {w for own in parts for w in own if w not in self.young}
+        if missing:
+            known = {w: g for w in missing if (g := self.old.get(w)) is not None}
+            new = [w for w in missing if w not in known]
             for k in range(0, len(new), 10_000):
                 known.update(zip(new[k:k + 10_000], self.model.words(new[k:k + 10_000])))
-            if len(self.young) >= HELD:
+        for own in parts:
+            got = list(map(self.young.get, own))
+            if None in got:
+                got = [known[w] if g is None else g for w, g in zip(own, got)]
+            high = nlargest(3, got)
+            yield (max(high[0], 0.0), sum(max(x, 0.0) for x in high) / 3) if high else (0.0, 0.0)
+        if known:
+            if len(self.young) >= 2 * HELD:
                 self.old, self.young = self.young, {}
-            self.young.update((w, known[w]) for w in missing if len(w) <= 48)
-            got = [known[w] if g is None else g for w, g in zip(own, got)]
-        high = nlargest(3, got)
-        return (max(high[0], 0.0), sum(max(x, 0.0) for x in high) / 3) if high else (0.0, 0.0)
+            self.young.update((w, g) for w, g in known.items() if len(w) <= 48)
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -247,13 +263,14 @@ def train(
         .groupBy("of").agg(F.max("toxic").alias("toxic"))
         .filter(fold(F.col("of")) != HELD_OUT_FOLD)
     )
+    marks = stage(marks, "kn_labels")
+    few = marks.count() <= BROADCAST_LABELS
     rows = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    marked = (
-        rows.filter(fold(F.col("id")) != HELD_OUT_FOLD).join(marks, F.col("id") == F.col("of"))
-        .select("id", "text", "toxic")
-    )
+    counted = marks.filter(fold(F.col("of")) != CALIBRATION_FOLD)
     top = stage(
-        marked.filter(fold(F.col("id")) != CALIBRATION_FOLD)
+        rows.filter(~fold(F.col("id")).isin(HELD_OUT_FOLD, CALIBRATION_FOLD))
+        .join(F.broadcast(counted) if few else counted, F.col("id") == F.col("of"))
+        .select("text", "toxic")
         .mapInArrow(_count, "gram string, n0 long, n1 long")
         .groupBy("gram").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "kn_top")
     contexts = stage(
@@ -278,17 +295,18 @@ def train(
     backed = contexts.select("ctx", F.log(rest(1) / rest(0)).alias("v"),
                              (F.col("all0") + F.col("all1")).alias("w"))
     model = Model(_slots(seen, "gram", "v", "w", slots), _slots(backed, "ctx", "v", "w", slots), [])
-    sample = (
-        marked.filter(fold(F.col("id")) == CALIBRATION_FOLD)
-        .orderBy(F.xxhash64("id"), "id").limit(calibration_rows)
+    sample = (  # a bounded number of ids, so their texts are found by a broadcast
+        marks.filter(fold(F.col("of")) == CALIBRATION_FOLD)
+        .orderBy(F.xxhash64("of")).limit(calibration_rows)
     )
-    got = _features(sample, model).toArrow()
+    found = rows.join(F.broadcast(sample), F.col("id") == F.col("of")).select("text", "toxic")
+    got = _features(found, model).select("toxic", "top1", "top3").toArrow()
     y = got.column("toxic").to_numpy().astype(float)
     if len(y) and 0 < y.mean() < 1:
         model.weights = _curve(
             np.column_stack([got.column("top1").to_numpy(), got.column("top3").to_numpy()]), y)
     else:  # nothing to fit on: the share of toxic labels
-        n, toxic = marked.agg(F.count("toxic"), F.sum("toxic")).first()
+        n, toxic = marks.agg(F.count("toxic"), F.sum("toxic")).first()
         share = toxic / n if n else 0.0
         odds = 30.0 if share >= 1 else -30.0 if share <= 0 else float(np.log(share / (1 - share)))
         model.weights = [odds, 0.0, 0.0]
@@ -313,12 +331,13 @@ def _appended(df: DataFrame, model: Model, add, ddl: str, fields: list[pa.Field]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(key, shared)
-        for batch in parts:
-            rows = [add(scorer, t) for t in values(batch, text)]
-            new = [pa.array(c, f.type) for c, f in zip(zip(*rows), fields)] if rows else [
-                pa.array([], f.type) for f in fields]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns + new, schema=pa.schema(list(batch.schema) + fields))
+        for whole in parts:
+            for k in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(k, TOGETHER)
+                rows = [add(*got) for got in scorer.texts(values(batch, text))]
+                new = [pa.array(c, f.type) for c, f in zip(zip(*rows), fields)]
+                yield pa.RecordBatch.from_arrays(
+                    batch.columns + new, schema=pa.schema(list(batch.schema) + fields))
 
     old = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{old}, {ddl}")
@@ -326,7 +345,7 @@ def _appended(df: DataFrame, model: Model, add, ddl: str, fields: list[pa.Field]
 
 def _features(df: DataFrame, model: Model) -> DataFrame:
     return _appended(
-        df, model, lambda scorer, t: scorer.text(t), "top1 double, top3 double",
+        df, model, lambda top1, top3: (top1, top3), "top1 double, top3 double",
         [pa.field("top1", pa.float64()), pa.field("top3", pa.float64())], "text")
 
 
@@ -338,8 +357,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "s
     """
     w0, w1, w3 = model.weights
 
-    def add(scorer: Scorer, text: str | None) -> tuple[float]:
-        top1, top3 = scorer.text(text)
+    def add(top1: float, top3: float) -> tuple[float]:
         z = min(max(w0 + w1 * top1 + w3 * top3, -30.0), 30.0)
         return (float(1 / (1 + np.exp(-z))),)
 
