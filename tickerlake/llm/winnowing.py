@@ -16,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +27,9 @@ WINDOW = 32
 PART = 8
 #: Windows worked on at a time, which bounds the arrays for a very long text.
 BLOCK = 1 << 17
+#: Ranges of ids dealt to a task, most ranges, and the sample of ids they come from.
+RANGES_A_TASK, MOST_RANGES = 4, 100_000
+ROWS_A_RANGE, MOST_SAMPLED = 50, 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -106,7 +108,6 @@ _DDL = (
     "id long, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
 )
-_COLUMNS = [name for name, _ in _FIELDS]
 
 
 def _compared(doc_id, text: str, own: tuple, after: str, after_own: tuple) -> tuple:
@@ -120,35 +121,44 @@ def _compared(doc_id, text: str, own: tuple, after: str, after_own: tuple) -> tu
 
 
 def _along(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task side: rows of one range in order.  Each but the last meets its next;
-    the first and the last go out with their text, to meet across ranges."""
-    schema = pa.schema(_FIELDS + [("part", pa.int32()), ("edge", pa.string()), ("text", pa.string())])
-    part = TaskContext.get().partitionId()
-    blank = (None,) * (len(_FIELDS) - 1)
+    """Task side: whole ranges in order, each with the first row of the next
+    range behind it (``tail``), which every last row meets and which isn't
+    itself given out."""
 
     def rows() -> Iterator[tuple]:
         held = None
         for batch in parts:
-            for doc_id, text in zip(values(batch, "id"), values(batch, "text")):
+            for doc_id, text, tail in zip(*(values(batch, c) for c in ("id", "text", "tail"))):
                 own = winnow(text)
-                if held is None:
-                    yield doc_id, *blank, part, "first", text
-                else:
-                    yield *_compared(*held, text, own), part, None, None
-                held = doc_id, text, own
-        if held:
-            yield held[0], *blank, part, "last", held[1]
+                if held is not None:
+                    yield _compared(*held, text, own)
+                held = None if tail else (doc_id, text, own)
 
-    yield from batches(rows(), schema, most_rows=2_000)
+    yield from batches(rows(), pa.schema(_FIELDS), most_rows=2_000)
 
 
-def _across(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple]:
+def _ranged(bounds: np.ndarray):
+    """Task side: the columns as they are, and the range of each row's id (0 for null)."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            for doc_id, text, after in zip(*(values(batch, c) for c in ("id", "text", "after"))):
-                yield _compared(doc_id, text, winnow(text), after, winnow(after))
+            ids = batch.column(batch.schema.get_field_index("id"))
+            where = 1 + np.searchsorted(bounds, ids.fill_null(0).to_numpy(zero_copy_only=False), "right")
+            where = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, where)
+            yield pa.RecordBatch.from_arrays(
+                batch.columns + [pa.array(where, pa.int64())],
+                schema=batch.schema.append(pa.field("range", pa.int64())))
 
-    yield from batches(rows(), pa.schema(_FIELDS), most_rows=2_000)
+    return run
+
+
+def _bounds(ids: DataFrame, ranges: int) -> np.ndarray:
+    """Ids that cut the table into about equal ranges, from a sample of a fixed
+    size (the ids with the smallest hashes, so the same on every run)."""
+    n = min(ROWS_A_RANGE * ranges, MOST_SAMPLED)
+    sample = ids.filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(n).toArrow()
+    found = np.unique(sample.column("id").to_numpy())
+    return np.unique(found[np.arange(1, ranges) * len(found) // ranges]) if len(found) else found
 
 
 def fingerprint_documents(
@@ -163,32 +173,34 @@ def fingerprint_documents(
     text counts as empty.  Equal texts have equal fingerprints, repeated rows
     included.  Other columns are not read; an empty table gives no rows.
 
-    Rows are range-partitioned by id, so neighbours meet inside a task; only
-    one first and one last row per range go on to a join.
+    Rows are dealt by ranges of ids, so neighbours meet inside a task; the first
+    row of every range also goes to the range before it.
     """
     spark = df.sparkSession
-    out = stage(
-        id_text(df, id_col, text_col)
-        .repartitionByRange(shuffle_partitions(spark), "id")
-        .sortWithinPartitions("id", "text")
-        .mapInArrow(_along, f"{_DDL}, part int, edge string, text string"),
-        "winnowed",
+    n = shuffle_partitions(spark)
+    docs = id_text(df, id_col, text_col)
+    ids = docs.select("id")
+    ranged = _ranged(_bounds(ids, min(RANGES_A_TASK * n, MOST_RANGES)))
+    # one row per range (at most MOST_RANGES): its first id, and the range before it
+    order = Window.orderBy("range")
+    firsts = stage(
+        ids.mapInArrow(ranged, "id long, range long").groupBy("range")
+        .agg(F.min("id").alias("first"))
+        .select("first", F.col("range").alias("of"), F.coalesce(
+            F.lag("range").over(order),
+            F.max("range").over(order.rowsBetween(Window.unboundedPreceding,
+                                                  Window.unboundedFollowing))).alias("before")),
+        "winnow_ranges",
     )
-    edges = out.filter("edge is not null").select("id", "part", "edge", "text")
-    firsts = edges.filter("edge = 'first'").select(F.col("part").alias("after_part"),
-                                                  F.col("text").alias("after"))
-    # one row per range, without texts: which non-empty range comes next
-    order = Window.orderBy("part")
-    follows = edges.filter("edge = 'first'").select("part").select(
-        F.col("part").alias("of"),
-        F.coalesce(F.lead("part").over(order),
-                   F.min("part").over(order.rowsBetween(Window.unboundedPreceding,
-                                                        Window.unboundedFollowing))).alias("next"))
-    ends = (
-        edges.filter("edge = 'last'")
-        .join(follows, F.col("part") == F.col("of"))
-        .join(firsts, F.col("next") == F.col("after_part"))
-        .select("id", "text", "after")
-        .mapInArrow(_across, _DDL)
+    dealt = docs.mapInArrow(ranged, "id long, text string, range long")
+    tails = (
+        docs.join(F.broadcast(firsts), F.col("id").eqNullSafe(F.col("first")))
+        .groupBy("id", "before").agg(F.min("text").alias("text"))
+        .select("id", "text", F.col("before").alias("range"), F.lit(1).alias("tail"))
+    )
+    return (
+        dealt.select("id", "text", "range", F.lit(0).alias("tail")).unionByName(tails)
+        .repartition(n, "range")
+        .sortWithinPartitions("range", "tail", "id", "text")
+        .mapInArrow(_along, _DDL)
     )
-    return out.filter("edge is null").select(*_COLUMNS).unionByName(ends)
