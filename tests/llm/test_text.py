@@ -340,6 +340,9 @@ def test_fit_labellers_known_rates():
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_quality_any_text(text):
-    assert len(quality.votes(text)) == len(quality.LABELLERS)
-    slots, vals = quality.Shapes().vector(text)
+    own = text.split()
+    table = quality.Words().table(own)
+    seen = quality.measures(text, own, table)
+    assert seen["words"] == len(own) and len(quality.votes(seen)) == len(quality.LABELLERS)
+    slots, vals = quality.vector(own, table)
     assert len(slots) == len(vals) and (slots < quality.DIM).all() and np.isfinite(vals).all()

@@ -29,7 +29,7 @@ DIM = 1 << 16
 #: Most rows that the linear scorer is fitted on (lowest hashes of text and id).
 FIT_ROWS = 20_000
 FIT_TASKS = 8
-ROUNDS = 60
+ROUNDS = 40
 #: Words whose shape a worker remembers.
 HELD = 200_000
 BLOCK = 50
@@ -37,26 +37,66 @@ BLOCK = 50
 _DOUBLED = re.compile(r"([^\w\s])\1")
 
 
-def measures(text: str) -> dict[str, float | None]:
+def shape(word: str) -> str:
+    """Letters as a or A, digits as 0, marks as they are; runs as one or two."""
+    kinds = ["0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word]
+    return "".join(c for k, c in enumerate(kinds) if kinds[max(0, k - 2):k] != [c, c])[:24]
+
+
+#: What is known of a word: slot of its shape, letters, capitals, marks, whether a
+#: mark is doubled, whether it is marks only, characters.
+SLOT, LETTERS, UPPER, MARKS, DOUBLED, BARE, LENGTH = range(7)
+
+
+def look(word: str) -> tuple[int, ...]:
+    letters = sum(map(str.isalpha, word))
+    alnum = sum(map(str.isalnum, word))
+    return (xxhash.xxh32_intdigest(shape(word).encode()) % DIM, letters,
+            sum(map(str.isupper, word)), len(word) - alnum, bool(_DOUBLED.search(word)),
+            not alnum, len(word))
+
+
+class Words:
+    """A worker's looks of a bounded number of words, and texts seen through them."""
+
+    def __init__(self):
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
+
+    def _missed(self, word: str) -> tuple:
+        got = self.old.get(word) or look(word)
+        if len(word) <= 48:
+            if len(self.young) >= HELD:
+                self.old, self.young = self.young, {}
+            self.young[word] = got
+        return got
+
+    def table(self, own: list[str]) -> np.ndarray:
+        """A row for each word."""
+        got = list(map(self.young.get, own))
+        if None in got:
+            got = [g or self._missed(w) for w, g in zip(own, got)]
+        return np.array(got, dtype=np.int64).reshape(-1, LENGTH + 1)
+
+
+def measures(text: str, own: list[str], table: np.ndarray) -> dict[str, float | None]:
     """What the heuristics look at; None where a text is too short to tell."""
-    own = text.split()
     n = len(own)
-    letters = sum(map(str.isalpha, text))
-    marks = sum(1 for c in text if not (c.isalnum() or c.isspace()))
-    solid = max(1, len(text) - sum(map(str.isspace, text)))
+    total = table.sum(axis=0)
+    letters, solid = int(total[LETTERS]), max(1, int(total[LENGTH]))
     lines = [x for x in text.split("\n") if x]
     blocks = [own[k:k + BLOCK] for k in range(0, n, BLOCK)]
     full = [b for b in blocks if len(b) >= 10]
     return {
-        "upper": sum(map(str.isupper, text)) / letters if letters >= 20 else None,
-        "doubled": sum(1 for w in own if _DOUBLED.search(w)) / n if n >= 5 else None,
-        "bare": sum(1 for w in own if not any(map(str.isalnum, w))) / n if n >= 5 else None,
+        "upper": total[UPPER] / letters if letters >= 20 else None,
+        "doubled": total[DOUBLED] / n if n >= 5 else None,
+        "bare": total[BARE] / n if n >= 5 else None,
         "repeat": sum(map(eq, own, own[1:])) / n if n >= 5 else None,
-        "marks": marks / solid if n >= 5 else None,
+        "marks": total[MARKS] / solid if n >= 5 else None,
         "variety": sum(len(set(b)) / len(b) for b in full) / len(full) if full else None,
         "letters": letters / solid if n >= 5 else None,
         "same_lines": 1 - len(set(lines)) / len(lines) if len(lines) >= 4 else None,
-        "word_length": sum(map(len, own)) / n if n >= 5 else None,
+        "word_length": solid / n if n >= 5 else None,
         "words": float(n),
     }
 
@@ -76,9 +116,8 @@ LABELLERS: dict[str, tuple[float, float, float, float]] = {
 }
 
 
-def votes(text: str) -> list[int]:
-    """The answer of every heuristic."""
-    seen = measures(text)
+def votes(seen: dict[str, float | None]) -> list[int]:
+    """The answer of every heuristic to its measure."""
     out = []
     for name, (low, high, below, above) in LABELLERS.items():
         v = seen[name]
@@ -121,44 +160,18 @@ def fit_labellers(patterns: np.ndarray, n: np.ndarray, rounds: int = 100) -> tup
     return post[:, 0], says
 
 
-def shape(word: str) -> str:
-    """Letters as a or A, digits as 0, marks as they are; runs as one or two."""
-    kinds = ["0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word]
-    return "".join(c for k, c in enumerate(kinds) if kinds[max(0, k - 2):k] != [c, c])[:24]
-
+def vector(own: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values (of length one) of a text's shapes and pairs of shapes;
+    slots 0 and 1 are a constant and the share of repeated words."""
+    one = table[:, SLOT]
+    two = (one[:-1] * 0x9E3779B1 + one[1:] * 31 + 7) % DIM
+    slots, counts = np.unique(np.concatenate([one, two]), return_counts=True)
+    same = sum(map(eq, own, own[1:])) / max(1, len(own))
+    values_ = counts / max(1.0, float(np.sqrt((counts ** 2.0).sum())))
+    return np.concatenate([[0, 1], slots]), np.concatenate([[0.3, same], values_])
 
-class Shapes:
-    """A worker's hashed shapes of a bounded number of words."""
 
-    def __init__(self):
-        self.young: dict[str, int] = {}
-        self.old: dict[str, int] = {}
-
-    def _missed(self, word: str) -> int:
-        got = self.old.get(word)
-        if got is None:
-            got = xxhash.xxh32_intdigest(shape(word).encode()) % DIM
-        if len(word) <= 48:
-            if len(self.young) >= HELD:
-                self.old, self.young = self.young, {}
-            self.young[word] = got
-        return got
-
-    def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Slots and values (of length one) of a text; slot 0 is always set."""
-        own = text.split()
-        ids = [self.young.get(w) for w in own]
-        if None in ids:
-            ids = [self._missed(w) if i is None else i for w, i in zip(own, ids)]
-        one = np.array(ids, dtype=np.int64)
-        two = (one[:-1] * 0x9E3779B1 + one[1:] * 31 + 7) % DIM
-        slots, counts = np.unique(np.concatenate([one, two]), return_counts=True)
-        same = sum(map(eq, own, own[1:])) / max(1, len(own))
-        values_ = counts / max(1.0, float(np.sqrt((counts ** 2.0).sum())))
-        return np.concatenate([[0, 1], slots]), np.concatenate([[0.3, same], values_])
-
-
-_SHAPES = Shapes()  # one per worker process
+_WORDS = Words()  # one per worker process
 
 _VOTED = pa.schema([("id", pa.int64()), ("pattern", pa.int64()), ("key", pa.int64()),
                     ("slots", pa.list_(pa.int32())), ("vals", pa.list_(pa.float32()))])
@@ -176,13 +189,26 @@ def _voted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in parts:
             for doc_id, text in zip(values(batch, "id"), values(batch, "text")):
-                slots, vals = _SHAPES.vector(text)
+                own = text.split()
+                table = _WORDS.table(own)
+                slots, vals = vector(own, table)
                 key = xxhash.xxh64_intdigest(f"{doc_id}".encode()) >> 1
-                yield doc_id, pattern_code(votes(text)), key, slots.tolist(), vals.tolist()
+                code = pattern_code(votes(measures(text, own, table)))
+                yield doc_id, code, key, slots.tolist(), vals.tolist()
 
     yield from batches(rows(), _VOTED)
 
 
+def _margins(batch: pa.RecordBatch, weights: np.ndarray) -> tuple:
+    """Row, slot and value of every entry of a batch, and each row's weighted sum."""
+    slots, vals = (batch.column(batch.schema.get_field_index(c)) for c in ("slots", "vals"))
+    row = np.repeat(np.arange(batch.num_rows), np.diff(slots.offsets.to_numpy()))
+    at = slots.flatten().to_numpy()
+    v = vals.flatten().to_numpy().astype(float)
+    z = np.bincount(row, weights=weights[at] * v, minlength=batch.num_rows)
+    return row, at, v, np.clip(z, -30, 30)
+
+
 def _fit_scorer(sample: DataFrame, rounds: int) -> np.ndarray:
     """Logistic regression on soft labels: the gradient is a sum over tasks."""
     weights, speed = np.zeros(DIM), np.full(DIM, 1e-8)
@@ -190,11 +216,13 @@ def _fit_scorer(sample: DataFrame, rounds: int) -> np.ndarray:
     def gradient(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(DIM), 0
         for batch in parts:
-            for good, slots, vals in zip(*(values(batch, c) for c in ("good", "slots", "vals"))):
-                at, v = np.array(slots), np.array(vals)
-                p = 1 / (1 + np.exp(-np.clip(weights[at] @ v, -30, 30)))
-                np.add.at(total, at, (p - good) * v)
-                n += 1
+            if not batch.num_rows:
+                continue
+            row, at, v, z = _margins(batch, weights)
+            good = batch.column(batch.schema.get_field_index("good")).to_numpy()
+            miss = 1 / (1 + np.exp(-z)) - good
+            total += np.bincount(at, weights=miss[row] * v, minlength=DIM)
+            n += batch.num_rows
         yield pa.RecordBatch.from_pydict({"n": [n], "g": [total.astype(np.float64).tobytes()]})
 
     for _ in range(rounds):
@@ -239,15 +267,11 @@ def classify(
     out = pa.schema([("id", pa.int64()), ("pattern", pa.int64()), ("score", pa.float64())])
 
     def scored(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in parts:
-                for doc_id, code, slots, vals in zip(*(
-                    values(batch, c) for c in ("id", "pattern", "slots", "vals")
-                )):
-                    z = float(np.clip(weights[slots] @ np.array(vals), -30, 30))
-                    yield doc_id, code, 1 / (1 + np.exp(-z))
-
-        yield from batches(rows(), out)
+        for batch in parts:
+            z = _margins(batch, weights)[-1]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(batch.schema.get_field_index(c)) for c in ("id", "pattern")),
+                 pa.array(1 / (1 + np.exp(-z)))], schema=out)
 
     return (
         voted.mapInArrow(scored, "id long, pattern long, score double")
