@@ -53,7 +53,7 @@ def main() -> None:
     timed("feed_weather", lambda: b.raw_weather)
     for name in ("dim_stock", "dim_news", "dim_weather", "fact_stock", "bridge_daily_news",
                  "bridge_daily_weather", "index_series", "price_feature_table", "news_count_table",
-                 "news_feature_table"):
+                 "news_feature_table", "scored_table", "daily_bars"):
         timed(f"build_{name}", lambda n=name: getattr(b, n))
     # Every registered query, reading the stored tables.
     for q in QUERIES:

@@ -180,12 +180,22 @@ class Build:
     def news_features(self) -> DataFrame:
         return self.news_feature_table
 
+    @cached_property
+    def scored_table(self) -> DataFrame:
+        """The scored join of price and news features, stored once for both marts."""
+        return self.table(
+            marts.scored(self.price_feature_table, self.news_feature_table), "scored")
+
     def daily_stock_analysis(self, breakout_exclude_current: bool = False) -> DataFrame:
+        if not breakout_exclude_current:
+            return self.scored_table.select(*marts.ANALYSIS_COLS)
         return marts.daily_stock_analysis(
             self.price_feature_table, self.news_feature_table, breakout_exclude_current
         )
 
     def daily_stock_analysis_wide(self, breakout_exclude_current: bool = False) -> DataFrame:
+        if not breakout_exclude_current:
+            return self.scored_table.select(*marts.WIDE_COLS)
         return marts.daily_stock_analysis_wide(
             self.price_feature_table, self.news_feature_table, breakout_exclude_current
         )

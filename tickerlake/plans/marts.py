@@ -53,7 +53,8 @@ def recommendation(s: Column) -> Column:
     return F.when(s >= 70, "BUY").when(s >= 40, "HOLD").otherwise("SELL")
 
 
-def _scored(feats: DataFrame, news: DataFrame, breakout_exclude_current: bool) -> DataFrame:
+def scored(feats: DataFrame, news: DataFrame, breakout_exclude_current: bool = False) -> DataFrame:
+    """Every feature column with score and label, one row per (symbol, day)."""
     # the volume z-score comes with the news row (NULL on days without news)
     feats = with_breakout(feats, breakout_exclude_current).drop("volume_zscore_20")
     merged = feats.join(news, ["symbol", "date_key"], "left")
@@ -69,14 +70,10 @@ def daily_stock_analysis(feats: DataFrame, news: DataFrame,
     (symbol, day), so they come from the same feature pass instead of being
     joined back; only the news features are joined.
     """
-    return _scored(feats, news, breakout_exclude_current).select(
-        *ANALYSIS_COLS
-    )
+    return scored(feats, news, breakout_exclude_current).select(*ANALYSIS_COLS)
 
 
 def daily_stock_analysis_wide(feats: DataFrame, news: DataFrame,
                               breakout_exclude_current: bool = False) -> DataFrame:
     """Same scoring with every intermediate column and the stock key."""
-    return _scored(feats, news, breakout_exclude_current).select(
-        *WIDE_COLS
-    )
+    return scored(feats, news, breakout_exclude_current).select(*WIDE_COLS)

@@ -12,12 +12,14 @@ from pyspark.sql import SparkSession
 # ANSI arithmetic (Spark 4 default, kept explicit), adaptive execution so joins
 # whose build side turns out small become broadcasts at run time and skewed
 # shuffle partitions get split.
+# Windows and joins of a series may share a partitioning by its key alone.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
 }
 
