@@ -41,7 +41,7 @@ def main() -> None:
     if "--no-broadcast" in args:
         extra = {"spark.sql.autoBroadcastJoinThreshold": "-1",
                  "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
-    from tickerlake.plans import features, templates, warehouse
+    from tickerlake.plans import features, marts, templates, warehouse
     from tickerlake.plans.build import Build
     from tickerlake.registry import QUERIES
     from tickerlake.session import get_spark
@@ -69,10 +69,12 @@ def main() -> None:
             b.dim_news, b.stock_base, largest_stock=b.largest_stock_series,
             largest_news=b.largest_news_series, volume_z=b.price_feature_table,
             counts=b.news_count_table)),
+        ("build scored", lambda: marts.scored(b.price_feature_table, b.news_feature_table)),
+        ("build daily_bars", lambda: templates.daily_bars(b.raw_stocks, b.raw_news)),
         ("build daily_stocks", lambda: templates.daily_stocks(b.raw_stocks, b.raw_news)),
         ("build stock_news_daily", lambda: templates.stock_news_daily(b.daily_stocks, b.symbol_profile)),
         ("build weather_market_conditions", lambda: templates.weather_market_conditions(
-            b.daily_weather, b.city_climate, b.daily_stocks)),
+            b.daily_weather, b.city_climate, b.daily_bars)),
     ]
     for name, make in stored + [(q.name, (lambda q=q: q.build(b))) for q in QUERIES]:
         df = make()
