@@ -11,7 +11,7 @@ from tickerlake.llm import exact_dedup as exact
 from tickerlake.llm import simhash, substring_dedup, winnowing
 from tickerlake.llm.components import components
 
-from llm_cases import sha
+from llm_cases import corpus, make, sha  # noqa: F401
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 

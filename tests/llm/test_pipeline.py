@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from llm_cases import sha
+from llm_cases import corpus, make, sha  # noqa: F401
 from test_dedup import brute_simhash, linked
 from tickerlake.llm.vocabulary import piece_model
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickerlake.llm import chat_format, mixing, quality, secrets, sentencepiece_bpe, toxicity
 from tickerlake.llm.vocabulary import piece_model
 
-from llm_cases import sha
+from llm_cases import corpus, make, sha  # noqa: F401
 
 # -- chat formatting ---------------------------------------------------------
 
