@@ -283,6 +283,44 @@ def test_toxicity_without_labels(make, spark):
     assert toxicity.score(make([]).drop("score"), empty).collect() == []
 
 
+def test_toxicity_model_has_every_ngram(make, spark):
+    """No n-gram or context is lost to another, and every word has all of its own."""
+    rng = np.random.default_rng(8)
+    rows = [(k, " ".join("".join(rng.choice(list("abcdefghijklmnop"), 9)) for _ in range(40)))
+            for k in range(100)]
+    labels = spark.createDataFrame([(k, k % 3 == 0) for k, _ in rows], "doc_id long, toxic boolean")
+    model = toxicity.train(make(rows), labels.withColumn("toxic", F.col("toxic").cast("int")))
+    folds = {r.k: r.f for r in spark.range(100).select(
+        F.col("id").alias("k"), toxicity.fold(F.col("id")).alias("f")).collect()}
+    seen = {g for k, text in rows if folds[k] not in (0, 4) for w in text.split() for g in toxicity.ngrams(w)}
+    gain = {r.gram: r.v for r in model.grams.collect()}
+    back = {r.ctx: r.v for r in model.contexts.collect()}
+    assert len(seen) > 10_000 and set(gain) == seen and set(back) == {g[:-1] for g in seen}
+    got = {r.word: r.rate for r in toxicity.word_rates(make(rows), model).collect()}
+    assert set(got) == {w for _, text in rows for w in text.split()}
+    for word, rate in got.items():
+        own = [gain.get(g, back.get(g[:-1], 0.0)) for g in toxicity.ngrams(word)]
+        assert rate == pytest.approx(sum(own) / len(own))
+
+
+def test_toxicity_joined_words_score_as_broadcast_ones(make, spark):
+    docs, labels, _ = _marked(make, spark, 120)
+    model = toxicity.train(docs, labels, broadcast_grams=0)
+    assert model.tables is None
+
+    def scores(model, **limit):
+        out = toxicity.score(docs, model, out_col="toxicity", **limit)
+        assert out.columns == docs.columns + ["toxicity"]
+        return sorted((r.text or "", str(r.doc_id), r.toxicity) for r in out.collect())
+
+    joined = scores(model, broadcast_words=0)
+    assert scores(model) == joined == scores(model, broadcast_words=50)
+    whole = toxicity.train(docs, labels)
+    assert whole.tables is not None
+    for a, b in zip(scores(whole), joined, strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=1e-6)
+
+
 def test_backoff_probabilities_sum_to_one(spark):
     """The shared lower orders are distributions over the characters seen."""
     words = "abba baba abc cab bac aab".split()

@@ -14,10 +14,11 @@ counts, makes them a probability.
 In the difference the shared part cancels wherever an n-gram is unseen, so a
 model is two tables: the difference of every seen n-gram and that of every
 context's backoff weight.  Counts, continuation counts and probabilities are
-joins and aggregates over all labelled documents; the two tables are then put
-in a fixed number of slots by hash, which bounds what is broadcast whatever the
-corpus.  Where n-grams share a slot the most frequent keeps it and the others
-count as unseen.
+joins and aggregates over all labelled documents.  Tables below a checked size
+are broadcast whole.  Larger ones stay tables: scoring gathers the distinct words
+of the texts, joins their n-grams with the tables once, and brings the words'
+scores back to the texts, those of the words in most texts by a broadcast of
+bounded size, those of all other words by a join.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import nlargest
+from math import nan
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,12 @@ from .common import batches, stage, values
 
 ORDER = 6
 DISCOUNT = 0.75
-#: Slots of each broadcast table: 2 ** 21 * 12 bytes.
-SLOTS = 1 << 21
+#: Most n-grams that are broadcast (16 bytes each, as many contexts); more are joined.
+BROADCAST_GRAMS = 2_000_000
+#: Most words whose scores are broadcast (16 bytes each); others are joined.
+BROADCAST_WORDS = 2_000_000
+#: Characters of distinct words that one group of the n-gram lookup has.
+GROUP_CHARS = 400_000
 #: Most rows of the calibration fold that the curve is fitted on (lowest hashes).
 CALIBRATION_ROWS = 20_000
 #: Words and n-grams a worker holds before it hands counts on, or forgets.
@@ -155,80 +161,182 @@ def _shared_backoff(top: DataFrame) -> DataFrame:
     return out.select(F.col("gram").alias("back"), "p")
 
 
-def _slots(table: DataFrame, key: str, value: str, weight: str, slots: int) -> tuple:
-    """Hash, value pairs of at most ``slots`` n-grams: arrays sorted by hash."""
-    hashed = F.xxhash64(key)
-    rows = (
-        table.select(hashed.alias("h"), F.col(value).cast("float").alias("v"), F.col(weight).alias("w"))
-        .groupBy(F.pmod("h", F.lit(slots)).alias("slot"))
-        .agg(F.max_by(F.struct("h", "v"), F.struct("w", "h")).alias("x"))
-        .select("x.h", "x.v").toArrow()
-    )
-    h = rows.column("h").to_numpy()
+def _find(table: tuple, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key is in a table of hashes, in order, and values, and its value."""
+    hashes, vals = table
+    wanted = np.fromiter((xxhash.xxh64_intdigest(k.encode(), 42) for k in keys),
+                         dtype=np.uint64, count=len(keys)).view(np.int64)
+    if not len(hashes):
+        return np.zeros(len(keys), bool), np.zeros(len(keys))
+    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+    return hashes[at] == wanted, vals[at]
+
+
+def _hashed(table: DataFrame, key: str, value: str) -> tuple:
+    """All rows of a table as hashes, in order, and values."""
+    got = table.select(F.xxhash64(key).alias("h"), F.col(value).alias("v")).toArrow()
+    h = got.column("h").to_numpy()
     order = np.argsort(h)
-    return h[order], rows.column("v").to_numpy()[order]
+    return h[order], got.column("v").to_numpy()[order]
 
 
 @dataclass
-class Model:
-    """Broadcast part: differences of seen n-grams and of contexts, and the curve."""
+class Tables:
+    """Broadcast part of a model below the checked size: all n-grams and contexts."""
 
     grams: tuple
     contexts: tuple
+
+    def find(self, some: list[str]) -> list[float]:
+        """The rate of each word."""
+        out = []
+        for k in range(0, len(some), 10_000):
+            parts = [ngrams(w) for w in some[k:k + 10_000]]
+            grams = [g for p in parts for g in p]
+            seen, value = _find(self.grams, grams)
+            back, other = _find(self.contexts, [g[:-1] for g in grams])
+            gains = np.where(seen, value, np.where(back, other, 0.0))
+            sizes = np.array([len(p) for p in parts])
+            out += (np.add.reduceat(gains, np.cumsum(sizes) - sizes) / sizes).tolist()
+        return out
+
+
+@dataclass
+class Model:
+    """Differences of all seen n-grams (``gram, v``) and of all contexts (``ctx, v``)
+    as staged tables, the same for broadcast where they are few, and the curve."""
+
+    grams: DataFrame
+    contexts: DataFrame
+    tables: Tables | None
     weights: list[float]
 
-    def gain(self, grams: list[str]) -> np.ndarray:
-        """Toxic less ordinary log-likelihood of each n-gram's last character."""
-        seen, value = _find(self.grams, grams)
-        back, other = _find(self.contexts, [g[:-1] for g in grams])
-        return np.where(seen, value, np.where(back, other, 0.0))
 
-    def words(self, some: list[str]) -> list[float]:
-        """Difference per character of each word."""
-        parts = [ngrams(w) for w in some]
-        gains = self.gain([g for p in parts for g in p])
-        ends = np.cumsum([len(p) for p in parts])
-        sums = np.diff(np.concatenate([[0.0], np.cumsum(gains)])[np.concatenate([[0], ends])])
-        return (sums / np.diff(np.concatenate([[0], ends]))).tolist()
+def _distinct(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task side: distinct words of texts and the number of texts that have each,
+    combined in tables of bounded size."""
 
+    def rows() -> Iterator[tuple]:
+        held: dict[str, int] = {}
+        for batch in parts:
+            for text in values(batch, "text"):
+                for word in set(words(text)):
+                    held[word] = held.get(word, 0) + 1
+                if len(held) >= HELD:
+                    yield from held.items()
+                    held = {}
+        yield from held.items()
 
-def _find(table: tuple, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    hashes, vals = table
-    wanted = np.fromiter((xxhash.xxh64_intdigest(k.encode(), 42) for k in keys),
-                         dtype=np.uint64, count=len(keys)).view(np.int64)
-    if not len(hashes):
-        return np.zeros(len(keys), bool), np.zeros(len(keys))
-    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-    return hashes[at] == wanted, vals[at].astype(float)
+    yield from batches(rows(), pa.schema([("word", pa.string()), ("n", pa.int64())]))
+
+
+def _own_grams(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task side: the n-grams of words, each once for a group of words and a batch."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in parts:
+            held = set()
+            for part, word in zip(values(batch, "part"), values(batch, "word")):
+                held.update((part, gram) for gram in ngrams(word))
+                if len(held) >= HELD:
+                    yield from held
+                    held = set()
+            yield from held
+
+    yield from batches(rows(), pa.schema([("part", pa.int64()), ("gram", pa.string())]))
+
+
+def _rates(own: pa.Table, gains: pa.Table) -> pa.Table:
+    """Difference per character of each word of a group, from the group's n-grams."""
+    gain = dict(zip(gains.column("gram").to_pylist(), gains.column("v").to_pylist()))
+    parts = map(ngrams, own.column("word").to_pylist())
+    rates = [sum(map(gain.__getitem__, p)) / len(p) for p in parts]
+    return pa.table({"word": own.column("word"), "n": own.column("n"), "rate": pa.array(rates, pa.float64())})
+
+
+def word_rates(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``word, n, rate``: every distinct word of the texts, the number of texts that
+    have it, and its toxic less ordinary log-likelihood per character.
+
+    Words are dealt in groups, and an n-gram is looked up once for each group, so
+    an n-gram of many words is no large key of the joins.
+    """
+    own = stage(
+        df.select(df[text_col].cast("string").alias("text")).mapInArrow(_distinct, "word string, n long")
+        .groupBy("word").agg(F.sum("n").alias("n")), "kn_words")
+    chars = own.agg(F.sum(F.char_length("word") + 1)).first()[0] or 0
+    own = own.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(1 + chars // GROUP_CHARS)))
+    wanted = own.mapInArrow(_own_grams, "part long, gram string").distinct()
+    gains = (
+        wanted.join(model.grams.withColumnsRenamed({"gram": "seen", "v": "value"}),
+                    F.col("gram") == F.col("seen"), "left")
+        .join(model.contexts.withColumnRenamed("v", "other"), _prefix() == F.col("ctx"), "left")
+        .select("part", "gram", F.coalesce("value", "other", F.lit(0.0)).alias("v"))
+    )
+    return stage(
+        own.groupBy("part").cogroup(gains.groupBy("part"))
+        .applyInArrow(_rates, "word string, n long, rate double"), "kn_rates")
+
+
+@dataclass
+class Known:
+    """Broadcast part: hashes, in order, and rates of the words in most texts."""
+
+    rates: tuple
+
+    def find(self, some: list[str]) -> list[float]:
+        """The rate of each word, NaN where it isn't here."""
+        known, rate = _find(self.rates, some)
+        return np.where(known, rate, nan).tolist()
+
+
+def _known(rates: DataFrame, most: int) -> tuple[Known, DataFrame | None]:
+    """The words to broadcast, at most ``most``, and the table of all others if any.
+
+    The first are all words in at least some power of two of texts, so a word
+    left to the join is in fewer texts than those.
+    """
+    power = F.floor(F.log2("n")).cast("int")
+    sizes = sorted(rates.groupBy(power.alias("p")).count().collect(), reverse=True)
+    least, taken = 64, 0
+    for p, n in sizes:
+        taken += n
+        if taken > most:
+            break
+        least = p
+    rest = rates.filter(power < least) if taken > most else None
+    return Known(_hashed(rates.filter(power >= least), "word", "rate")), rest
 
 
 class Scorer:
-    """A worker's use of a model: remembers the scores of a bounded number of words."""
+    """A worker's use of the words: remembers the rates of a bounded number of them."""
 
-    def __init__(self, model: Model):
-        self.model, self.young, self.old = model, {}, {}
+    def __init__(self, known: Known | Tables):
+        self.known, self.young, self.old = known, {}, {}
 
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[float, float]]:
-        """Of each text the most toxic word and the mean of the three most toxic
-        (0 where there are fewer)."""
-        parts = [words(t) for t in texts]
-        known: dict[str, float] = {}
-        missing = {w for own in parts for w in own if w not in self.young}
+    def rates(self, texts: list[list[str]]) -> Iterator[list[float]]:
+        """The rate of each word of each text, NaN where it wasn't broadcast."""
+        found: dict[str, float] = {}
+        missing = {w for own in texts for w in own if w not in self.young}
         if missing:
-            known = {w: g for w in missing if (g := self.old.get(w)) is not None}
-            new = [w for w in missing if w not in known]
-            for k in range(0, len(new), 10_000):
-                known.update(zip(new[k:k + 10_000], self.model.words(new[k:k + 10_000])))
-        for own in parts:
+            found = {w: g for w in missing if (g := self.old.get(w)) is not None}
+            new = [w for w in missing if w not in found]
+            found.update(zip(new, self.known.find(new)))
+        for own in texts:
             got = list(map(self.young.get, own))
             if None in got:
-                got = [known[w] if g is None else g for w, g in zip(own, got)]
-            high = nlargest(3, got)
-            yield (max(high[0], 0.0), sum(max(x, 0.0) for x in high) / 3) if high else (0.0, 0.0)
-        if known:
+                got = [found[w] if g is None else g for w, g in zip(own, got)]
+            yield got
+        if found:
             if len(self.young) >= 2 * HELD:
                 self.old, self.young = self.young, {}
-            self.young.update((w, g) for w, g in known.items() if len(w) <= 48)
+            self.young.update((w, g) for w, g in found.items() if len(w) <= 48)
+
+
+def _text_features(rates: list[float]) -> tuple[float, float]:
+    """The most toxic word and the mean of the three most toxic (0 where there are fewer)."""
+    high = nlargest(3, rates)
+    return (max(high[0], 0.0), sum(max(x, 0.0) for x in high) / 3) if high else (0.0, 0.0)
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -248,7 +356,8 @@ def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
 
 def train(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", slots: int = SLOTS, calibration_rows: int = CALIBRATION_ROWS,
+    label_col: str = "toxic", calibration_rows: int = CALIBRATION_ROWS,
+    broadcast_grams: int = BROADCAST_GRAMS,
 ) -> Model:
     """Fit on the labelled rows of ``df`` outside the held-out fold.
 
@@ -290,16 +399,18 @@ def train(
     seen = (
         top.join(contexts, _prefix() == F.col("ctx"))
         .join(_shared_backoff(top), _suffix() == F.col("back"))
-        .select("gram", ratio.alias("v"), (F.col("n0") + F.col("n1")).alias("w"))
+        .select("gram", ratio.alias("v"))
     )
-    backed = contexts.select("ctx", F.log(rest(1) / rest(0)).alias("v"),
-                             (F.col("all0") + F.col("all1")).alias("w"))
-    model = Model(_slots(seen, "gram", "v", "w", slots), _slots(backed, "ctx", "v", "w", slots), [])
+    backed = contexts.select("ctx", F.log(rest(1) / rest(0)).alias("v"))
+    model = Model(stage(seen, "kn_gains"), stage(backed, "kn_backed"), None, [])
+    if max(model.grams.count(), model.contexts.count()) <= broadcast_grams:
+        model.tables = Tables(_hashed(model.grams, "gram", "v"), _hashed(model.contexts, "ctx", "v"))
     sample = (  # a bounded number of ids, so their texts are found by a broadcast
         marks.filter(fold(F.col("of")) == CALIBRATION_FOLD)
         .orderBy(F.xxhash64("of")).limit(calibration_rows)
     )
-    found = rows.join(F.broadcast(sample), F.col("id") == F.col("of")).select("text", "toxic")
+    found = stage(
+        rows.join(F.broadcast(sample), F.col("id") == F.col("of")).select("text", "toxic"), "kn_sample")
     got = _features(found, model).select("toxic", "top1", "top3").toArrow()
     y = got.column("toxic").to_numpy().astype(float)
     if len(y) and 0 < y.mean() < 1:
@@ -317,48 +428,98 @@ _SCORERS: dict[str, Scorer] = {}
 
 
 def _scorer(key: str, shared) -> Scorer:
-    """The worker's scorer for a broadcast model; one model at a time is kept."""
+    """The worker's scorer for broadcast words; one set at a time is kept."""
     if key not in _SCORERS:
         _SCORERS.clear()
         _SCORERS[key] = Scorer(shared.value)
     return _SCORERS[key]
 
 
-def _appended(df: DataFrame, model: Model, add, ddl: str, fields: list[pa.Field], text: str) -> DataFrame:
-    """``df`` with columns computed from a text column, all others passed on as they are."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+_KEY, _REST = "__toxicity_text_digest", "__toxicity_joined_words"
+
+
+def _appended(
+    df: DataFrame, model: Model, add, ddl: str, fields: list[pa.Field], text: str,
+    broadcast_words: int = BROADCAST_WORDS,
+) -> DataFrame:
+    """``df`` with columns computed from a text column, all others passed on as they are.
+
+    Words that aren't broadcast are joined with their rates for each distinct text
+    that has them, and the rates are handed to the text as a list.
+    """
+    if model.tables is not None:
+        known, rest = model.tables, None
+    else:
+        known, rest = _known(word_rates(df, model, text), broadcast_words)
+    shared = df.sparkSession.sparkContext.broadcast(known)
     key = str(id(shared)) + str(shared._jbroadcast.id())
+    columns, joined = df.columns, rest is not None
+
+    def left(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            scorer = _scorer(key, shared)
+            for whole in parts:
+                for k in range(0, whole.num_rows, TOGETHER):
+                    batch = whole.slice(k, TOGETHER)
+                    own = [words(t) for t in values(batch, "text")]
+                    for digest, some, got in zip(values(batch, _KEY), own, scorer.rates(own)):
+                        for word in {w for w, g in zip(some, got) if g != g}:
+                            yield digest, word
+
+        yield from batches(rows(), pa.schema([(_KEY, pa.string()), ("word", pa.string())]))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(key, shared)
         for whole in parts:
             for k in range(0, whole.num_rows, TOGETHER):
                 batch = whole.slice(k, TOGETHER)
-                rows = [add(*got) for got in scorer.texts(values(batch, text))]
-                new = [pa.array(c, f.type) for c, f in zip(zip(*rows), fields)]
+                own = [words(t) for t in values(batch, text)]
+                got = list(scorer.rates(own))
+                if joined:
+                    for j, pairs in enumerate(values(batch, _REST)):
+                        if pairs:
+                            more = {p["word"]: p["rate"] for p in pairs}
+                            got[j] = [more[w] if g != g else g for w, g in zip(own[j], got[j])]
+                    batch = batch.select(columns)
+                new = [pa.array(c, f.type) for c, f in zip(zip(*map(add, got)), fields)]
                 yield pa.RecordBatch.from_arrays(
                     batch.columns + new, schema=pa.schema(list(batch.schema) + fields))
 
     old = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+    if joined:
+        digest = F.sha2(F.coalesce(df[text].cast("string"), F.lit("")).cast("binary"), 256)
+        lists = (
+            df.select(digest.alias(_KEY), df[text].cast("string").alias("text"))
+            .mapInArrow(left, f"{_KEY} string, word string").distinct()
+            .join(rest.select("word", "rate"), "word")
+            .groupBy(_KEY).agg(F.collect_list(F.struct("word", "rate")).alias(_REST))
+        )
+        df = df.withColumn(_KEY, digest).join(lists, _KEY, "left").drop(_KEY)
     return df.mapInArrow(run, f"{old}, {ddl}")
 
 
 def _features(df: DataFrame, model: Model) -> DataFrame:
     return _appended(
-        df, model, lambda top1, top3: (top1, top3), "top1 double, top3 double",
+        df, model, _text_features, "top1 double, top3 double",
         [pa.field("top1", pa.float64()), pa.field("top3", pa.float64())], "text")
 
 
-def score(df: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
+def score(
+    df: DataFrame, model: Model, text_col: str = "text", out_col: str = "score",
+    broadcast_words: int = BROADCAST_WORDS,
+) -> DataFrame:
     """``df`` with ``out_col``: the probability that the text is toxic (0 to 1).
 
     The score depends on the text alone.  Null and empty texts score like a
-    text without any toxic word.  Every input row gives one row.
+    text without any toxic word.  Every input row gives one row.  Where the
+    model's tables are joined, the texts are read for their words at once.
     """
     w0, w1, w3 = model.weights
 
-    def add(top1: float, top3: float) -> tuple[float]:
+    def add(rates: list[float]) -> tuple[float]:
+        top1, top3 = _text_features(rates)
         z = min(max(w0 + w1 * top1 + w3 * top3, -30.0), 30.0)
         return (float(1 / (1 + np.exp(-z))),)
 
-    return _appended(df, model, add, f"{out_col} double", [pa.field(out_col, pa.float64())], text_col)
+    return _appended(df, model, add, f"{out_col} double", [pa.field(out_col, pa.float64())], text_col,
+                     broadcast_words)
