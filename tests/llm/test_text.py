@@ -303,6 +303,22 @@ def test_toxicity_model_has_every_ngram(make, spark):
         assert rate == pytest.approx(sum(own) / len(own))
 
 
+def test_toxicity_scores_the_whole_text(make, spark):
+    """Every word counts by its characters, and an ordinary one lowers the score."""
+    docs, labels, _ = _marked(make, spark)
+    model = toxicity.train(docs, labels)
+    plain = docs.filter("doc_id = 1").first().text
+    texts = [plain, "grumpf grumpfel grumpfix", "grumpf grumpfel grumpfix " + " ".join([plain] * 20)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rates = {r.word: r.rate for r in toxicity.word_rates(rows, model).collect()}
+    whole = {r.doc_id: r.whole for r in toxicity._features(rows, model).collect()}
+    for k, text in enumerate(texts):
+        own = text.split()
+        want = sum(rates[w] * (len(w) + 1) for w in own) / sum(len(w) + 1 for w in own)
+        assert whole[k] == pytest.approx(want)
+    assert whole[1] > whole[2] > whole[0]
+
+
 def test_toxicity_joined_words_score_as_broadcast_ones(make, spark):
     docs, labels, _ = _marked(make, spark, 120)
     model = toxicity.train(docs, labels, broadcast_grams=0)

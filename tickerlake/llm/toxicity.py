@@ -6,10 +6,11 @@ marks, each after at most ``ORDER - 1`` characters of the same word.  The
 highest order has counts of its own class (documents that have the word); all
 lower orders are Kneser-Ney continuation counts over both classes together, so
 an expression that is rare in both backs off to the same probabilities.  A
-word's score is the difference of its toxic and ordinary log-likelihoods per
-character; a document's are its most toxic word and the mean of its three most
-toxic words, and a logistic curve over these, fitted on a fold that gave no
-counts, makes them a probability.
+document's score is the difference of its toxic and ordinary log-likelihoods,
+summed over all its words, per character; a few toxic words are little in a long
+text, so its most toxic word and the mean of its three most toxic words (per
+character of the word) stand beside it.  A logistic curve over the three, fitted
+on documents that gave no counts, makes them a probability.
 
 In the difference the shared part cancels wherever an n-gram is unseen, so a
 model is two tables: the difference of every seen n-gram and that of every
@@ -26,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import nlargest
-from math import nan
+from math import nan, sumprod
 
 import numpy as np
 import pyarrow as pa
@@ -333,10 +334,15 @@ class Scorer:
             self.young.update((w, g) for w, g in found.items() if len(w) <= 48)
 
 
-def _text_features(rates: list[float]) -> tuple[float, float]:
-    """The most toxic word and the mean of the three most toxic (0 where there are fewer)."""
+def _text_features(own: list[str], rates: list[float]) -> tuple[float, float, float]:
+    """Difference per character of the whole text, most toxic word and mean of the
+    three most toxic (0 where there are fewer)."""
+    if not own:
+        return 0.0, 0.0, 0.0
+    sizes = list(map(len, own))  # and one for the mark at a word's end
+    whole = (sumprod(rates, sizes) + sum(rates)) / (sum(sizes) + len(own))
     high = nlargest(3, rates)
-    return (max(high[0], 0.0), sum(max(x, 0.0) for x in high) / 3) if high else (0.0, 0.0)
+    return whole, max(high[0], 0.0), sum(max(x, 0.0) for x in high) / 3
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -411,16 +417,16 @@ def train(
     )
     found = stage(
         rows.join(F.broadcast(sample), F.col("id") == F.col("of")).select("text", "toxic"), "kn_sample")
-    got = _features(found, model).select("toxic", "top1", "top3").toArrow()
+    got = _features(found, model).select("toxic", "whole", "top1", "top3").toArrow()
     y = got.column("toxic").to_numpy().astype(float)
     if len(y) and 0 < y.mean() < 1:
         model.weights = _curve(
-            np.column_stack([got.column("top1").to_numpy(), got.column("top3").to_numpy()]), y)
+            np.column_stack([got.column(c).to_numpy() for c in ("whole", "top1", "top3")]), y)
     else:  # nothing to fit on: the share of toxic labels
         n, toxic = marks.agg(F.count("toxic"), F.sum("toxic")).first()
         share = toxic / n if n else 0.0
         odds = 30.0 if share >= 1 else -30.0 if share <= 0 else float(np.log(share / (1 - share)))
-        model.weights = [odds, 0.0, 0.0]
+        model.weights = [odds, 0.0, 0.0, 0.0]
     return model
 
 
@@ -481,7 +487,7 @@ def _appended(
                             more = {p["word"]: p["rate"] for p in pairs}
                             got[j] = [more[w] if g != g else g for w, g in zip(own[j], got[j])]
                     batch = batch.select(columns)
-                new = [pa.array(c, f.type) for c, f in zip(zip(*map(add, got)), fields)]
+                new = [pa.array(c, f.type) for c, f in zip(zip(*map(add, own, got)), fields)]
                 yield pa.RecordBatch.from_arrays(
                     batch.columns + new, schema=pa.schema(list(batch.schema) + fields))
 
@@ -500,8 +506,8 @@ def _appended(
 
 def _features(df: DataFrame, model: Model) -> DataFrame:
     return _appended(
-        df, model, _text_features, "top1 double, top3 double",
-        [pa.field("top1", pa.float64()), pa.field("top3", pa.float64())], "text")
+        df, model, _text_features, "whole double, top1 double, top3 double",
+        [pa.field(c, pa.float64()) for c in ("whole", "top1", "top3")], "text")
 
 
 def score(
@@ -514,11 +520,10 @@ def score(
     text without any toxic word.  Every input row gives one row.  Where the
     model's tables are joined, the texts are read for their words at once.
     """
-    w0, w1, w3 = model.weights
+    w0, *rest = model.weights
 
-    def add(rates: list[float]) -> tuple[float]:
-        top1, top3 = _text_features(rates)
-        z = min(max(w0 + w1 * top1 + w3 * top3, -30.0), 30.0)
+    def add(own: list[str], rates: list[float]) -> tuple[float]:
+        z = min(max(w0 + sumprod(rest, _text_features(own, rates)), -30.0), 30.0)
         return (float(1 / (1 + np.exp(-z))),)
 
     return _appended(df, model, add, f"{out_col} double", [pa.field(out_col, pa.float64())], text_col,
