@@ -319,6 +319,19 @@ def test_toxicity_scores_the_whole_text(make, spark):
     assert whole[1] > whole[2] > whole[0]
 
 
+def test_toxicity_counts_all_but_the_calibration_rows(make, spark):
+    """Of the calibration fold only the sampled documents give no counts."""
+    rows = [(k, f"word{k} again") for k in range(100)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    folds = {r.id: r.f for r in spark.range(100).select("id", toxicity.fold(F.col("id")).alias("f")).collect()}
+    rest = [k for k, f in folds.items() if f == toxicity.CALIBRATION_FOLD]
+    model = toxicity.train(make(rows), labels, calibration_rows=3)
+    grams = {r.gram for r in model.grams.collect()}
+    counted = {k for k in folds if any(g.endswith(f"d{k}\x03") for g in grams)}
+    assert len(rest) > 5 and len(counted & set(rest)) == len(rest) - 3
+    assert counted - set(rest) == {k for k, f in folds.items() if f not in (0, toxicity.CALIBRATION_FOLD)}
+
+
 def test_toxicity_joined_words_score_as_broadcast_ones(make, spark):
     docs, labels, _ = _marked(make, spark, 120)
     model = toxicity.train(docs, labels, broadcast_grams=0)

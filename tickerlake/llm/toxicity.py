@@ -45,7 +45,8 @@ BROADCAST_GRAMS = 2_000_000
 BROADCAST_WORDS = 2_000_000
 #: Characters of distinct words that one group of the n-gram lookup has.
 GROUP_CHARS = 400_000
-#: Most rows of the calibration fold that the curve is fitted on (lowest hashes).
+#: Most documents of the calibration fold that the curve is fitted on (lowest
+#: hashes); only these give no counts.
 CALIBRATION_ROWS = 20_000
 #: Words and n-grams a worker holds before it hands counts on, or forgets.
 HELD = 200_000
@@ -381,9 +382,12 @@ def train(
     marks = stage(marks, "kn_labels")
     few = marks.count() <= BROADCAST_LABELS
     rows = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    counted = marks.filter(fold(F.col("of")) != CALIBRATION_FOLD)
+    sample = stage(  # a bounded number of ids, so their texts are found by a broadcast
+        marks.filter(fold(F.col("of")) == CALIBRATION_FOLD)
+        .orderBy(F.xxhash64("of")).limit(calibration_rows), "kn_held_back")
+    counted = marks.join(F.broadcast(sample.select("of")), "of", "left_anti")
     top = stage(
-        rows.filter(~fold(F.col("id")).isin(HELD_OUT_FOLD, CALIBRATION_FOLD))
+        rows.filter(fold(F.col("id")) != HELD_OUT_FOLD)
         .join(F.broadcast(counted) if few else counted, F.col("id") == F.col("of"))
         .select("text", "toxic")
         .mapInArrow(_count, "gram string, n0 long, n1 long")
@@ -411,10 +415,6 @@ def train(
     model = Model(stage(seen, "kn_gains"), stage(backed, "kn_backed"), None, [])
     if max(model.grams.count(), model.contexts.count()) <= broadcast_grams:
         model.tables = Tables(_hashed(model.grams, "gram", "v"), _hashed(model.contexts, "ctx", "v"))
-    sample = (  # a bounded number of ids, so their texts are found by a broadcast
-        marks.filter(fold(F.col("of")) == CALIBRATION_FOLD)
-        .orderBy(F.xxhash64("of")).limit(calibration_rows)
-    )
     found = stage(
         rows.join(F.broadcast(sample), F.col("id") == F.col("of")).select("text", "toxic"), "kn_sample")
     got = _features(found, model).select("toxic", "whole", "top1", "top3").toArrow()
