@@ -413,3 +413,7 @@ def test_quality_any_text(text):
     assert seen["words"] == len(own) and len(quality.votes(seen)) == len(quality.LABELLERS)
     slots, vals = quality.vector(own, table)
     assert len(slots) == len(vals) and (slots < quality.DIM).all() and np.isfinite(vals).all()
+
+
+def test_quality_fits_all_rounds():
+    assert quality.ROUNDS == 60

@@ -29,7 +29,7 @@ DIM = 1 << 16
 #: Most rows that the linear scorer is fitted on (lowest hashes of text and id).
 FIT_ROWS = 20_000
 FIT_TASKS = 8
-ROUNDS = 40
+ROUNDS = 60
 #: Words whose shape a worker remembers.
 HELD = 200_000
 BLOCK = 50
