@@ -417,3 +417,8 @@ def test_quality_any_text(text):
 
 def test_quality_fits_all_rounds():
     assert quality.ROUNDS == 60
+
+
+def test_quality_shape_reads_the_whole_word():
+    head = "a1-" * 20
+    assert quality.shape(head + "b") != quality.shape(head + "?")

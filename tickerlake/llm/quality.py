@@ -40,7 +40,7 @@ _DOUBLED = re.compile(r"([^\w\s])\1")
 def shape(word: str) -> str:
     """Letters as a or A, digits as 0, marks as they are; runs as one or two."""
     kinds = ["0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in word]
-    return "".join(c for k, c in enumerate(kinds) if kinds[max(0, k - 2):k] != [c, c])[:24]
+    return "".join(c for k, c in enumerate(kinds) if kinds[max(0, k - 2):k] != [c, c])
 
 
 #: What is known of a word: slot of its shape, letters, capitals, marks, whether a
