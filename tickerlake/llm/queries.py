@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 from . import (
     chat_format,
     exact_dedup,
+    importance,
+    jaccard_rtree,
     mixing,
+    periodic_runs,
     quality,
     secrets,
     sentencepiece_bpe,
@@ -84,11 +88,40 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "doc_id")
 
 
+def repeated_tail(words: list[bytes], doc_id: int) -> list[bytes]:
+    """The words of a document, which of every tenth id's repeat from a word on
+    that the id tells."""
+    h, n = crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    period = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % period] for i in range(a, n)]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(
+        read_table(spark, sf_dir, "documents"), edit=repeated_tail).withColumnRenamed(
+            "id", "doc_id")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        read_table(spark, sf_dir, "documents"),
+        read_table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_rtree.jaccard_join(read_table(spark, sf_dir, "documents")).withColumnRenamed(
+        "id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_chat_format, op2_exact_dedup, op3_winnowing, op4_simhash,
               op5_substring_dedup, op6_secrets, op7_sentencepiece, op8_mixing,
-              op9_toxicity, op10_quality)
+              op9_toxicity, op10_quality, op11_periodic_runs, op12_importance, op13_jaccard_join)
 }
 
 _SPACE = r"[\x20\x09-\x0D]+"
