@@ -253,7 +253,7 @@ def near(corpus):
 
 
 @pytest.mark.parametrize("case", [
-    {}, {"most_sets": 4, "most_shingles": 500}, {"num": 1, "den": 2}, {"num": 60, "den": 100, "words": 2,
+    {}, {"most_sets": 4, "most_shingles": 500}, {"most_sets": 4, "most_points": 6}, {"num": 1, "den": 2}, {"num": 60, "den": 100, "words": 2,
                                                                     "most_sets": 9, "groups": 8}])
 def test_jaccard_join(make, near, case):
     got = jaccard_rtree.jaccard_join(make(near), **case).collect()

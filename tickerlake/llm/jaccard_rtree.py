@@ -15,10 +15,11 @@ set of the key are a cell, and a cell has a tree.  Two sets of one component
 needn't meet again, so a tree passes over nodes that hold nothing but the
 asking set's component, and a cell yields a spanning forest, not its pairs.
 
-A cell above ``most_sets`` sets or ``most_shingles`` shingles is cut into
-blocks that all have its smallest set.  Where such a cell still has several
-components afterwards, the sets outside its largest component meet each block
-once more, so that no link between blocks is lost.
+The points alone go through a cell's tree first, and the content of a set is only
+fetched where a candidate is left.  A cell above ``most_sets`` sets or
+``most_shingles`` shingles is cut into blocks.  Where such a cell still has
+several components afterwards, the sets outside its largest component meet each
+block once more, so that no link between blocks is lost.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ LEAF = 64
 #: Sets and shingles of one tree; larger cells are cut into blocks.
 MOST_SETS = 4_000
 MOST_SHINGLES = 2_000_000
+#: Points of one tree without content; the sets of larger cells all go on.
+MOST_POINTS = 50_000
 #: Bits of the filter that tells which sets have a cell (16 MB, whatever the input).
 FILTER_BITS = 1 << 27
 
@@ -138,25 +141,19 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-class Links:
-    """R-tree over the points of some sets, and the links found among them.
+class Tree:
+    """R-tree over the points of some sets.
 
     Leaves hold ``LEAF`` points, packed by size and then along their counts;
     every level above takes ``LEAF`` nodes into one.  A node has the largest
     counts and the least and largest size of what is below.
     """
 
-    def __init__(self, sets: list[np.ndarray], labels: list[int], num: int = NUM,
-                 den: int = DEN, groups: int = GROUPS):
-        size = np.array([len(s) for s in sets])
-        at = points(sets, groups)
-        order = np.lexsort((*at.T[:4], size))
-        self.num, self.den, self.order = num, den, order
-        self.sets = [sets[k] for k in order]
-        self.size, self.at = size[order], at[order]
-        # sets that come with one label are connected already
-        _, first, same = np.unique(np.array(labels)[order], return_index=True, return_inverse=True)
-        self.up = first[same.ravel()].astype(np.int64)
+    def __init__(self, at: np.ndarray, num: int = NUM, den: int = DEN):
+        size = at.sum(axis=1, dtype=np.int64)
+        self.order = np.lexsort((*at.T[:4], size))
+        self.num, self.den = num, den
+        self.size, self.at = size[self.order], at[self.order]
         self.levels = []
         high, low, top = self.at, self.size, self.size
         while True:
@@ -167,43 +164,76 @@ class Links:
             if len(low) == 1:
                 break
 
-    def root(self, k: int) -> int:
-        up = self.up
-        while up[k] != k:
-            up[k] = up[up[k]]
-            k = up[k]
-        return k
-
-    def roots(self) -> np.ndarray:
-        at = self.up
-        while (nxt := at[at]).tobytes() != at.tobytes():
-            at = nxt
-        self.up = at.copy()
-        return at
-
     def need(self, own, other):
         """Fewest shared shingles of linked sets of these sizes."""
-        whole = self.num + self.den
-        return -(-self.num * (own + other) // whole)
+        return -(-self.num * (own + other) // (self.num + self.den))
 
-    def leaves(self, k: int, roots: np.ndarray) -> np.ndarray:
-        """Leaves that may hold a set linked with ``k`` and in another component."""
+    def leaves(self, k: int) -> np.ndarray:
+        """Leaves that may hold a set linked with ``k``."""
         nodes = np.zeros(1, dtype=np.int64)
         own, at = self.size[k], self.at[k]
         least, most = -(-own * self.num // self.den), own * self.den // self.num
         for depth in range(len(self.levels) - 1, -1, -1):
             high, low, top = self.levels[depth]
-            fits = (top[nodes] >= least) & (low[nodes] <= most)
-            nodes = nodes[fits]
+            nodes = nodes[(top[nodes] >= least) & (low[nodes] <= most)]
             reach = np.minimum(high[nodes], at).sum(axis=1)
             nodes = nodes[reach >= self.need(own, np.maximum(low[nodes], least))]
             if depth:
                 below = len(self.levels[depth - 1][1])
                 nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
                 nodes = nodes[nodes < below]
-        lows, tops = self.uniform
-        mine = roots[k]
-        return nodes[(lows[nodes] != mine) | (tops[nodes] != mine)]
+        return nodes
+
+    def members(self, leaf: int) -> np.ndarray:
+        return np.arange(leaf * LEAF, min(len(self.size), leaf * LEAF + LEAF))
+
+    def near(self, k: int, j: np.ndarray) -> np.ndarray:
+        """Those of ``j`` whose coordinate minima with ``k`` sum up to enough."""
+        reach = np.minimum(self.at[j], self.at[k]).sum(axis=1)
+        return j[reach >= self.need(self.size[k], self.size[j])]
+
+    def candidates(self) -> np.ndarray:
+        """Which of the given points have another one that passes the bound."""
+        found = np.zeros(len(self.size), dtype=bool)
+        for k in range(len(found)):
+            if found[k]:
+                continue
+            for leaf in self.leaves(k):
+                j = self.members(leaf)
+                j = self.near(k, j[j != k])
+                if len(j):
+                    found[j] = found[k] = True
+                    break
+        out = np.empty(len(found), dtype=bool)
+        out[self.order] = found
+        return out
+
+
+class Links(Tree):
+    """The links found among some sets through their tree."""
+
+    def __init__(self, sets: list[np.ndarray], labels: list[int], num: int = NUM,
+                 den: int = DEN, groups: int = GROUPS):
+        super().__init__(points(sets, groups), num, den)
+        self.sets = [sets[k] for k in self.order]
+        # sets that come with one label are connected already
+        _, first, same = np.unique(
+            np.array(labels)[self.order], return_index=True, return_inverse=True)
+        self.up = first[same.ravel()].astype(np.int64)
+
+    def root(self, k: int) -> int:
+        up = self.up
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return k
+
+    def roots(self) -> np.ndarray:
+        at = self.up
+        while (above := at[at]).tobytes() != at.tobytes():
+            at = above
+        self.up = at.copy()
+        return at
 
     def find(self, asking: np.ndarray | None = None) -> list[tuple[int, int]]:
         """Links that connect what the sets' links connect, as positions of the
@@ -214,16 +244,16 @@ class Links:
         asks = np.ones(n, dtype=bool) if asking is None else asking[self.order]
         for start in cut:
             roots = self.roots()
-            self.uniform = np.minimum.reduceat(roots, cut), np.maximum.reduceat(roots, cut)
+            low, top = np.minimum.reduceat(roots, cut), np.maximum.reduceat(roots, cut)
             for k in range(start, min(n, start + LEAF)):
                 if not asks[k]:
                     continue
-                for leaf in self.leaves(k, roots):
-                    j = np.arange(leaf * LEAF, min(n, leaf * LEAF + LEAF))
-                    # an asking pair is looked at once
-                    j = j[(roots[j] != roots[k]) & (~asks[j] | (j > k))]
-                    own, other = self.size[k], self.size[j]
-                    j = j[np.minimum(self.at[j], self.at[k]).sum(axis=1) >= self.need(own, other)]
+                leaves = self.leaves(k)
+                # what holds nothing but the component of k is passed over
+                for leaf in leaves[(low[leaves] != roots[k]) | (top[leaves] != roots[k])]:
+                    j = self.members(leaf)
+                    # two that ask are looked at once
+                    j = self.near(k, j[(roots[j] != roots[k]) & (~asks[j] | (j > k))])
                     for other in j.tolist():
                         a, b = self.root(k), self.root(other)
                         if a == b:
@@ -236,9 +266,10 @@ class Links:
         return out
 
 
-def _sets(words: int, kind: str, num: int, den: int, wanted: np.ndarray | None = None):
-    """Task side over ``id, text``.  ``docs``: size and set of every row; ``keys``:
-    keys of every set; ``sets``: sets that the filter lets through, with content."""
+def _sets(words: int, kind: str, num: int, den: int, groups: int,
+          wanted: np.ndarray | None = None):
+    """Task side over ``id, text``.  ``docs``: size, set and point of every row;
+    ``keys``: keys of every set; ``sets``: content of sets that the filter lets through."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -253,13 +284,14 @@ def _sets(words: int, kind: str, num: int, den: int, wanted: np.ndarray | None =
             return True
 
         for batch in parts:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             held = 0
             for doc_id, text in zip(values(batch, "id"), binary(batch, "text")):
                 s = shingle_set(text, hashes, words)
                 uid = set_id(s) if len(s) else None
                 if kind == "docs":
-                    for col, v in zip(out, (doc_id, len(s), uid)):
+                    point = points([s], groups).tobytes() if len(s) else None
+                    for col, v in zip(out, (doc_id, len(s), uid, point)):
                         col.append(v)
                     continue
                 if uid is None or not new(uid):
@@ -270,25 +302,24 @@ def _sets(words: int, kind: str, num: int, den: int, wanted: np.ndarray | None =
                     out[1].append(np.full(len(keys), uid, dtype=np.int64))
                     held += len(keys)
                 elif wanted is None or wanted[(at := uid % FILTER_BITS) >> 3] >> (at & 7) & 1:
-                    for col, v in zip(out, (uid, len(s), s.tobytes())):
-                        col.append(v)
+                    out[0].append(uid)
+                    out[1].append(s.tobytes())
                     held += len(s)
                 if held > 2_000_000:
                     yield packed(out)
-                    out, held = [[], [], []], 0
+                    out, held = [[], [], [], []], 0
             yield packed(out)
 
     def packed(out: list[list]) -> pa.RecordBatch:
         if kind == "docs":
             return pa.RecordBatch.from_pydict({
                 "id": pa.array(out[0], pa.int64()), "n": pa.array(out[1], pa.int64()),
-                "uid": pa.array(out[2], pa.int64())})
+                "uid": pa.array(out[2], pa.int64()), "point": pa.array(out[3], pa.binary())})
         if kind == "keys":
             key, uid = (np.concatenate(c) if c else np.empty(0, dtype=np.int64) for c in out[:2])
             return pa.RecordBatch.from_pydict({"key": pa.array(key), "uid": pa.array(uid)})
         return pa.RecordBatch.from_pydict({
-            "uid": pa.array(out[0], pa.int64()), "n": pa.array(out[1], pa.int64()),
-            "content": pa.array(out[2], pa.binary())})
+            "uid": pa.array(out[0], pa.int64()), "content": pa.array(out[1], pa.binary())})
 
     return run
 
@@ -316,7 +347,7 @@ def cells(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """``cell, uid``: the sets of every cell; a cell is named by its smallest set."""
     spark = docs.sparkSession
     found = (
-        docs.mapInArrow(_sets(words, "keys", num, den), "key long, uid long")
+        docs.mapInArrow(_sets(words, "keys", num, den, GROUPS), "key long, uid long")
         .repartition(shuffle_partitions(spark), "key").sortWithinPartitions("key", "uid")
         .mapInArrow(_stars, "cell long, uid long").distinct()
     )
@@ -381,35 +412,80 @@ def _in_trees(rows: DataFrame, num: int, den: int, groups: int, name: str) -> Da
         .mapInArrow(_link(num, den, groups), "a long, b long"), name)
 
 
-def links(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
-          groups: int = GROUPS, most_sets: int = MOST_SETS,
-          most_shingles: int = MOST_SHINGLES) -> DataFrame:
+def _mark(num: int, den: int):
+    """Task side: rows ``cell, uid, point`` sorted by cell; of every cell the sets
+    that have a candidate in it."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def marked(cell: int, held: list[tuple]) -> list[tuple[int, int]]:
+            if len(held) < 2:
+                return []
+            at = np.frombuffer(b"".join(p for _, p in held), dtype=np.int32)
+            kept = Tree(at.reshape(len(held), -1), num, den).candidates()
+            return [(cell, held[k][0]) for k in np.flatnonzero(kept)]
+
+        def packed(found: list) -> pa.RecordBatch:
+            cell, uid = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_pydict({"cell": pa.array(cell, pa.int64()),
+                                               "uid": pa.array(uid, pa.int64())})
+
+        group, held = None, []
+        for batch in parts:
+            found: list = []
+            for cell, uid, point in zip(*(values(batch, c) for c in ("cell", "uid", "point"))):
+                if cell != group:
+                    found += marked(group, held)
+                    group, held = cell, []
+                held.append((uid, point))
+            yield packed(found)
+        yield packed(marked(group, held))
+
+    return run
+
+
+def surviving(member: DataFrame, nodes: DataFrame, num: int, den: int,
+              most_points: int) -> DataFrame:
+    """The sets of every cell that the tree over the cell's points leaves a
+    candidate; of a cell above ``most_points`` points all its sets."""
+    sizes = member.groupBy("cell").agg(F.count("uid").alias("sets"))
+    sized = stage(member.join(sizes.filter("sets > 1"), "cell"), "jaccard_members")
+    few = sized.filter(F.col("sets") <= most_points).select("cell", "uid").join(
+        nodes.select("uid", "point"), "uid")
+    kept = (
+        few.repartition(shuffle_partitions(member.sparkSession), "cell")
+        .sortWithinPartitions("cell").mapInArrow(_mark(num, den), "cell long, uid long")
+    )
+    return stage(kept.unionByName(
+        sized.filter(F.col("sets") > most_points).select("cell", "uid")), "jaccard_surviving")
+
+
+def links(docs: DataFrame, nodes: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
+          groups: int = GROUPS, most_sets: int = MOST_SETS, most_shingles: int = MOST_SHINGLES,
+          most_points: int = MOST_POINTS) -> DataFrame:
     """Links ``a, b`` between distinct sets of ``docs`` (``id``, ``text``); two sets
-    are connected by them exactly when a chain of linked sets connects them."""
+    are connected by them exactly when a chain of linked sets connects them.
+    ``nodes``: the distinct sets, as ``uid, n, point``."""
     member = cells(docs, words, num, den)
-    member = stage(member.unionByName(
-        member.select("cell", F.col("cell").alias("uid")).distinct()), "jaccard_members")
+    member = member.unionByName(member.select("cell", F.col("cell").alias("uid")).distinct())
+    member = surviving(member, nodes, num, den, most_points)
     wanted = docs.sparkSession.sparkContext.broadcast(
         membership_filter(member.select("uid").distinct()).tobytes())
 
     def chosen(parts):
-        return _sets(words, "sets", num, den, np.frombuffer(wanted.value, dtype=np.uint8))(parts)
+        passes = np.frombuffer(wanted.value, dtype=np.uint8)
+        return _sets(words, "sets", num, den, groups, passes)(parts)
 
-    sets = docs.mapInArrow(chosen, "uid long, n long, content binary").groupBy("uid").agg(
-        F.first("n").alias("n"), F.first("content").alias("content"))
-    sets = stage(sets, "jaccard_sets")
-    sizes = member.join(sets.select("uid", "n"), "uid").groupBy("cell").agg(
-        F.count("uid").alias("sets"), F.sum("n").alias("shingles"))
+    sets = stage(docs.mapInArrow(chosen, "uid long, content binary").groupBy("uid").agg(
+        F.first("content").alias("content")), "jaccard_sets")
+    member = member.join(nodes.select("uid", "n"), "uid")
+    sizes = member.groupBy("cell").agg(F.count("uid").alias("sets"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.ceil(F.col("sets") / most_sets),
                         F.ceil(F.col("shingles") / most_shingles)).cast("long")
     sized = stage(member.join(sizes.select("cell", blocks.alias("blocks")), "cell"),
                   "jaccard_sized")
     dealt = F.pmod(F.xxhash64("uid", "cell"), F.col("blocks"))
-    every = F.explode(F.when(
-        F.col("uid") == F.col("cell"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
-    ).otherwise(F.array(dealt)))
     found = _in_trees(
-        sized.select("cell", every.alias("block"), "uid").join(sets, "uid").select(
+        sized.select("cell", dealt.alias("block"), "uid").join(sets, "uid").select(
             "cell", "block", "uid", "content", F.col("uid").alias("label"),
             F.lit(True).alias("asks")),
         num, den, groups, "jaccard_links")
@@ -430,7 +506,6 @@ def _between_blocks(large: DataFrame, sets: DataFrame, found: DataFrame, num: in
     labels = components(found).withColumnsRenamed({"node": "of", "label": "known"})
     now = stage(
         large.join(labels, F.col("uid") == F.col("of"), "left")
-        .join(sets.select("uid", "n"), "uid")
         .select("cell", "uid", "n", F.coalesce("known", "uid").alias("label")), "jaccard_open")
     parts = now.groupBy("cell", "label").agg(F.count("uid").alias("sets"), F.sum("n").alias("n"))
     best = Window.partitionBy("cell").orderBy(F.desc("sets"), "label")
@@ -475,6 +550,7 @@ def jaccard_join(
     groups: int = GROUPS,
     most_sets: int = MOST_SETS,
     most_shingles: int = MOST_SHINGLES,
+    most_points: int = MOST_POINTS,
 ) -> DataFrame:
     """One row per input row: id, n_shingles, component_id.
 
@@ -489,12 +565,14 @@ def jaccard_join(
     read; an empty table gives no rows.
     """
     rows = id_text(df, id_col, text_col)
-    docs = stage(rows.mapInArrow(_sets(words, "docs", num, den), "id long, n long, uid long"),
-                 "jaccard_docs")
-    labels = components(links(rows, words, num, den, groups, most_sets, most_shingles)).select(
-        F.col("node").alias("of"), "label")
-    low = docs.filter("uid is not null").groupBy("uid").agg(F.min("id").alias("low"))
-    low = stage(low.join(labels, F.col("uid") == F.col("of"), "left").select(
+    docs = stage(rows.mapInArrow(_sets(words, "docs", num, den, groups),
+                                 "id long, n long, uid long, point binary"), "jaccard_docs")
+    nodes = stage(docs.filter("uid is not null").groupBy("uid").agg(
+        F.min("id").alias("low"), F.min("n").alias("n"), F.min("point").alias("point")),
+        "jaccard_nodes")
+    labels = components(links(rows, nodes, words, num, den, groups, most_sets, most_shingles,
+                              most_points)).select(F.col("node").alias("of"), "label")
+    low = stage(nodes.join(labels, F.col("uid") == F.col("of"), "left").select(
         F.col("uid").alias("of"), "low", F.coalesce("label", "uid").alias("label")), "jaccard_low")
     least = low.groupBy("label").agg(F.min("low").alias("least"))
     named = stage(low.join(least, "label").select("of", "least"), "jaccard_named")
