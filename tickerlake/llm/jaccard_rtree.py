@@ -1,8 +1,8 @@
 """N-gram Jaccard join through an R-tree over count vectors.
 
 A document is the set of its distinct word shingles.  The 64-bit hashes of the
-shingles are dealt to ``groups`` equal ranges, and the counts per range are a
-point.  Two sets share at most the sum of the coordinate minima of their points,
+shingles are dealt to equal ranges, more of them for larger sets, and the counts
+per range are a point.  Two sets share at most the sum of the coordinate minima of their points,
 and a set shares with any set below a node of the tree at most the sum of the
 minima of its point and the node's largest counts.  Pairs that pass are verified
 on the sets themselves.
@@ -38,8 +38,9 @@ from .components import components
 WORDS = 4
 #: Least similarity as a fraction: shared * DEN >= united * NUM.
 NUM, DEN = 85, 100
-#: Coordinates of a point.
+#: Coordinates of a small set's point, and of the largest set's.
 GROUPS = 32
+FINEST = 4_096
 LEAF = 64
 #: Sets and shingles of one tree; larger cells are cut into blocks.
 MOST_SETS = 4_000
@@ -124,13 +125,21 @@ def segment_keys(shingles: np.ndarray, num: int = NUM, den: int = DEN) -> np.nda
     return np.concatenate(out).view(np.int64) if out else np.empty(0, dtype=np.int64)
 
 
-def points(sets: list[np.ndarray], groups: int = GROUPS) -> np.ndarray:
-    """Counts of every set's hashes in equal ranges of the hash space."""
+def point(shingles: np.ndarray, groups: int = GROUPS) -> np.ndarray:
+    """Counts of a set's hashes in equal ranges of the hash space: ``groups`` of
+    them, doubled until a range holds eight hashes or less (at most ``FINEST``
+    ranges), since the counts of large ranges are all alike."""
+    while groups < FINEST and len(shingles) > 8 * groups:
+        groups *= 2
     starts = np.array([(k << 64) // groups for k in range(1, groups)], dtype=np.uint64)
-    out = np.empty((len(sets), groups), dtype=np.int32)
-    for k, s in enumerate(sets):
-        out[k] = np.diff(np.searchsorted(s, starts), prepend=0, append=len(s))
-    return out
+    at = np.searchsorted(shingles, starts)
+    return np.diff(at, prepend=0, append=len(shingles)).astype(np.int32)
+
+
+def alike(points: list[np.ndarray]) -> np.ndarray:
+    """Points as rows; neighbouring counts are added up to the coarsest point's ranges."""
+    groups = min(map(len, points))
+    return np.stack([p.reshape(groups, -1).sum(axis=1) for p in points])
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -214,7 +223,7 @@ class Links(Tree):
 
     def __init__(self, sets: list[np.ndarray], labels: list[int], num: int = NUM,
                  den: int = DEN, groups: int = GROUPS):
-        super().__init__(points(sets, groups), num, den)
+        super().__init__(alike([point(s, groups) for s in sets]), num, den)
         self.sets = [sets[k] for k in self.order]
         # sets that come with one label are connected already
         _, first, same = np.unique(
@@ -290,8 +299,8 @@ def _sets(words: int, kind: str, num: int, den: int, groups: int,
                 s = shingle_set(text, hashes, words)
                 uid = set_id(s) if len(s) else None
                 if kind == "docs":
-                    point = points([s], groups).tobytes() if len(s) else None
-                    for col, v in zip(out, (doc_id, len(s), uid, point)):
+                    counts = point(s, groups).tobytes() if len(s) else None
+                    for col, v in zip(out, (doc_id, len(s), uid, counts)):
                         col.append(v)
                     continue
                 if uid is None or not new(uid):
@@ -420,8 +429,8 @@ def _mark(num: int, den: int):
         def marked(cell: int, held: list[tuple]) -> list[tuple[int, int]]:
             if len(held) < 2:
                 return []
-            at = np.frombuffer(b"".join(p for _, p in held), dtype=np.int32)
-            kept = Tree(at.reshape(len(held), -1), num, den).candidates()
+            at = alike([np.frombuffer(p, dtype=np.int32) for _, p in held])
+            kept = Tree(at, num, den).candidates()
             return [(cell, held[k][0]) for k in np.flatnonzero(kept)]
 
         def packed(found: list) -> pa.RecordBatch:
