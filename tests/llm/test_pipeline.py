@@ -65,6 +65,45 @@ def test_mix_stage(spark, make, corpus):
     assert words(mine) == pytest.approx(1.5 * words(given), rel=0.35)
 
 
+CLASHES = ("kept_row", "taken_row", "copies", "score", "id", "row", "of", "k", "label", "Score", "last",
+           "doc", "whole", "top1", "component_id", "fp", "n", "leaf", "source_size", "target", "word",
+           "rest", "toxic", "uid", "start")
+
+
+def test_stages_with_clashing_names(spark, corpus):
+    """Names that stages and operators use inside may be the input's own columns."""
+    from pyspark.sql import functions as F
+
+    names = [c for c in CLASHES if c not in ("Score",)]
+    df = spark.createDataFrame(
+        [(*row, f"v{k}") for k, row in enumerate(corpus)],
+        "doc_id long, text string, source string, v string")
+    for name in names:
+        df = df.withColumn(name, F.col("v"))
+    given = {(r.doc_id, r.text, r.source, r.v) for r in df.collect()}
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, df, SF)
+        assert out.columns == df.columns, name
+        rows = out.collect()
+        assert rows and {(r.doc_id, r.text, r.source, r.v) for r in rows} <= given, name
+        assert all(r[c] == r.v for r in rows for c in names), name
+    encoded = corpus_pipeline.STAGES[-1][1](spark, df, SF).collect()
+    assert Counter(r.doc_id for r in encoded) == Counter(row[0] for row in corpus)
+
+
+def test_stages_on_a_very_long_text(spark, corpus):
+    """A text of 400,000 words, beside repeated rows, null text and null id."""
+    rows = [(1, " ".join(f"w{k % 9973}" for k in range(400_000)), "a"), (2, None, None),
+            (2, None, None), (None, "two words", "b"), *[(k + 10, t, s) for k, (_, t, s) in
+                                                        enumerate(corpus[:20])]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, df, SF).collect()
+        assert any(r.doc_id == 1 and r.text == rows[0][1] for r in out), name
+    encoded = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, df, SF).collect()}
+    assert encoded[1].n_tokens > 400_000
+
+
 def test_stages_on_nothing(spark, make):
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, make([]), SF).collect() == [], name
@@ -105,6 +144,6 @@ def test_registered():
     import __spark_entry__ as E
 
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)

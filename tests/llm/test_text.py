@@ -31,7 +31,7 @@ def test_chat_format(spark):
     rows = _talks()
     df = spark.createDataFrame(rows, CONV).withColumn("start", F.lit("x")).withColumn("part", F.lit(1))
     turns, examples = chat_format.format_conversations(df)
-    got = {r.conv_id: r for r in chat_format.digest(turns).collect()}
+    got = {r.conv_id: r for r in chat_format.digest(turns, examples).collect()}
     talks = defaultdict(list)
     for r in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
         talks[r[0]].append((r[2] or "", r[3] or ""))
@@ -60,7 +60,7 @@ def test_chat_format(spark):
 
 def test_chat_format_empty(spark):
     turns, examples = chat_format.format_conversations(spark.createDataFrame([], CONV))
-    assert turns.count() == examples.count() == chat_format.digest(turns).count() == 0
+    assert turns.count() == examples.count() == chat_format.digest(turns, examples).count() == 0
 
 
 def test_escape_round_trip(spark):
@@ -422,3 +422,36 @@ def test_quality_fits_all_rounds():
 def test_quality_shape_reads_the_whole_word():
     head = "a1-" * 20
     assert quality.shape(head + "b") != quality.shape(head + "?")
+
+
+def test_smallest(spark):
+    """The rows with the smallest hashes, through a bounded number of rows."""
+    from pyspark.sql import functions as F
+
+    from tickerlake.llm.common import smallest
+
+    df = spark.range(20_000).withColumn("h", F.xxhash64("id"))
+    got = [r.id for r in smallest(df, F.col("h"), ["id"], 300).collect()]
+    assert got == [r.id for r in df.orderBy("h", "id").limit(300).collect()]
+    assert smallest(df, F.col("h"), ["id"], 50_000).count() == 20_000
+    same = spark.range(3000).withColumn("h", F.lit(5))  # all tie
+    assert [r.id for r in smallest(same, F.xxhash64("h"), ["id"], 10).collect()] == list(range(10))
+    assert smallest(df.limit(0), F.col("h"), ["id"], 5).collect() == []
+
+
+def test_score_replaces_a_column(spark, make, corpus):
+    """A frame may have a column of the score's name, in whatever case."""
+    from pyspark.sql import functions as F
+
+    from tickerlake.llm import toxicity
+    from tickerlake.llm.common import read_table
+
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    model = toxicity.train(docs, read_table(spark, "/root/testdata/sf0.001", "labels"))
+    df = make(corpus).drop("score").withColumn("Score", F.lit("x"))
+    out = toxicity.score(df, model)
+    assert [c for c in out.columns if c.lower() == "score"] == ["score"]
+    plain = toxicity.score(df.select("doc_id", "text"), model)
+    assert sorted(r.score for r in out.collect()) == sorted(r.score for r in plain.collect())
+    with pytest.raises(ValueError):
+        toxicity.score(df, model, out_col="TEXT")

@@ -190,21 +190,29 @@ DIGEST_DDL = (
 )
 
 
-def digest(turns: DataFrame, template: Template = Template()) -> DataFrame:
-    """What a reader finds in formatted turns, one row per conversation.
-
-    A reader streams the turns of a conversation in order and keeps running
-    hashes, so memory doesn't depend on the conversation's length.
+def digest(turns: DataFrame, examples: DataFrame, template: Template = Template()) -> DataFrame:
+    """What a reader finds in formatted turns and their examples, one row per conversation.
+
+    Loss text, number and lengths of the examples are read through the examples:
+    each one's offsets are looked up in the turn that its context ends at.  A
+    reader streams the turns of a conversation in order and keeps running
+    hashes, so memory doesn't depend on the conversation's length.  An example
+    whose context doesn't end where its turn starts, or that is out of order, is
+    an error.
     """
     t = template
+    of = examples.select(
+        F.col("conv_id").alias("conv"), F.col("position").alias("last"), "context_end",
+        F.col("example").alias("number"), F.col("loss_start").alias("lo"),
+        F.col("loss_end").alias("hi"), F.col("end").alias("whole"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             conv, state = None, None
             for batch in parts:
-                for conv_id, formatted, start, end, lo, hi in zip(*(
-                    values(batch, c)
-                    for c in ("conv_id", "formatted", "start", "end", "loss_start", "loss_end")
+                for conv_id, formatted, start, number, context, lo, hi, end in zip(*(
+                    values(batch, c) for c in ("conv_id", "formatted", "start", "number",
+                                               "context_end", "lo", "hi", "whole")
                 )):
                     if state is None or conv_id != conv:
                         if state:
@@ -213,8 +221,10 @@ def digest(turns: DataFrame, template: Template = Template()) -> DataFrame:
                     role, text = t.parse(formatted)
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
-                    if lo is not None:
-                        loss = t.unescape(formatted[lo - start:hi - start])
+                    if number is not None:
+                        if context != start or number != state[5]:
+                            raise ValueError(f"example {number} of {conv_id} is misplaced")
+                        loss = t.unescape(formatted[lo - context:hi - context])
                         state[2] += len(loss)
                         state[3].update(loss.encode())
                         state[5] += 1
@@ -230,7 +240,10 @@ def digest(turns: DataFrame, template: Template = Template()) -> DataFrame:
 
     spark = turns.sparkSession
     return (
-        turns.repartition(shuffle_partitions(spark), "conv_id")
+        turns.select("conv_id", "position", "formatted", "start")
+        .join(of, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("position") == F.col("last")),
+              "left")
+        .repartition(shuffle_partitions(spark), "conv_id")
         .sortWithinPartitions("conv_id", "position")
         .mapInArrow(run, DIGEST_DDL)
     )

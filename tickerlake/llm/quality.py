@@ -22,11 +22,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, id_text, stage, values
+from .common import batches, id_text, smallest, stage, values
 
 ABSTAIN, GOOD, JUNK = 0, 1, 2
 DIM = 1 << 16
-#: Most rows that the linear scorer is fitted on (lowest hashes of text and id).
+#: Most rows that the linear scorer is fitted on (lowest hashes of the id).
 FIT_ROWS = 20_000
 FIT_TASKS = 8
 ROUNDS = 60
@@ -259,7 +259,9 @@ def classify(
     table = df.sparkSession.createDataFrame(
         list(zip(codes.tolist(), post.tolist())), "code long, posterior double")
     fitted = stage(
-        voted.orderBy("key", "id").limit(fit_rows)
+        # keys are 63 bits from the id; rows of one id are told apart by what they hold
+        smallest(voted, (F.col("key") - F.lit(1 << 62)) * 2, ["id", "pattern", "slots", "vals"],
+                 fit_rows)
         .join(F.broadcast(table), F.col("pattern") == F.col("code"))
         .select(F.col("posterior").alias("good"), "slots", "vals").repartition(FIT_TASKS),
         "quality_fit")

@@ -35,8 +35,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     forged = spark.createDataFrame(
         [(-1, 0, "user", FORGED), (-1, 1, "assistant", FORGED)],
         "conv_id long, turn long, role string, text string")
-    turns, _ = chat_format.format_conversations(rows.unionByName(forged))
-    return chat_format.digest(turns)
+    turns, examples = chat_format.format_conversations(rows.unionByName(forged))
+    return chat_format.digest(turns, examples)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, stage, values
+from .common import batches, smallest, stage, values
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -384,7 +384,8 @@ def train(
     rows = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
     sample = stage(  # a bounded number of ids, so their texts are found by a broadcast
         marks.filter(fold(F.col("of")) == CALIBRATION_FOLD)
-        .orderBy(F.xxhash64("of")).limit(calibration_rows), "kn_held_back")
+        .transform(lambda d: smallest(d, F.xxhash64("of"), ["of"], calibration_rows)),
+        "kn_held_back")
     counted = marks.join(F.broadcast(sample.select("of")), "of", "left_anti")
     top = stage(
         rows.filter(fold(F.col("id")) != HELD_OUT_FOLD)
@@ -517,9 +518,15 @@ def score(
     """``df`` with ``out_col``: the probability that the text is toxic (0 to 1).
 
     The score depends on the text alone.  Null and empty texts score like a
-    text without any toxic word.  Every input row gives one row.  Where the
+    text without any toxic word; a very long text is one row like any other.
+    Every input row gives one row, repeated ones too.  A column of the name
+    ``out_col``, in whatever case, is replaced; it can't be the text.  Where the
     model's tables are joined, the texts are read for their words at once.
     """
+    if out_col.lower() == text_col.lower():
+        raise ValueError("the score can't replace the text")
+    df = df.select(*[df[f"`{c.replace('`', '``')}`"] for c in df.columns
+                     if c.lower() != out_col.lower()])
     w0, *rest = model.weights
 
     def add(own: list[str], rates: list[float]) -> tuple[float]:
