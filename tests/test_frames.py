@@ -319,12 +319,16 @@ def test_f10b_one_row_per_key_and_day_files(spark, tmp_dir):
 def test_f10c_unreadable_target_is_an_error(spark, tmp_dir):
     import os
 
-    from tickerlake.operators.upsert import read_table
+    from tickerlake.operators.ledger import read_table
 
     assert read_table(spark, f"{tmp_dir}/nowhere") is None
     os.makedirs(f"{tmp_dir}/empty")
+    assert read_table(spark, f"{tmp_dir}/empty") is None  # no file, no row
+    os.makedirs(f"{tmp_dir}/broken")
+    with open(f"{tmp_dir}/broken/part-0.parquet", "w") as f:
+        f.write("no parquet")
     with pytest.raises(Exception):
-        read_table(spark, f"{tmp_dir}/empty")
+        read_table(spark, f"{tmp_dir}/broken")
 
 
 def test_f10d_high_water_mark_reaches_the_scan(spark, tmp_dir):

@@ -10,9 +10,9 @@ A stored table is parquet partitioned by month of ``date_key``.  A load
 3. reduces them to one row per unique key and stages them once,
 4. replaces target rows that share the key with a staged row and inserts the
    rest -- only inside the months that the staged rows touch,
-5. stages the merged months in the shared folder and overwrites just those
-   partitions of the target (dynamic partition overwrite), so no job reads
-   and overwrites the same files.
+5. writes the merged months once, beside the table, and switches them by a
+   ledger (``ledger``), so no job reads and overwrites the same files and a load
+   that breaks off is finished by the next one.
 
 Stable surrogate keys: symbols already in a stored dimension keep their key;
 new symbols are numbered after the current maximum and appended.
@@ -22,26 +22,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from .ledger import PART_COL, finish, read_table, stage_months, switch
 from .row_number import dense_keys, global_row_number
 
-PART_COL = "month_key"
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, None where its path doesn't exist.  Anything else that
-    can't be read (an empty folder, say, after a load that broke off) raises."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
 
 def high_water_mark(target: DataFrame, col: str = "date_key"):
     """``select max(col) from target`` as a Python scalar (one aggregate row).
@@ -90,7 +77,7 @@ def incoming_rows(
 
 
 def one_per_key(rows: DataFrame, unique_key: list[str], load_order: list[str] | None = None) -> DataFrame:
-    """One row per key: the largest by ``load_order``, then by the remaining
+    """One row per key: the last by ``load_order``, then the largest by the remaining
     columns in their order (nulls smallest).  A partial aggregate, so a key
     with very many rows is reduced before the shuffle."""
     first = load_order or []
@@ -102,17 +89,28 @@ def one_per_key(rows: DataFrame, unique_key: list[str], load_order: list[str] |
     )
 
 
-def _write_partitioned(df: DataFrame, path: str, mode: str) -> None:
-    # range-partition on (month, day) first: each month lands in one or a few
-    # files (not one per writing task), while a large month is still split
-    (
-        df.withColumn(PART_COL, (F.col("date_key") / 100).cast("int"))
-        .repartitionByRange(PART_COL, "date_key")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PART_COL)
-        .parquet(path)
-    )
+def merge(
+    spark: SparkSession, batch: DataFrame, target_path: str, unique_key: list[str]
+) -> list[int]:
+    """Merge a stored batch of one row per key into the table; returns its months.
+
+    Inside the touched months the target's rows that share a key are replaced and
+    the others kept; no other month is read.  The merged months are written once
+    and switched through the ledger (``ledger``)."""
+    finish(spark, target_path)
+    target = read_table(spark, target_path)
+    cols = batch.columns
+    if target is not None:
+        # the months a load touches are few (bounded by the calendar): list them
+        # so the target read is pruned to those partitions
+        month = (F.col("date_key") / 100).cast("int")
+        months = [r["m"] for r in batch.select(month.alias("m")).distinct().collect()]
+        old = target.filter(F.col(PART_COL).isin(months)).select(*cols)
+        batch = old.join(batch.select(*unique_key), unique_key, "left_anti").select(
+            *cols).unionByName(batch)
+        if not months:
+            return []
+    return switch(spark, target_path, stage_months(batch, target_path))
 
 
 def upsert(
@@ -128,31 +126,25 @@ def upsert(
 
     ``high_water=False`` merges every row of ``source`` on the unique key,
     whatever the table's last day (micro-batches, feeds filtered before).  Of
-    several rows with one key the largest by ``load_order`` is loaded.
+    several rows with one key the last by ``load_order`` is loaded, of such ties
+    the largest by the remaining columns; the load order is not stored.  A load
+    without rows changes nothing: a table that doesn't exist still doesn't, and
+    an empty frame is returned.
     """
-    cols = source.columns
+    cols = [c for c in source.columns if c not in (load_order or [])]
+    finish(spark, target_path)
     target = read_table(spark, target_path)
     if high_water:
         source = incoming_rows(source, target, lookback_days=lookback_days)
-    incoming = one_per_key(source, unique_key, load_order)
+    incoming = one_per_key(source, unique_key, load_order).select(*cols)
     if target is None:
-        _write_partitioned(incoming, target_path, "overwrite")
-        return read_table(spark, target_path).select(*cols)
-    batch_path = shared_path(spark, "batch")
-    incoming.withColumn(PART_COL, (F.col("date_key") / 100).cast("int")).write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
-    # the months a load touches are few (bounded by the calendar): list them
-    # so the target read is pruned to those partitions
-    months = [r[PART_COL] for r in batch.select(PART_COL).distinct().collect()]
-    if not months:
-        return target.select(*cols)
-    old = target.filter(F.col(PART_COL).isin(months))
-    kept = old.join(batch.select(*unique_key), unique_key, "left_anti")
-    merged = kept.select(*cols).unionByName(batch.select(*cols))
-    stage = shared_path(spark, "stage")
-    merged.write.mode("overwrite").parquet(stage)
-    _write_partitioned(spark.read.parquet(stage), target_path, "overwrite")
-    return read_table(spark, target_path).select(*cols)
+        switch(spark, target_path, stage_months(incoming, target_path))
+    else:
+        batch_path = shared_path(spark, "batch")
+        incoming.write.parquet(batch_path)
+        merge(spark, spark.read.schema(incoming.schema).parquet(batch_path), target_path, unique_key)
+    stored = read_table(spark, target_path)
+    return spark.createDataFrame([], incoming.schema) if stored is None else stored.select(*cols)
 
 
 def stable_stock_keys(spark: SparkSession, raw_stocks: DataFrame, dim_path: str) -> DataFrame:
@@ -163,7 +155,10 @@ def stable_stock_keys(spark: SparkSession, raw_stocks: DataFrame, dim_path: str)
     """
     current = read_table(spark, dim_path)
     if current is None:
-        dense_keys(raw_stocks, "symbol", "stock_key").write.mode("overwrite").parquet(dim_path)
+        first = dense_keys(raw_stocks, "symbol", "stock_key")
+        if first.isEmpty():  # nothing is stored for a load without rows
+            return first
+        first.write.mode("overwrite").parquet(dim_path)
         return spark.read.parquet(dim_path)
     base = current.agg(F.max("stock_key").alias("m")).first()["m"] or 0
     seen = current.select(F.col("symbol").alias("known"))

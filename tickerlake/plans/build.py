@@ -19,7 +19,7 @@ from ..functions import with_month
 from ..operators import series
 from ..session import shared_path
 from ..sources import fixtures, raw
-from . import features, marts, ml, templates, warehouse
+from . import features, incremental, marts, ml, templates, warehouse
 
 
 class Build:
@@ -168,6 +168,11 @@ class Build:
             "price_features",
         )
 
+    @cached_property
+    def market_store(self) -> incremental.MarketStore:
+        """A store brought to the same bars by three loads, one with corrections."""
+        return incremental.three_loads(self)
+
     def stock_technical(self) -> DataFrame:
         return features.stock_technical(self.price_feature_table)
 

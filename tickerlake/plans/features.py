@@ -56,6 +56,7 @@ def stock_base(fact: DataFrame, dim: DataFrame) -> DataFrame:
         "volume",
         safe_div(F.col("close_price") - F.col("open_price"), "open_price").alias("daily_return"),
         (F.col("high_price") - F.col("low_price")).alias("price_range"),
+        *[c for c in ("carried_max", "carried_first") if c in fact.columns],
     )
 
 
@@ -103,6 +104,10 @@ def price_features(
     chunks (``operators.series``).  Partitioning by ``stock_key`` (default,
     a long: cheaper to hash and sort) or by ``symbol`` gives the same rows
     (the dimension maps them one to one).
+
+    A series that begins later than the stock's own (an incremental load) brings
+    what came before it: ``carried_first`` and ``carried_max`` in ``base`` are the
+    first close and the largest close of the stock's earlier rows, null without any.
     """
     joined = base.join(
         index.select("date_key", "index_return", "index_var_20", "index_rolling_return_20"),
@@ -136,6 +141,11 @@ def price_features(
     )
     s1 = sr.with_first(s1, "close_price", "first_close")
     s1 = sr.with_running_max(s1, "close_price", "running_max_close")
+    if "carried_max" in base.columns:
+        s1 = s1.withColumns({
+            "first_close": F.coalesce("carried_first", "first_close"),
+            "running_max_close": F.greatest("carried_max", "running_max_close"),
+        })
     prev = F.col("prev_close")
     s2 = s1.select(
         "*",

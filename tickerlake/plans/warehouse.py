@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,9 +55,13 @@ def dim_news(raw_news: DataFrame) -> DataFrame:
     )
 
 
-def weather_source(raw_weather: DataFrame) -> DataFrame:
-    return raw_weather.filter(F.col("raw_date").isNotNull()).select(
-        date_key(F.to_date("raw_date")).alias("date_key"),
+def weather_source(raw_weather: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Observations with a day; a day given as text that is no date counts as none."""
+    day = F.col("raw_date")
+    if dict(raw_weather.dtypes)["raw_date"] == "string":
+        day = F.try_to_date(day)
+    return raw_weather.filter(day.isNotNull()).select(
+        date_key(day).alias("date_key"),
         "city",
         "appt_max",
         "appt_min",
@@ -68,16 +74,18 @@ def weather_source(raw_weather: DataFrame) -> DataFrame:
         "sunset",
         "daylight_duration",
         "temp_range_c",
+        *extra,
     )
 
 
-def dim_weather(raw_weather: DataFrame) -> DataFrame:
-    """One row per (city, day) with a SHA-256 ``weather_key`` (full build)."""
-    src = weather_source(raw_weather)
+def dim_weather(raw_weather: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """One row per (city, day) with a SHA-256 ``weather_key`` (full build);
+    ``extra`` columns of the feed go along."""
+    src = weather_source(raw_weather, extra)
     return src.select(weather_key("city", "date_key").alias("weather_key"), *src.columns)
 
 
-def stock_source(raw_stocks: DataFrame) -> DataFrame:
+def stock_source(raw_stocks: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     return raw_stocks.filter(F.col("datetime").isNotNull()).select(
         date_key("datetime").alias("date_key"),
         "symbol",
@@ -86,18 +94,19 @@ def stock_source(raw_stocks: DataFrame) -> DataFrame:
         F.col("low").alias("low_price"),
         F.col("close").alias("close_price"),
         "volume",
+        *extra,
     )
 
 
-def fact_stock(raw_stocks: DataFrame, dim: DataFrame) -> DataFrame:
+def fact_stock(raw_stocks: DataFrame, dim: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Daily bars keyed by (stock_key, date_key) (full build).
 
     The dimension has one row per symbol; AQE turns the join into a
     broadcast at run time when the dimension is small, and keeps a shuffle
     join otherwise.
     """
-    src = stock_source(raw_stocks)
-    return src.join(dim.select("stock_key", "symbol"), "symbol").select(*FACT_COLS)
+    src = stock_source(raw_stocks, extra)
+    return src.join(dim.select("stock_key", "symbol"), "symbol").select(*FACT_COLS, *extra)
 
 
 def bridge_daily_news(raw_news: DataFrame, dim: DataFrame) -> DataFrame:

@@ -61,6 +61,17 @@ ML = (
     "news_count_roll_5:d return_x_temp:d return_x_news:d vol_x_news:d"
 )
 
+FEATURES = RISK + PERF.removeprefix(TECH)
+PROFILE = (
+    "symbol:s first_seen_date:t last_seen_date:t total_trading_days:l all_time_high:d "
+    "all_time_low:d avg_close_price:d avg_daily_volume:d"
+)
+VOLATILITY = (
+    "symbol:s trading_days:l first_trade_date:t last_trade_date:t period_high:d period_low:d "
+    "avg_close:d avg_daily_volume:d total_volume:l avg_daily_range:d return_volatility:d "
+    "avg_daily_return_pct:d up_days:l down_days:l"
+)
+
 TECH_COLS = ", ".join(n for n, _ in contract.parse_spec(TECH))
 
 
@@ -146,8 +157,7 @@ QUERIES: list[Query] = [
     Query(
         "symbol_profile",
         lambda b: b.symbol_profile,
-        "symbol:s first_seen_date:t last_seen_date:t total_trading_days:l all_time_high:d "
-        "all_time_low:d avg_close_price:d avg_daily_volume:d",
+        PROFILE,
         "SELECT * FROM symbol_profile",
     ),
     Query(
@@ -182,9 +192,7 @@ QUERIES: list[Query] = [
     Query(
         "volatility_metrics",
         lambda b: b.volatility_metrics,
-        "symbol:s trading_days:l first_trade_date:t last_trade_date:t period_high:d period_low:d "
-        "avg_close:d avg_daily_volume:d total_volume:l avg_daily_range:d return_volatility:d "
-        "avg_daily_return_pct:d up_days:l down_days:l",
+        VOLATILITY,
         "SELECT * FROM volatility_metrics",
     ),
     Query("ml_features", lambda b: b.ml_features(), ML, f"SELECT {_cols(ML)} FROM ml_features"),
@@ -268,7 +276,7 @@ QUERIES: list[Query] = [
     Query(
         "report_preview_news",
         lambda b: reports.preview(b.raw_news, ["id", "datetime"]),
-        "id:l headline:s category:s source:s related:s summary:s url:s image:s",
+        "id:l headline:s datetime:s category:s source:s related:s summary:s url:s image:s",
         """SELECT * FROM raw_news ORDER BY id NULLS LAST, datetime NULLS LAST LIMIT 10""",
     ),
     Query(
@@ -349,6 +357,24 @@ QUERIES: list[Query] = [
         WEATHER_DIM,
         "SELECT * FROM dim_weather",
     ),
+    # three loads, the last with corrections of the first: what follows the fact is
+    # brought up to date from what changed, and equals the full build
+    Query(
+        "incremental_fact_corrected", lambda b: b.market_store.fact_stock(), FACT,
+        "SELECT * FROM fact_stock",
+    ),
+    Query(
+        "incremental_features", lambda b: b.market_store.price_features(), FEATURES,
+        f"SELECT {_cols(FEATURES)} FROM px",
+    ),
+    Query(
+        "incremental_profile", lambda b: b.market_store.symbol_profile(), PROFILE,
+        "SELECT * FROM symbol_profile",
+    ),
+    Query(
+        "incremental_volatility", lambda b: b.market_store.volatility_metrics(), VOLATILITY,
+        "SELECT * FROM volatility_metrics",
+    ),
 ]
 
 BY_NAME = {q.name: q for q in QUERIES}

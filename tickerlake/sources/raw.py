@@ -81,12 +81,34 @@ def raw_stocks(feed: DataFrame) -> DataFrame:
 
 
 def raw_weather(feed: DataFrame) -> DataFrame:
-    return feed.select(*[feed[src].alias(dst) for src, dst in WEATHER_RENAMES])
+    return feed.select(*[feed[src].alias(dst) for src, dst in WEATHER_RENAMES], *load_order(feed))
 
 
-def read_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Read a stored feed with a declared schema (parquet, json, csv, orc)."""
+#: Tells which of two records of a feed came later: the larger one.
+LOAD_SEQ = "load_seq"
+
+
+def load_order(feed: DataFrame) -> list[str]:
+    """The load sequence, of feeds that have one."""
+    return [LOAD_SEQ] if LOAD_SEQ in feed.columns else []
+
+
+def with_load_seq(feed: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """A feed read from files with its load sequence: when a file was written, its
+    name, and in parquet files the row's place in it.  Goes on the reader (or
+    stream reader) directly, where the files are still known."""
+    place = "_metadata.row_index" if fmt == "parquet" else "cast(0 as bigint)"
+    return feed.selectExpr(
+        "*", f"struct(_metadata.file_modification_time as written, _metadata.file_path as file, "
+             f"{place} as place) as {LOAD_SEQ}")
+
+
+def read_feed(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+              load_seq: bool = False) -> DataFrame:
+    """Read a stored feed with a declared schema (parquet, json, csv, orc), with
+    its load sequence where that is asked for."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", "true")
-    return reader.format(fmt).load(path)
+    feed = reader.format(fmt).load(path)
+    return with_load_seq(feed, fmt) if load_seq else feed
