@@ -3,7 +3,8 @@
 All price statistics are ROWS frames over one stock's series ordered by
 ``date_key`` and are computed in one pass, so the whole stock series crosses
 the network once (one hash exchange on the stock key) however many
-indicators there are.
+indicators there are.  Their cost doesn't grow with the frames' lengths
+(``functions.sliding``).
 
 Benchmark statistics (index variance, index 20-day return) are computed on the
 benchmark's own series -- one row per trading day -- and joined by date, rather
@@ -12,11 +13,13 @@ than with a window over all symbols' rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import safe_div, trailing
-from ..functions.windows import ordered, rolling_corr
+from ..functions import sliding
+from ..functions.sliding import Frame
+from ..functions.windows import ordered
 from ..operators import series
 from ..sources.fixtures import BENCHMARK_SYMBOL
 
@@ -40,6 +43,13 @@ NEWS_FEATURE_COLS = [
     "date_key", "symbol", "news_count", "news_zscore_20", "volume_zscore_20",
     "news_vs_volume_zscore", "vol_news_corr_20",
 ]
+# Volume statistics of the news mart span 21 bars.
+VOLUME_FRAME = Frame("moments", ("volume",), 21,
+                     {"avg_volume_20": sliding.mean, "std_volume_20": sliding.stddev})
+
+
+def volume_z() -> Column:
+    return safe_div(F.col("volume") - F.col("avg_volume_20"), "std_volume_20")
 
 
 def stock_base(fact: DataFrame, dim: DataFrame) -> DataFrame:
@@ -116,29 +126,34 @@ def price_features(
     )
     sr = series.prepare(joined, part, "date_key", back=49, chunk_rows=chunk_rows, largest=largest)
     P, O = sr.part, sr.order
-    w5, w12, w14, w20, w21, w26, w50 = (trailing(P, n, O) for n in (4, 11, 13, 19, 20, 25, 49))
     w0 = ordered(P, O)
     close = F.col("close_price")
-    s1 = sr.df.select(
+    s0 = sr.df.select(
         "*",
-        F.avg(close).over(w5).alias("ma_5"),
-        F.avg(close).over(w20).alias("ma_20"),
-        F.avg(close).over(w50).alias("ma_50"),
-        F.stddev_samp("daily_return").over(w20).alias("vol_20"),
-        F.avg(close).over(w12).alias("ema_12"),
-        F.avg(close).over(w26).alias("ema_26"),
         F.lag(close, 1).over(w0).alias("prev_close"),
         F.lag(close, 20).over(w0).alias("close_lag_20"),
-        F.covar_samp("daily_return", "index_return").over(w20).alias("covar_20"),
-        F.avg("daily_return").over(w20).alias("avg_return_20"),
-        F.max("high_price").over(w20).alias("resistance_level"),
-        F.min("low_price").over(w20).alias("support_level"),
-        F.max("high_price").over(ordered(P, O).rowsBetween(-20, -1)).alias("prior_high_20"),
-        # volume statistics of the news mart span 21 bars
-        safe_div(
-            F.col("volume") - F.avg("volume").over(w21), F.stddev_samp("volume").over(w21)
-        ).alias("volume_zscore_20"),
     )
+    s0 = s0.select(
+        "*",
+        F.when(close > F.col("prev_close"), close - F.col("prev_close"))
+        .otherwise(F.lit(0.0)).alias("gain"),
+        F.when(close < F.col("prev_close"), F.col("prev_close") - close)
+        .otherwise(F.lit(0.0)).alias("loss"),
+    )
+    means = {"ma_5": 5, "ma_20": 20, "ma_50": 50, "ema_12": 12, "ema_26": 26}
+    s1 = sliding.sliding(s0, P, O, [
+        *[Frame("sum", ("close_price",), n, {out: sliding.avg}) for out, n in means.items()],
+        Frame("sum", ("gain",), 14, {"avg_gain": sliding.avg}),
+        Frame("sum", ("loss",), 14, {"avg_loss": sliding.avg}),
+        Frame("moments", ("daily_return",), 20,
+              {"avg_return_20": sliding.mean, "vol_20": sliding.stddev}),
+        Frame("covar", ("daily_return", "index_return"), 20, {"covar_20": sliding.covar}),
+        Frame("max", ("high_price",), 20, {"resistance_level": sliding.extreme}),
+        Frame("min", ("low_price",), 20, {"support_level": sliding.extreme}),
+        Frame("max", ("high_price",), 20, {"prior_high_20": sliding.extreme}, behind=1),
+        VOLUME_FRAME,
+    ])
+    s1 = s1.withColumn("volume_zscore_20", volume_z())
     s1 = sr.with_first(s1, "close_price", "first_close")
     s1 = sr.with_running_max(s1, "close_price", "running_max_close")
     if "carried_max" in base.columns:
@@ -146,20 +161,9 @@ def price_features(
             "first_close": F.coalesce("carried_first", "first_close"),
             "running_max_close": F.greatest("carried_max", "running_max_close"),
         })
-    prev = F.col("prev_close")
-    s2 = s1.select(
+    out = s1.select(
         "*",
         (F.col("ema_12") - F.col("ema_26")).alias("macd_line"),
-        F.when(close > prev, close - prev).otherwise(F.lit(0.0)).alias("gain"),
-        F.when(close < prev, prev - close).otherwise(F.lit(0.0)).alias("loss"),
-    )
-    s3 = s2.select(
-        "*",
-        F.avg("gain").over(w14).alias("avg_gain"),
-        F.avg("loss").over(w14).alias("avg_loss"),
-    )
-    out = s3.select(
-        "*",
         F.when(F.col("avg_loss") == 0, F.lit(100.0))
         .otherwise(100 - 100 / (1 + safe_div("avg_gain", "avg_loss")))
         .alias("rsi_14"),
@@ -210,12 +214,8 @@ def volume_zscores(base: DataFrame, chunk_rows: int | None = series.DEFAULT_CHUN
                    largest: int | None = None) -> DataFrame:
     sr = series.prepare(base.select("date_key", "symbol", "volume"), "symbol", back=20,
                         chunk_rows=chunk_rows, largest=largest)
-    w = trailing(sr.part, 20, sr.order)
-    v = F.col("volume")
-    out = sr.df.select(
-        "*",
-        safe_div(v - F.avg(v).over(w), F.stddev_samp(v).over(w)).alias("volume_zscore_20"),
-    )
+    out = sliding.sliding(sr.df, sr.part, sr.order, [VOLUME_FRAME]).withColumn(
+        "volume_zscore_20", volume_z())
     return sr.own(out).select("date_key", "symbol", "volume", "volume_zscore_20")
 
 
@@ -238,22 +238,20 @@ def news_features(dim_news: DataFrame, base: DataFrame,
     if chunk_rows is not None and largest_news is None:
         largest_news = series.largest_key(counts, "symbol")
     nz = series.prepare(counts, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)
-    wn = trailing(nz.part, 20, nz.order)
-    n = F.col("news_count")
-    news_z = nz.own(
-        nz.df.select(
-            "*",
-            safe_div(n - F.avg(n).over(wn), F.stddev_samp(n).over(wn)).alias("news_zscore_20"),
-        )
-    )
+    framed = sliding.sliding(nz.df, nz.part, nz.order, [Frame(
+        "moments", ("news_count",), 21,
+        {"avg_news_20": sliding.mean, "std_news_20": sliding.stddev})])
+    news_z = nz.own(framed.withColumn("news_zscore_20", safe_div(
+        F.col("news_count") - F.col("avg_news_20"), "std_news_20"))).drop(
+            "avg_news_20", "std_news_20")
     if volume_z is None:
         volume_z = volume_zscores(base, chunk_rows, largest_stock)
     volume_z = volume_z.select("date_key", "symbol", "volume", "volume_zscore_20")
     joined = news_z.join(volume_z, ["date_key", "symbol"], "left")
     # one row per news day when the bars keep their grain: size as the news series
     sr = series.prepare(joined, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)
-    w = trailing(sr.part, 20, sr.order)
-    out = sr.df.select("*", rolling_corr("news_count", "volume", w).alias("vol_news_corr_20"))
+    out = sliding.sliding(sr.df, sr.part, sr.order, [Frame(
+        "pair", ("news_count", "volume"), 21, {"vol_news_corr_20": sliding.corr})])
     return sr.own(out).select(
         "date_key",
         "symbol",
