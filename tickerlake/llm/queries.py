@@ -126,6 +126,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
+
+def _chat_sql(template: chat_format.Template = chat_format.Template()) -> str:
+    """The contract stated on the turns: an escaped string is longer by one for every
+    control string in it."""
+    t = template
+    marks = len(t.begin) + len(t.between) + len(t.end)
+    pattern = t._pattern(r"\\*")
+
+    def written(c: str) -> str:
+        return f"length({c}) + len(regexp_extract_all({c}, '{pattern}'))"
+
+    trained = f"role = '{t.trained_role}'"
+    return f"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '{FORGED}'
+            UNION ALL SELECT -1, 1, 'assistant', '{FORGED}'
+        ), w AS (
+            SELECT *, {marks} + {written('role')} + {written('text')} AS chars FROM r
+        ), e AS (
+            SELECT *, sum(chars) OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+            FROM w
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), ''
+                                 ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(CASE WHEN {trained} THEN length(text) END), 0) AS BIGINT)
+                   AS loss_chars,
+               sha256(string_agg(CASE WHEN {trained} THEN text ELSE '' END, ''
+                                 ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+               CAST(sum(chars) AS BIGINT) AS formatted_chars,
+               count(CASE WHEN {trained} THEN 1 END) AS n_examples,
+               CAST(coalesce(sum(CASE WHEN {trained} THEN upto END), 0) AS BIGINT)
+                   AS examples_chars
+        FROM e GROUP BY conv_id"""
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": f"""
         WITH t AS (
@@ -139,4 +179,5 @@ SQL: dict[str, str] = {
                sha256(content) AS text_sha256
         FROM t""",
     "op6_secrets": secrets.report_sql(),
+    "op1_chat_format": _chat_sql(),
 }
