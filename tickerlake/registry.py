@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import contract, oracle
 from .operators import quality
-from .plans import reports
+from .plans import intake, reports
 from .plans.build import Build
 from .plans.incremental import incremental_dim_weather, incremental_fact
 
@@ -279,6 +279,23 @@ QUERIES: list[Query] = [
         "id:l headline:s datetime:s category:s source:s related:s summary:s url:s image:s",
         """SELECT * FROM raw_news ORDER BY id NULLS LAST, datetime NULLS LAST LIMIT 10""",
     ),
+    Query(
+        "intake_stocks",
+        intake.intake_stocks,
+        "symbol:s datetime:t open:d high:d low:d close:d volume:l currency:s reasons:a",
+        """SELECT CASE WHEN messy NOT IN (2, 4) THEN symbol END AS symbol,
+                  CASE WHEN messy NOT IN (0, 4) THEN CAST(datetime AS DATE) END AS datetime,
+                  CASE WHEN messy <> 4 THEN open END AS open,
+                  CASE WHEN messy <> 4 THEN high END AS high,
+                  CASE WHEN messy <> 4 THEN low END AS low,
+                  CASE WHEN messy NOT IN (1, 4) THEN close END AS close,
+                  CASE WHEN messy = 3 THEN -volume - 1 WHEN messy <> 4 THEN volume END AS volume,
+                  CASE WHEN messy <> 4 AND year(datetime) % 3 = 2 THEN 'USD' END AS currency,
+                  CASE messy WHEN 0 THEN ['bad datetime'] WHEN 1 THEN ['bad close']
+                             WHEN 2 THEN ['missing symbol'] WHEN 3 THEN ['rule volume']
+                             WHEN 4 THEN ['unreadable'] ELSE CAST([] AS VARCHAR[]) END AS reasons
+           FROM (SELECT *, volume % 50 AS messy FROM raw_stocks) AS s""",
+    ),
     Query(
         "load_counts",
         lambda b: reports.load_counts(

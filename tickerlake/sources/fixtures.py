@@ -191,6 +191,39 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+# Remainders of the volume by MESSY_EVERY that a messy record has, and
+# the years' remainders by 3 whose records have other names, or a column more.
+MESSY_EVERY = 50
+BAD_DAY, BAD_CLOSE, NO_SYMBOL, NEGATIVE_VOLUME, CUT_OFF = range(5)
+OTHER_NAMES, MORE_COLUMNS = 1, 2
+
+
+def messy_stock_lines(bars: DataFrame) -> DataFrame:
+    """The stock bars as lines of JSON text (``value``), as a feed that has changed
+    over the years and has bad records: columns renamed, one added, days spelt
+    in two ways; days and prices that are none, missing symbols, negative
+    volumes, lines that break off."""
+    messy = F.col("volume") % MESSY_EVERY
+    shape = F.year("datetime") % 3
+    symbol = F.when(messy != NO_SYMBOL, F.col("symbol"))
+    day = F.when(messy == BAD_DAY, F.lit("n/a")).when(
+        shape == OTHER_NAMES, F.date_format("datetime", "dd.MM.yyyy")
+    ).otherwise(F.date_format("datetime", "yyyy-MM-dd"))
+    close = F.when(messy == BAD_CLOSE, F.lit("1,5")).otherwise(F.col("close").cast("string"))
+    volume = F.when(messy == NEGATIVE_VOLUME, -F.col("volume") - 1).otherwise(F.col("volume"))
+    prices = [F.col(c) for c in ("open", "high", "low")] + [close.alias("close")]
+    text = F.when(shape == OTHER_NAMES, F.to_json(F.struct(
+        symbol.alias("ticker"), day.alias("date"), *prices, volume.alias("vol")
+    ))).when(shape == MORE_COLUMNS, F.to_json(F.struct(
+        symbol.alias("symbol"), F.lit("USD").alias("currency"), day.alias("datetime"), *prices,
+        volume.alias("volume")
+    ))).otherwise(F.to_json(F.struct(
+        symbol.alias("symbol"), day.alias("datetime"), *prices, volume.alias("volume"))))
+    whole = bars.select(messy.alias("messy"), text.alias("text"))
+    cut = F.substring("text", F.lit(1), F.length("text") - 1)
+    return whole.select(F.when(F.col("messy") == CUT_OFF, cut).otherwise(F.col("text")).alias("value"))
+
+
 def replicate_symbols(feeds: dict[str, DataFrame], copies: int) -> dict[str, DataFrame]:
     """Scale-out copies of the stock and news feeds for benchmarks: every
     symbol ``s`` is kept and gets copies ``s~1 .. s~{copies-1}`` with the same
