@@ -21,8 +21,10 @@ from ..sources.raw import (
 )
 
 
-def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool,
+           mode: str = "append") -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(handle).outputMode(mode).option(
+        "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute"
     )
