@@ -55,8 +55,9 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.substring_dedup(
-        read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    # which earlier document a factor names depends on how rows are dealt: n_factors stays out
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +167,81 @@ def _chat_sql(template: chat_format.Template = chat_format.Template()) -> str:
         FROM e GROUP BY conv_id"""
 
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _substring_sql(least: int = substring_dedup.LEAST) -> str:
+    """Every window under the smallest id that has it; a word goes with any of the
+    windows that cover it."""
+    return f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents
+        ), w AS (
+            SELECT doc_id, p, sha256(array_to_string(words[p:p + {least - 1}], ' ')) AS content
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - {least - 2})) AS p FROM d) AS x
+        ), f AS (
+            SELECT content, min(doc_id) AS first_id FROM w GROUP BY content
+        ), h AS (
+            SELECT w.doc_id, w.p FROM w JOIN f USING (content) WHERE f.first_id < w.doc_id
+        ), g AS (
+            SELECT t.doc_id, t.p, t.word,
+                   max(h.p) OVER (PARTITION BY t.doc_id ORDER BY t.p
+                                  ROWS BETWEEN {least - 1} PRECEDING AND CURRENT ROW) AS hit
+            FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p
+                  FROM d) AS t
+            LEFT JOIN h ON h.doc_id = t.doc_id AND h.p = t.p
+        ), k AS (
+            SELECT doc_id, count(hit) AS n_removed,
+                   string_agg(word, ' ' ORDER BY p) FILTER (WHERE hit IS NULL) AS kept
+            FROM g GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.words) AS n_words, coalesce(k.n_removed, 0) AS n_removed,
+               sha256(coalesce(k.kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)"""
+
+
+def _jaccard_sql(words: int = jaccard_rtree.WORDS, num: int = jaccard_rtree.NUM,
+                 den: int = jaccard_rtree.DEN) -> str:
+    """Pairs of different sets by their common shingles; components by the smallest
+    id that reaches a set."""
+    return f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS words
+            FROM documents
+        ), s AS (
+            SELECT doc_id, list_sort(list_distinct(
+                CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[])
+                     WHEN len(words) < {words} THEN [array_to_string(words, ' ')]
+                     ELSE list_transform(range(1, len(words) - {words - 2}),
+                                         lambda p: array_to_string(words[p:p + {words - 1}], ' '))
+                END)) AS shingles
+            FROM d
+        ), m AS (
+            SELECT doc_id, shingles, len(shingles) AS n,
+                   CASE WHEN len(shingles) = 0 THEN doc_id
+                        ELSE min(doc_id) OVER (PARTITION BY shingles) END AS set_id
+            FROM s
+        ), t AS (
+            SELECT set_id, n, unnest(shingles) AS shingle FROM m WHERE set_id = doc_id
+        ), l AS (
+            SELECT a.set_id AS a, b.set_id AS b
+            FROM t a JOIN t b ON a.shingle = b.shingle AND a.set_id < b.set_id
+                 AND {den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n)
+            GROUP BY 1, 2
+            HAVING {den} * count(*) >= {num} * (max(a.n) + max(b.n) - count(*))
+        ), e AS (
+            SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+        ), r(set_id, reached) AS (
+            SELECT DISTINCT set_id, set_id FROM m
+            UNION SELECT r.set_id, e.b FROM r JOIN e ON e.a = r.reached
+        ), c AS (
+            SELECT set_id, min(reached) AS component_id FROM r GROUP BY set_id
+        )
+        SELECT m.doc_id, m.n AS n_shingles, c.component_id FROM m JOIN c USING (set_id)"""
+
+
 SQL: dict[str, str] = {
     "op2_exact_dedup": f"""
         WITH t AS (
@@ -180,4 +256,6 @@ SQL: dict[str, str] = {
         FROM t""",
     "op6_secrets": secrets.report_sql(),
     "op1_chat_format": _chat_sql(),
+    "op5_substring_dedup": _substring_sql(),
+    "op13_jaccard_join": _jaccard_sql(),
 }

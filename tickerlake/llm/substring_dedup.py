@@ -15,9 +15,16 @@ their hashes, 128 bits a window together.  Records meet in one shuffle by
 anchor, sorted by id, so the first that brings a window is its smallest id.
 
 Where very many documents share a passage, each task resolves what it has seen
-in a smaller id itself before the shuffle, and a reading task holds a bounded
-number of distinct windows of an anchor; windows beyond go to an aggregate and
-a join of their own, which Spark can split.
+in a smaller id itself before the shuffle and deals these records by their
+document, so that an anchor's task gets the rest: about one record of every sending
+task for each way the passage is cut.  A reading task holds a bounded number
+of distinct windows of an anchor; windows beyond go to an aggregate and a join
+of their own, which Spark can split.
+
+A resolved record names the smallest id that its task has seen, which need not be
+the smallest of all.  So the removed words are the same however rows are dealt,
+and the earlier document that a factor names (and with it where one factor
+ends and the next begins) is one that has its words, not always the same.
 """
 
 from __future__ import annotations
@@ -94,7 +101,9 @@ def _send(least: int, gram: int, sent: int):
                                 old, young = young, {}
                             young[key] = first
                         if first < own:  # a smaller id has gone out with the same windows
-                            yield (anchor, doc_id, h, start, offset, None, len(windows) // 8, first)
+                            # nothing is left to look up, so it is dealt by its document
+                            dealt = h ^ start if doc_id is None else doc_id
+                            yield (dealt, doc_id, h, start, offset, None, len(windows) // 8, first)
                             continue
                         young[key] = own
                         yield anchor, doc_id, h, start, offset, windows, len(windows) // 8, None
