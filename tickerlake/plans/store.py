@@ -6,6 +6,7 @@ behind the fact is brought up to date from the delta:
 
 * the fact's touched months are merged;
 * the month states of the touched months are computed anew;
+* the delta's stocks are added to the bitmaps of stocks by day;
 * the benchmark's series is computed anew from its first changed day;
 * each stock's features are computed anew from its first changed day, where a
   changed benchmark changes every stock.  A stock's rows are read from the month
@@ -26,7 +27,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import moments, series
+from ..operators import bitmaps, moments, series
 from ..operators.ledger import PART_COL, Files, finish, read_table, replace_months
 from ..operators.upsert import merge, one_per_key, stable_stock_keys
 from ..sources.fixtures import BENCHMARK_SYMBOL
@@ -40,7 +41,8 @@ INDEX_HALO = 20
 
 
 class MarketStore:
-    """Fact, month states, benchmark series and price features under one folder."""
+    """Fact, month states, stocks by day, benchmark series and price features under
+    one folder."""
 
     def __init__(self, spark: SparkSession, root: str, benchmark: str = BENCHMARK_SYMBOL,
                  chunk_rows: int | None = series.DEFAULT_CHUNK_ROWS):
@@ -52,7 +54,7 @@ class MarketStore:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
-        """A stored table: dim, fact, states, index, features."""
+        """A stored table: dim, fact, states, tracked, index, features."""
         df = read_table(self.spark, self._path(name))
         if df is None:
             raise ValueError(f"no load has written {name} yet")
@@ -99,6 +101,9 @@ class MarketStore:
         merge(self.spark, delta, self._path("fact"), KEY)
         fact = self.table("fact").filter(F.col(PART_COL).isin(months))
         replace_months(self.spark, moments.month_states(fact), self._path("states"))
+        tracked = self._path("tracked")
+        behind = read_table(self.spark, tracked) is None  # the first load, or a store without bitmaps
+        bitmaps.add_days(self.spark, self.table("fact") if behind else delta, tracked, "stock_key")
         self._features(delta, self._index(delta))
 
     @staticmethod
@@ -187,6 +192,11 @@ class MarketStore:
     def fact_stock(self) -> DataFrame:
         return self.table("fact").select(*warehouse.FACT_COLS)
 
+    def stocks_tracked(self) -> DataFrame:
+        """Distinct stocks with a bar on every day, in every month and year."""
+        finish(self.spark, self._path("tracked"))
+        return bitmaps.counts_by_span(self.table("tracked"), "stocks_tracked")
+
     def symbol_profile(self) -> DataFrame:
         return moments.symbol_profile(self.table("states"), self.table("dim"))
 

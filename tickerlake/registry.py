@@ -392,6 +392,16 @@ QUERIES: list[Query] = [
         "incremental_volatility", lambda b: b.market_store.volatility_metrics(), VOLATILITY,
         "SELECT * FROM volatility_metrics",
     ),
+    Query(
+        "incremental_stocks_tracked", lambda b: b.market_store.stocks_tracked(),
+        "span:s start_key:i stocks_tracked:l",
+        """SELECT 'day' AS span, date_key AS start_key, count(DISTINCT stock_key) AS stocks_tracked
+           FROM fact_stock GROUP BY date_key
+           UNION ALL SELECT 'month', date_key // 100 * 100 + 1, count(DISTINCT stock_key)
+           FROM fact_stock GROUP BY date_key // 100
+           UNION ALL SELECT 'year', date_key // 10000 * 10000 + 101, count(DISTINCT stock_key)
+           FROM fact_stock GROUP BY date_key // 10000""",
+    ),
 ]
 
 BY_NAME = {q.name: q for q in QUERIES}
