@@ -10,6 +10,10 @@ there any more has been.  A table has one writer at a time.
 
 Moves are renames inside one folder of the table's file system, so no row is
 written twice.
+
+Tables that are not kept by month name their folders' column (``part``).  A load
+that must not be applied twice is given a name of its own and remembered: its
+record is kept aside when it is finished (``applied``).
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 PART_COL = "month_key"
 STAGING = "_staging"
 LEDGER = "_ledger"
+APPLIED = "_applied"
 
 
 class Files:
@@ -49,6 +54,9 @@ class Files:
         if not self._fs.rename(self.path(source), self.path(target)):
             raise OSError(f"{source} could not be moved to {target}")
 
+    def make(self, folder: str) -> None:
+        self._fs.mkdirs(self.path(folder))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self.path(path), True)
 
@@ -80,27 +88,29 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def stage_months(df: DataFrame, target: str) -> str:
+def stage_months(df: DataFrame, target: str, part: str = PART_COL, load: str | None = None) -> str:
     """Write rows with a ``date_key`` (or a ``month_key`` of their own) beside the
     table, in a folder per month; returns the load's id.
 
     Rows are dealt by month at run-time sizes: a large month is split, small
     months share a task, and no sampling job runs before."""
-    load = uuid.uuid4().hex
-    if PART_COL not in df.columns:
-        df = df.withColumn(PART_COL, (F.col("date_key") / 100).cast("int"))
-    df.hint("rebalance", PART_COL).write.mode("overwrite").partitionBy(PART_COL).parquet(
+    load = load or uuid.uuid4().hex
+    if part not in df.columns:
+        df = df.withColumn(part, (F.col("date_key") / 100).cast("int"))
+    df.hint("rebalance", part).write.mode("overwrite").partitionBy(part).parquet(
         f"{target}/{STAGING}/{load}")
     return load
 
 
-def switch(spark: SparkSession, target: str, load: str) -> list[int]:
+def switch(spark: SparkSession, target: str, load: str, part: str = PART_COL,
+           remember: bool = False) -> list[int]:
     """Record a staged load and put its months in place; returns the months."""
     files = Files(spark, target)
-    prefix = f"{PART_COL}="
+    prefix = f"{part}="
     months = [n for n in files.names(f"{target}/{STAGING}/{load}") if n.startswith(prefix)]
-    if months:
-        files.write(f"{target}/{LEDGER}/{load}.json", json.dumps({"load": load, "months": months}))
+    if months or remember:
+        files.write(f"{target}/{LEDGER}/{load}.json",
+                    json.dumps({"load": load, "months": months, "remember": remember}))
     finish(spark, target)
     files.delete(f"{target}/{STAGING}/{load}")
     return [int(m.removeprefix(prefix)) for m in months]
@@ -122,11 +132,21 @@ def finish(spark: SparkSession, target: str) -> int:
             if files.exists(f"{staged}/{month}"):
                 files.delete(f"{target}/{month}")
                 files.move(f"{staged}/{month}", f"{target}/{month}")
-        files.delete(f"{target}/{LEDGER}/{name}")
+        if record.get("remember"):
+            files.make(f"{target}/{APPLIED}")
+            files.move(f"{target}/{LEDGER}/{name}", f"{target}/{APPLIED}/{name}")
+        else:
+            files.delete(f"{target}/{LEDGER}/{name}")
         files.delete(staged)
     return len(records)
 
 
+def applied(spark: SparkSession, target: str, load: str) -> bool:
+    """Whether a remembered load has been applied (an open one is finished first)."""
+    finish(spark, target)
+    return Files(spark, target).exists(f"{target}/{APPLIED}/{load}.json")
+
+
 def replace_months(spark: SparkSession, df: DataFrame, target: str) -> list[int]:
     """Put rows in place of all rows of the months they are in."""
     finish(spark, target)

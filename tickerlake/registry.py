@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import contract, oracle
 from .operators import quality
-from .plans import intake, reports
+from .plans import checks, intake, reports
 from .plans.build import Build
 from .plans.incremental import incremental_dim_weather, incremental_fact
 
@@ -402,6 +402,22 @@ QUERIES: list[Query] = [
            UNION ALL SELECT 'year', date_key // 10000 * 10000 + 101, count(DISTINCT stock_key)
            FROM fact_stock GROUP BY date_key // 10000""",
     ),
+    # checks after three loads, one of them sent twice: equal to those of the whole feeds
+    Query(
+        "incremental_quality", checks.incremental_quality,
+        "table_name:s column_name:s check_name:s failures:l",
+        "\nUNION ALL\n".join(
+            [oracle.quality_sql(quality.SOURCE_CHECKS)]
+            + [f"SELECT '{t}' AS table_name, '{','.join(cols)}' AS column_name, "
+               f"'unique_combination' AS check_name, CAST(count(*) AS BIGINT) AS failures FROM "
+               f"(SELECT 1 FROM {t} GROUP BY {', '.join(cols)} HAVING count(*) > 1) AS d"
+               for t, cols in checks.GRAINS]
+            + [f"SELECT '{c}' AS table_name, '{k}' AS column_name, 'relationships' AS check_name, "
+               f"CAST(count(*) AS BIGINT) AS failures FROM {c} x WHERE x.{k} IS NOT NULL AND NOT "
+               f"EXISTS (SELECT 1 FROM {p} y WHERE y.{q} = x.{k})"
+               for c, k, p, q in checks.LINKS]
+        ),
+    ),
 ]
 
 BY_NAME = {q.name: q for q in QUERIES}
