@@ -19,7 +19,7 @@ from ..functions import with_month
 from ..operators import series
 from ..session import shared_path
 from ..sources import fixtures, raw
-from . import features, incremental, marts, ml, templates, warehouse
+from . import features, incremental, kept_reports, marts, ml, templates, warehouse
 
 
 class Build:
@@ -173,6 +173,11 @@ class Build:
         """A store brought to the same bars by three loads, one with corrections."""
         return incremental.three_loads(self)
 
+    @cached_property
+    def top_news(self) -> kept_reports.TopNews:
+        """Each day's bars with most articles, kept over two loads that overlap."""
+        return kept_reports.two_loads(self)
+
     def stock_technical(self) -> DataFrame:
         return features.stock_technical(self.price_feature_table)
 

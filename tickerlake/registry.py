@@ -111,6 +111,21 @@ LOOKBACK_DAYS = 45
 D = reports.REPORT_DAY
 C = reports.REPORT_CITY
 K = reports.TOP_K
+ARTICLES = (
+    "symbol:s trade_date:t open:d high:d low:d close:d volume:l daily_range:d pct_change:d "
+    "news_article_count:l"
+)
+ARTICLE_COUNT_SQL = f"""SELECT s.symbol, s.trade_date, s.open, s.high, s.low, s.close, s.volume,
+       s.high - s.low AS daily_range,
+       {oracle.rhu(oracle.sdiv('s.close - s.open', 's.open') + ' * 100', 4)} AS pct_change,
+       count(n.id) AS news_article_count
+FROM (SELECT *, CAST(datetime AS DATE) AS trade_date FROM raw_stocks) s
+LEFT JOIN raw_news n ON s.symbol = n.related AND s.trade_date = CAST(n.datetime AS DATE)
+GROUP BY s.symbol, s.trade_date, s.open, s.high, s.low, s.close, s.volume
+ORDER BY news_article_count DESC, s.symbol NULLS LAST, s.trade_date NULLS LAST,
+         s.open NULLS LAST, s.high NULLS LAST, s.low NULLS LAST, s.close NULLS LAST,
+         s.volume NULLS LAST
+LIMIT {K}"""
 
 QUERIES: list[Query] = [
     # warehouse
@@ -246,19 +261,8 @@ QUERIES: list[Query] = [
     Query(
         "report_article_count",
         lambda b: reports.top_article_counts(b.daily_bars),
-        "symbol:s trade_date:t open:d high:d low:d close:d volume:l daily_range:d pct_change:d "
-        "news_article_count:l",
-        f"""SELECT s.symbol, s.trade_date, s.open, s.high, s.low, s.close, s.volume,
-                   s.high - s.low AS daily_range,
-                   {oracle.rhu(oracle.sdiv('s.close - s.open', 's.open') + ' * 100', 4)} AS pct_change,
-                   count(n.id) AS news_article_count
-            FROM (SELECT *, CAST(datetime AS DATE) AS trade_date FROM raw_stocks) s
-            LEFT JOIN raw_news n ON s.symbol = n.related AND s.trade_date = CAST(n.datetime AS DATE)
-            GROUP BY s.symbol, s.trade_date, s.open, s.high, s.low, s.close, s.volume
-            ORDER BY news_article_count DESC, s.symbol NULLS LAST, s.trade_date NULLS LAST,
-                     s.open NULLS LAST, s.high NULLS LAST, s.low NULLS LAST, s.close NULLS LAST,
-                     s.volume NULLS LAST
-            LIMIT {K}""",
+        ARTICLES,
+        ARTICLE_COUNT_SQL,
     ),
     Query(
         "report_preview",
@@ -402,6 +406,17 @@ QUERIES: list[Query] = [
            UNION ALL SELECT 'year', date_key // 10000 * 10000 + 101, count(DISTINCT stock_key)
            FROM fact_stock GROUP BY date_key // 10000""",
     ),
+    # lists kept over two loads that overlap: equal to those of the whole table
+    Query(
+        "incremental_top_news", lambda b: b.top_news.by_day(),
+        "trade_date:t symbol:s close:d pct_change:d news_article_count:l",
+        f"""SELECT trade_date, symbol, close, pct_change, news_article_count FROM daily_stocks
+            QUALIFY row_number() OVER (PARTITION BY trade_date ORDER BY
+                news_article_count DESC NULLS LAST, symbol NULLS LAST) <= {K}""",
+    ),
+    Query(
+        "incremental_article_count", lambda b: b.top_news.over_all(), ARTICLES, ARTICLE_COUNT_SQL,
+    ),
     # checks after three loads, one of them sent twice: equal to those of the whole feeds
     Query(
         "incremental_quality", checks.incremental_quality,
