@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from .dealing import partitions
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 # Target bytes per range partition (the planner's estimate of the input).
@@ -27,10 +28,7 @@ BYTES_PER_PARTITION = 256 << 20
 def _partitions(df: DataFrame) -> int:
     """At least the session's shuffle partitions, more for a large input: its
     size is that of the stored tables it reads, so nothing is counted."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
-    known = sum(s for s in sizes if s < 1 << 62)  # frames without a size have the largest
-    n = -(-known // BYTES_PER_PARTITION)
+    n = partitions(df, BYTES_PER_PARTITION)
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), n)
 
 

@@ -12,9 +12,10 @@ TPC-H style tables:
 * weather: one observation per (region, order day); its rows are bounded by
   the calendar, its work grows with the orders.
 
-All three are single aggregations with map-side partial aggregation, so a hot
-group (say, the benchmark, which covers every line) never lands whole in one
-task.
+Bars and first lines are aggregates of about one line each, so lines are dealt
+raw, without a partial aggregate that would sort them all before the shuffle for
+nothing.  Benchmark and weather have partial aggregates: a hot group (say, the
+benchmark, which covers every line) never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dealing import dealt
 from ..session import shared_path
 
 # Fixed value: symbol of the market benchmark series.
@@ -49,18 +51,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _bars(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """OHLCV bar per group.  Open/close are the price of the first/last line
-    by ``BAR_LINE_ORDER``: ``min``/``max`` of a struct is an ordinary
-    aggregate, partially aggregated before the shuffle."""
-    order = F.struct(*[F.col(c) for c in BAR_LINE_ORDER])
-    return lines.groupBy(*keys).agg(
+def _supplier_bars(lines: DataFrame) -> DataFrame:
+    """One row per supplier and day: its number of lines, the first and last of them by
+    ``BAR_LINE_ORDER``, highest and lowest price, quantity.  The supplier is one within
+    a bar, so the lines' order needs it not.  A bar of one line (most are) has no
+    last line and no prices of its own: they are the first line's."""
+    order = F.struct(*[F.col(c) for c in BAR_LINE_ORDER if c != "l_suppkey"])
+    several = F.col("lines") > 1
+    bars = dealt(lines, "l_suppkey", "datetime").groupBy("l_suppkey", "datetime").agg(
+        F.count(F.lit(1)).alias("lines"),
         F.min(order).alias("first_line"),
         F.max(order).alias("last_line"),
         F.max("l_extendedprice").alias("high"),
         F.min("l_extendedprice").alias("low"),
         F.sum("l_quantity").alias("qty"),
     )
+    return bars.withColumns({c: F.when(several, F.col(c)) for c in ("last_line", "high", "low")})
+
+
+def _whole_bars(bars: DataFrame) -> DataFrame:
+    """:func:`_supplier_bars` with every bar's last line and prices."""
+    one = F.col("lines") == 1
+    price = F.col("first_line.l_extendedprice")
+    return bars.withColumns({
+        "last_line": F.when(one, F.col("first_line")).otherwise(F.col("last_line")),
+        "high": F.when(one, price).otherwise(F.col("high")),
+        "low": F.when(one, price).otherwise(F.col("low")),
+    })
 
 
 def supplier_symbol(key: str) -> Column:
@@ -78,32 +95,28 @@ def stock_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     differently ordered aggregates and cannot reuse the shared exchange.
     """
     lines = read_table(spark, sf_dir, "lineitem").select(
-        supplier_symbol("l_suppkey").alias("symbol"),
-        F.to_date("l_shipdate").alias("datetime"),
-        *BAR_LINE_ORDER,
-        "l_quantity",
-    )
+        F.to_date("l_shipdate").alias("datetime"), *BAR_LINE_ORDER, "l_quantity")
     stage = shared_path(spark, "supplier_bars")
-    _bars(lines, ["symbol", "datetime"]).write.mode("overwrite").parquet(stage)
-    per_supplier = spark.read.parquet(stage)
+    _supplier_bars(lines).write.mode("overwrite").parquet(stage)
+    per_supplier = _whole_bars(spark.read.parquet(stage))
+
+    def line(of: str) -> Column:
+        return F.struct(*[F.col(c) if c == "l_suppkey" else F.col(f"{of}.{c}") for c in BAR_LINE_ORDER])
+
     benchmark = per_supplier.groupBy("datetime").agg(
-        F.min("first_line").alias("first_line"),
-        F.max("last_line").alias("last_line"),
+        F.min(line("first_line")).alias("first_line"),
+        F.max(line("last_line")).alias("last_line"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
         F.sum("qty").alias("qty"),
     ).select(F.lit(BENCHMARK_SYMBOL).alias("symbol"), "*")
-    cols = ["symbol", "datetime", "first_line", "last_line", "high", "low", "qty"]
+    per_supplier = per_supplier.withColumn("symbol", supplier_symbol("l_suppkey"))
+    prices = [F.col("first_line.l_extendedprice").alias("open"), "high", "low",
+              F.col("last_line.l_extendedprice").alias("close")]
+    cols = ["symbol", "datetime", *prices, "qty"]
     bars = per_supplier.select(*cols).unionByName(benchmark.select(*cols))
     return bars.select(
-        "symbol",
-        "datetime",
-        F.col("first_line.l_extendedprice").alias("open"),
-        "high",
-        "low",
-        F.col("last_line.l_extendedprice").alias("close"),
-        F.col("qty").cast("long").alias("volume"),
-    )
+        "symbol", "datetime", "open", "high", "low", "close", F.col("qty").cast("long").alias("volume"))
 
 
 def news_api(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +130,7 @@ def news_api(spark: SparkSession, sf_dir: str) -> DataFrame:
     # First line of each order: an aggregate keyed (and so partitioned) by the
     # order key, which the orders join below reuses without a second shuffle.
     # Outer joins run in the written order: order key, then customer.
-    first_line = lineitem.groupBy("l_orderkey").agg(
+    first_line = dealt(lineitem, "l_orderkey").groupBy("l_orderkey").agg(
         F.min(F.struct(*[F.col(c) for c in ORDER_LINE_ORDER])).alias("fl")
     ).select("l_orderkey", F.col("fl.l_suppkey").alias("first_suppkey"))
     with_line = orders.join(first_line, orders.o_orderkey == first_line.l_orderkey, "left")
