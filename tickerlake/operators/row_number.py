@@ -21,8 +21,8 @@ from ..session import shared_path
 from .dealing import partitions
 
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
-# Target bytes per range partition (the planner's estimate of the input).
-BYTES_PER_PARTITION = 256 << 20
+# Target stored bytes per range partition: its rows are sorted in a task's memory.
+BYTES_PER_PARTITION = 32 << 20
 
 
 def _partitions(df: DataFrame) -> int:

@@ -21,6 +21,7 @@ from ..functions import sliding
 from ..functions.sliding import Frame
 from ..functions.windows import ordered
 from ..operators import series
+from ..operators.dealing import dealt
 from ..sources.fixtures import BENCHMARK_SYMBOL
 
 # Output columns of the feature tables, in order.
@@ -275,7 +276,9 @@ def news_features(dim_news: DataFrame, base: DataFrame,
             "avg_news_20", "std_news_20")
     if volume_z is None:
         volume_z = volume_zscores(base, chunk_rows, largest_stock)
-    volume_z = volume_z.select("date_key", "symbol", "volume", "volume_zscore_20")
+    # bars are many against news days: dealt by the join's key into tasks of bounded size
+    volume_z = dealt(volume_z.select("date_key", "symbol", "volume", "volume_zscore_20"),
+                     "date_key", "symbol")
     joined = news_z.join(volume_z, ["date_key", "symbol"], "left")
     # one row per news day when the bars keep their grain: size as the news series
     sr = series.prepare(joined, "symbol", back=20, chunk_rows=chunk_rows, largest=largest_news)
