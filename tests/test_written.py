@@ -68,3 +68,15 @@ def test_dim_news_has_a_folder_of_its_own_when_asked(spark, tables, tmp_path, wr
 
 def test_numbered_rows_are_sorted_in_bounded_tasks():
     assert row_number.BYTES_PER_PARTITION <= dealing.BYTES_PER_TASK
+
+
+def test_price_marts_make_their_own_columns_only(spark, tables, written):
+    b, stored = Build(spark, tables), Build(spark, tables)
+    risk, performance = b.stock_risk(), b.stock_performance()
+    assert "price_features" not in written
+    assert "volume_zscore_20" not in plan_of(risk) and "resistance_level" not in plan_of(risk)
+    stored.price_feature_table  # noqa: B018
+    assert same(stored.stock_risk()) == same(risk)
+    assert same(stored.stock_performance()) == same(performance)
+    assert same(stored.stock_technical()) == same(b.stock_technical())
+    assert "Window" not in plan_of(stored.stock_risk())  # the table is read where there is one

@@ -172,6 +172,11 @@ class Build:
         return features.with_derived(
             self.table(self.price_pass.select(*features.PRICE_STORED_COLS), "price_features"))
 
+
+    @cached_property
+    def price_feature_table(self) -> DataFrame:
+        """The price columns stored, for marts that join or read them more than once.
+        What a row's other columns tell is not stored but made when it is read."""
     @property
     def price_features(self) -> DataFrame:
         """The stored price columns where a mart has had them stored, else the pass itself:
@@ -179,11 +184,6 @@ class Build:
         stored = "price_feature_table" in self.__dict__  # cached
         return self.price_feature_table if stored else self.price_pass
 
-
-    @cached_property
-    def price_feature_table(self) -> DataFrame:
-        """The price columns stored, for marts that join or read them more than once.
-        What a row's other columns tell is not stored but made when it is read."""
     @cached_property
     def market_store(self) -> incremental.MarketStore:
         """A store brought to the same bars by three loads, one with corrections."""
@@ -195,7 +195,7 @@ class Build:
         return kept_reports.two_loads(self)
 
     def stock_technical(self) -> DataFrame:
-        return features.stock_technical(self.price_feature_table)
+        return features.stock_technical(self.price_features)
 
     def stock_risk(self) -> DataFrame:
         return features.stock_risk(self.price_feature_table)
