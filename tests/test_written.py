@@ -80,3 +80,30 @@ def test_price_marts_make_their_own_columns_only(spark, tables, written):
     assert same(stored.stock_performance()) == same(performance)
     assert same(stored.stock_technical()) == same(b.stock_technical())
     assert "Window" not in plan_of(stored.stock_risk())  # the table is read where there is one
+
+
+def test_top_news_makes_the_bars_of_each_load_only(spark, tables, written):
+    b = Build(spark, tables)
+    got, over_all = same(b.top_news.by_day()), same(b.top_news.over_all())
+    assert "daily_bars" not in written
+    whole = Build(spark, tables)
+    assert whole.daily_bars.filter(F.col("trade_date") < dt.date.fromisoformat(kept_reports.AGAIN_FROM)).count()
+    assert same(whole.top_news.by_day()) == got and same(whole.top_news.over_all()) == over_all
+    assert sorted(got) == same(kept_top.KeptTop(spark, "unused", 20, [("news_article_count", True)], [
+        "symbol", "date_key"]).first(templates.daily_bars(b.raw_stocks, b.raw_news).withColumn(
+            "date_key", F.col("trade_date"))).select(*b.top_news.by_day().columns))
+
+
+def test_lists_go_to_the_load(spark, tmp_path, monkeypatch):
+    """A load is not shuffled by its keys to find the few that are listed; null keys replace nothing."""
+    plans = []
+    stored = kept_top.KeptTop._stored
+    monkeypatch.setattr(kept_top.KeptTop, "_stored", lambda self, df, name: (
+        plans.append(plan_of(df)), stored(self, df, name))[1])
+    top = kept_top.KeptTop(spark, str(tmp_path / "top"), 2, [("n", True)], ["symbol", "date_key"])
+    schema = "symbol string, date_key int, n long"
+    lists = spark.createDataFrame([("a", 20240101, 9), (None, 20240101, 8)], schema)
+    load = spark.createDataFrame([("a", 20240101, 1), (None, 20240101, 7), ("b", 20240101, 3)], schema)
+    new, anew = top.certain(lists, load)
+    assert any("LeftSemi" in p.split("BroadcastHashJoin", 1)[-1] for p in plans if "LeftAnti" in p)
+    assert new.count() == 0 and [r.date_key for r in anew.collect()] == [20240101]

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from .dealing import sent_if_small
 from .ledger import PART_COL, finish, read_table, replace_months
 
 DAY, LAST, AHEAD, RANK = "date_key", "__list_end", "__ends_ahead", "__list_rank"
@@ -90,7 +91,10 @@ class KeptTop:
         n = F.count(F.lit(1)).over(Window.partitionBy(DAY))
         end = F.row_number().over(Window.partitionBy(DAY).orderBy(*self.ordering())) == self.k
         ends = lists.withColumn(LAST, end & (n >= self.k)).filter(LAST)
-        rest = lists.join(load.select(*self.key), self.key, "left_anti").select(*cols)
+        # a load is large against the lists: the lists' keys go to its rows
+        replaced = load.select(*self.key).join(
+            sent_if_small(lists.select(*self.key)), self.key, "left_semi")
+        rest = lists.join(replaced, self.key, "left_anti").select(*cols)
         known = rest.unionByName(self.first(load)).withColumn(LAST, F.lit(False)).unionByName(
             ends.select(*cols, LAST))
         # an equal row counts as ahead of the list's end: the end itself was replaced by it

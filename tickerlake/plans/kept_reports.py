@@ -61,5 +61,11 @@ def two_loads(build) -> TopNews:
     day = F.to_date("datetime")
     kept.load(templates.daily_bars(
         build.raw_stocks.filter(day <= bars), build.raw_news.filter(day <= news)))
-    kept.load(build.daily_bars.filter(F.col("trade_date") >= again))
+    # of the rest only its own days are made, unless another mart has stored all
+    if "daily_bars" in build.__dict__:
+        rest = build.daily_bars.filter(F.col("trade_date") >= again)
+    else:
+        rest = templates.daily_bars(
+            build.raw_stocks.filter(day >= again), build.raw_news.filter(day >= again))
+    kept.load(rest)
     return kept
