@@ -107,3 +107,35 @@ def test_lists_go_to_the_load(spark, tmp_path, monkeypatch):
     new, anew = top.certain(lists, load)
     assert any("LeftSemi" in p.split("BroadcastHashJoin", 1)[-1] for p in plans if "LeftAnti" in p)
     assert new.count() == 0 and [r.date_key for r in anew.collect()] == [20240101]
+
+
+def test_the_feed_is_written_once(spark, tables, written):
+    b = Build(spark, tables)
+    bars = {(r.symbol, r.datetime): r for r in b.raw_stocks.collect()}
+    assert written == []
+    lines = [r for r in spark.read.parquet(f"{tables}/lineitem.parquet").collect()]
+    assert len(bars) == len({(r.l_suppkey, r.l_shipdate) for r in lines}) + len({r.l_shipdate for r in lines})
+    for (symbol, day), bar in bars.items():
+        mine = [r for r in lines if r.l_shipdate.date() == day and (
+            symbol == "SPY" or symbol == (r.l_suppkey and f"S{r.l_suppkey}"))]
+        mine.sort(key=lambda r: (r.l_orderkey is not None, r.l_orderkey, r.l_linenumber))
+        prices = [r.l_extendedprice for r in mine if r.l_extendedprice is not None]
+        assert (bar.open, bar.close) == (mine[0].l_extendedprice, mine[-1].l_extendedprice)
+        assert (bar.high, bar.low) == ((max(prices), min(prices)) if prices else (None, None))
+
+
+def test_keys_of_new_months_replace_nothing(spark, tmp_path, monkeypatch):
+    path, schema, plans = str(tmp_path / "t"), "stock_key long, date_key int, v long", []
+    stage = upsert.stage_months
+    monkeypatch.setattr(upsert, "stage_months", lambda df, target: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), stage(df, target))[1])
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    upsert.merge(spark, frame([(1, 20240101, 1), (2, 20240101, 2), (1, 20231201, 3)]), path, ["stock_key", "date_key"])
+    batch = str(tmp_path / "batch")
+    frame([(1, 20240101, 5), (1, 20240201, 6), (3, 20240201, 7)]).write.parquet(batch)
+    upsert.merge(spark, spark.read.schema(schema).parquet(batch), path, ["stock_key", "date_key"])
+    # both months are asked of the table, one alone of the batch's keys
+    assert plans[1].count("202401") > plans[1].count("202402") > 0
+    got = spark.read.schema(schema).parquet(path).select("stock_key", "date_key", "v").collect()
+    assert sorted(map(tuple, got)) == [
+        (1, 20231201, 3), (1, 20240101, 5), (1, 20240201, 6), (2, 20240101, 2), (3, 20240201, 7)]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .ledger import PART_COL, finish, read_table, stage_months, switch
+from .ledger import PART_COL, Files, finish, read_table, stage_months, switch
 from .row_number import dense_keys, global_row_number
 
 
@@ -106,8 +106,11 @@ def merge(
         month = (F.col("date_key") / 100).cast("int")
         months = [r["m"] for r in batch.select(month.alias("m")).distinct().collect()]
         old = target.filter(F.col(PART_COL).isin(months)).select(*cols)
-        batch = old.join(batch.select(*unique_key), unique_key, "left_anti").select(
-            *cols).unionByName(batch)
+        # keys of months that the table doesn't have replace nothing
+        stored = Files(spark, target_path).names(target_path)
+        both = [m for m in months if f"{PART_COL}={m}" in stored]
+        keys = batch.filter(month.isin(both)).select(*unique_key)
+        batch = old.join(keys, unique_key, "left_anti").select(*cols).unionByName(batch)
         if not months:
             return []
     return switch(spark, target_path, stage_months(batch, target_path))

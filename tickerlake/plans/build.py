@@ -69,7 +69,10 @@ class Build:
             "stocks": fixtures.stock_api,
             "weather": fixtures.weather_api,
         }[name]
-        return self.table(make(self.spark, self.sf_dir), f"feed_{name}")
+        feed = make(self.spark, self.sf_dir)
+        if name == "stocks" and not self.warehouse_dir:
+            return feed  # a view of tables that are staged already
+        return self.table(feed, f"feed_{name}")
 
     @cached_property
     def raw_news(self) -> DataFrame:
@@ -169,14 +172,14 @@ class Build:
             base, self.index_series, chunk_rows=self.chunk_rows,
             largest=self.largest_stock_series,
         )
-        return features.with_derived(
-            self.table(self.price_pass.select(*features.PRICE_STORED_COLS), "price_features"))
-
 
     @cached_property
     def price_feature_table(self) -> DataFrame:
         """The price columns stored, for marts that join or read them more than once.
         What a row's other columns tell is not stored but made when it is read."""
+        return features.with_derived(
+            self.table(self.price_pass.select(*features.PRICE_STORED_COLS), "price_features"))
+
     @property
     def price_features(self) -> DataFrame:
         """The stored price columns where a mart has had them stored, else the pass itself:
@@ -198,10 +201,10 @@ class Build:
         return features.stock_technical(self.price_features)
 
     def stock_risk(self) -> DataFrame:
-        return features.stock_risk(self.price_feature_table)
+        return features.stock_risk(self.price_features)
 
     def stock_performance(self, breakout_exclude_current: bool = False) -> DataFrame:
-        return features.stock_performance(self.price_feature_table, breakout_exclude_current)
+        return features.stock_performance(self.price_features, breakout_exclude_current)
 
     def news_features(self) -> DataFrame:
         return self.news_feature_table
