@@ -124,3 +124,29 @@ def test_store_writes_features_once_and_only_what_is_made(spark, tmp_path, monke
     full = features.price_features(base, features.index_series(base, chunk_rows=None), chunk_rows=None)
     same = lambda df: sorted(map(str, df.collect()))
     assert same(store.price_features()) == same(full)
+
+
+def test_frames_dealt_alike_meet_without_a_shuffle(spark):
+    def rows(n, value):
+        return spark.range(n).select(
+            F.when(F.col("id") % 11 > 0, F.col("id") % 11 - 5).alias("stock_key"),
+            (F.col("id") % 7).cast("int").alias("date_key"), F.col("id").alias(value))
+
+    left, right = rows(200, "a"), rows(90, "b")
+    dealt = [dealing.dealt_to(df, "stock_key", 5) for df in (left, right)]
+    joined = dealt[0].join(dealt[1].hint("merge"), [dealing.SLOT, "stock_key", "date_key"], "left")
+    assert plan_of(joined).count("Exchange") == 2
+    want = left.join(right, ["stock_key", "date_key"], "left")
+    assert sorted(map(str, joined.drop(dealing.SLOT).select(*want.columns).collect())) == sorted(
+        map(str, want.collect()))
+    at = dealt[0].select("stock_key", dealing.SLOT, F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(at) == 11 and all(r[dealing.SLOT] == r.p for r in at) and dealt[0].rdd.getNumPartitions() == 5
+
+
+def test_slots_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    spark.range(20_000).select("id", F.rand(1).alias("x")).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealing.slots(stored) == session
+    monkeypatch.setattr(dealing, "BYTES_PER_SLOT", 2_000)
+    assert dealing.slots(stored) > session

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickerlake.operators import dealing, kept_top, row_number, upsert
-from tickerlake.plans import kept_reports, templates
+from tickerlake.plans import kept_reports, marts, templates
 from tickerlake.plans.build import Build
 
 
@@ -139,3 +139,60 @@ def test_keys_of_new_months_replace_nothing(spark, tmp_path, monkeypatch):
     got = spark.read.schema(schema).parquet(path).select("stock_key", "date_key", "v").collect()
     assert sorted(map(tuple, got)) == [
         (1, 20231201, 3), (1, 20240101, 5), (1, 20240201, 6), (2, 20240101, 2), (3, 20240201, 7)]
+
+
+@pytest.fixture()
+def unsent(spark):
+    """Tables are sent to every task only where the code says so."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def joined_from_tables(b, cols):
+    """The scored rows from stored price and news features."""
+    return marts.scored(b.price_feature_table, b.news_feature_table).select(*cols)
+
+
+@pytest.mark.parametrize("name, cols", [
+    ("daily_stock_analysis", marts.ANALYSIS_COLS)])
+def test_scored_marts_store_no_features_and_deal_bars_once(spark, tables, written, unsent, name, cols):
+    b = Build(spark, tables)
+    b.index_series = F.broadcast(b.index_series)  # a row per day
+    mart = getattr(b, name)()
+    got = same(mart)
+    assert not {"price_features", "news_features", "scored"} & set(written)
+    plan = plan_of(mart).split("Initial Plan")[0]
+    assert "hashpartitioning" not in plan  # rows with features stay where they are made
+    # bars for prices, the same for news, and news days
+    assert plan.count("- Exchange shufflepartitionidpassthrough") == 2 and "ReusedExchange" in plan
+    want = joined_from_tables(Build(spark, tables), cols).collect()
+    assert got == sorted(map(str, want)) and len(got) > 150
+    assert sum(r.vol_news_corr_20 is not None for r in want) > 5
+
+
+@pytest.mark.parametrize("chunk", [None, 9])
+def test_scored_marts_of_repeated_bars_and_foreign_news(spark, chunk):
+    """Two bars a day, news of stocks without a bar, of none, on days without a bar."""
+    start = dt.date(2024, 1, 1)
+    day = lambda d: start + dt.timedelta(days=d)
+    bars = [(s, day(d), 10.0 + d % 5, 12.0 + d % 5 + k, 9.0, 10.0 + (d * 7 + k * 3) % 4, 1 + k + d)
+            for s in ("AAA", "SPY", None) for d in range(0, 40, 2) for k in range(1 + (s == "AAA"))]
+    news = [(n, None, dt.datetime.combine(day(d), dt.time()), "x", "s", who, None, None, None)
+            for n, (d, who) in enumerate((d, who) for d in range(40) for who in ("AAA", "ZZZ", None)
+                                         for _ in range(1 + d % 3))]
+    sources = {
+        "stocks": spark.createDataFrame(bars, "symbol string, datetime date, open double, high double, "
+                                              "low double, close double, volume long"),
+        "news": spark.createDataFrame(news, "id long, headline string, datetime timestamp, category string, "
+                                            "source string, related string, summary string, url string, image string"),
+    }
+    b = Build(spark, "", sources, chunk_rows=chunk)
+    b.scored_table  # noqa: B018
+    got = same(b.daily_stock_analysis_wide())
+    assert "Window" not in plan_of(b.daily_stock_analysis())  # the table is read where there is one
+    plain = Build(spark, "", sources, chunk_rows=None)
+    assert got == same(joined_from_tables(plain, marts.WIDE_COLS))
+    assert len(got) == 20 * 4 + 20  # each bar of a day with each news row of it
