@@ -157,7 +157,7 @@ def joined_from_tables(b, cols):
 
 
 @pytest.mark.parametrize("name, cols", [
-    ("daily_stock_analysis", marts.ANALYSIS_COLS)])
+    ("daily_stock_analysis", marts.ANALYSIS_COLS), ("daily_stock_analysis_wide", marts.WIDE_COLS)])
 def test_scored_marts_store_no_features_and_deal_bars_once(spark, tables, written, unsent, name, cols):
     b = Build(spark, tables)
     b.index_series = F.broadcast(b.index_series)  # a row per day
